@@ -120,6 +120,51 @@ def coverage_tally(
     )
 
 
+def weighted_grid(
+    titles: DataFrame, start: str, end: str, keys: Sequence[str] = BUSINESS_KEYS
+) -> DataFrame:
+    """Distinct grid keys with ``_mult``, how often the title is listed.
+
+    Titles are collapsed before the days are attached, so each grid key is
+    one row and a title listed twice weighs 2.
+    """
+    title_key, day_key = keys
+    check_range(start, end)
+    listed = titles.groupBy(F.col(titles.columns[0]).alias(title_key)).agg(
+        F.count(F.lit(1)).alias("_mult")
+    )
+    return listed.select(
+        title_key, "_mult", F.explode(day_spine(start, end)).alias("_day")
+    ).select(title_key, day_stamp("_day").alias(day_key), "_mult")
+
+
+def run_tally(
+    titles: DataFrame,
+    start: str,
+    end: str,
+    counts: DataFrame,
+    keys: Sequence[str] = BUSINESS_KEYS,
+) -> DataFrame:
+    """One row with ``expected_count``, ``missing_count`` and ``duplicate_count``.
+
+    Coverage and duplicates in a single pass: the weighted grid is full-outer
+    joined with the key tally (each side has one row per non-null key; null
+    keys never match and stay on their own side). One Bronze scan and one
+    Bronze shuffle serve both checks; a full outer join infers no null filter
+    on the tally, so nothing forces a second tally.
+    """
+    grid = weighted_grid(titles, start, end, keys)
+    joined = grid.join(counts, list(keys), "full_outer")
+    mult = F.col("_mult")
+    return joined.agg(
+        F.coalesce(F.sum(mult), F.lit(0)).cast("bigint").alias("expected_count"),
+        F.coalesce(F.sum(F.when(F.col("count").isNull(), mult)), F.lit(0))
+        .cast("bigint")
+        .alias("missing_count"),
+        F.count_if(F.col("count") > 1).alias("duplicate_count"),
+    )
+
+
 def coverage_result(missing_count_frame: DataFrame, severity: str = WARN) -> DataFrame:
     """``check_name, status, missing_count`` from a frame with ``missing_count``."""
     return missing_count_frame.select(

@@ -46,13 +46,30 @@ def fill(template: str, **values: Column) -> Column:
     return F.concat(*parts)
 
 
+def catalog_frame(spark: SparkSession, rows: list[tuple[str, int, str, str]]) -> DataFrame:
+    """Catalog rows as an inline literal: built in the JVM, with size
+    statistics, so joins against it can be broadcast."""
+    if not rows:
+        return spark.createDataFrame([], COLUMN_ROW_SCHEMA)
+    structs = [
+        F.struct(
+            F.lit(t).alias("table_name"),
+            F.lit(o).cast("int").alias("ordinal"),
+            F.lit(c).alias("column_name"),
+            F.lit(d).alias("data_type"),
+        )
+        for t, o, c, d in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def column_rows(
     spark: SparkSession, source: DataFrame | T.StructType, table_name: str
 ) -> DataFrame:
     """Column catalog rows of a DataFrame's (or a schema's) top-level fields."""
     schema = source.schema if isinstance(source, DataFrame) else source
     rows = [(table_name, i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(rows, COLUMN_ROW_SCHEMA)
+    return catalog_frame(spark, rows)
 
 
 def expected_rows(
@@ -63,7 +80,7 @@ def expected_rows(
     """Catalog rows of an expected ``{column: type}`` mapping, in declared order."""
     items = list(expected.items()) if isinstance(expected, Mapping) else list(expected)
     rows = [(table_name, i, name, typ) for i, (name, typ) in enumerate(items)]
-    return spark.createDataFrame(rows, COLUMN_ROW_SCHEMA)
+    return catalog_frame(spark, rows)
 
 
 def _compare(actual: DataFrame, expected: DataFrame) -> DataFrame:

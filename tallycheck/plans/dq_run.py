@@ -1,9 +1,9 @@
 """The Bronze DQ run: three checks -> nine-column audit rows -> append -> gate.
 
 ``run_checks`` builds all result rows as one lazy plan. Coverage and the
-duplicate check read the same ``key_counts`` tally; inside one plan Spark
-reuses that shuffle (``ReusedExchange``), so Bronze is scanned and shuffled
-once for both. The schema check reads only metadata. Writing the audit rows
+duplicate check are answered by one aggregate over one join of the expected
+grid with the ``key_counts`` tally, so Bronze is scanned and shuffled once
+for both. The schema check reads only metadata. Writing the audit rows
 is the single action; the gate then reads back at most one row.
 """
 
@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from tallycheck import constants as K
 from tallycheck.functions.status import severity_of, status_from_count
-from tallycheck.operators.coverage import coverage_tally, expected_grid, key_counts, titles_frame
-from tallycheck.operators.duplicates import duplicate_keys, duplicate_tally
+from tallycheck.operators.coverage import key_counts, run_tally, titles_frame
 from tallycheck.operators.gate import enforce_gate
 from tallycheck.operators.schema_drift import column_rows, expected_rows, schema_tally
 from tallycheck.schemas import AUDIT_COLUMNS
@@ -42,12 +41,24 @@ class DQConfig:
     policy: Mapping[str, str] = field(default_factory=dict)
 
 
+def _check_struct(
+    check_name: str, status: Column, expected: Column, actual: Column, details: Column
+) -> Column:
+    return F.struct(
+        F.lit(check_name).alias("check_name"),
+        status.alias("check_status"),
+        expected.cast("string").alias("expected_value"),
+        actual.cast("string").alias("actual_value"),
+        details.alias("details"),
+    )
+
+
 def _audit_row(
     tally: DataFrame,
     run_id: str,
     layer: str,
     table_name: str,
-    check_name: str,
+    check_name: str | Column,
     status: Column,
     expected_value: Column,
     actual_value: Column,
@@ -58,7 +69,7 @@ def _audit_row(
         F.lit(run_id).alias("check_run_id"),
         F.lit(layer).alias("layer"),
         F.lit(table_name).alias("table_name"),
-        F.lit(check_name).alias("check_name"),
+        (F.lit(check_name) if isinstance(check_name, str) else check_name).alias("check_name"),
         status.alias("check_status"),
         expected_value.cast("string").alias("expected_value"),
         actual_value.cast("string").alias("actual_value"),
@@ -81,26 +92,33 @@ def run_checks(
     at = timestamp_literal(checked_at)
 
     counts = key_counts(bronze, keys)
+    titles = titles_frame(spark, cfg.titles, keys[0])
+    tally = run_tally(titles, cfg.start_date, cfg.end_date, counts, keys)
 
     # Coverage: expected_value = grid size, actual_value = missing count.
-    grid = expected_grid(titles_frame(spark, cfg.titles, keys[0]), cfg.start_date, cfg.end_date, keys)
-    cov = coverage_tally(grid, counts, keys)
-    missing = F.col("missing_count")
-    cov_row = _audit_row(
-        cov, run_id, cfg.layer, table_name, K.CHECK_COVERAGE,
-        status_from_count(missing, severity_of(K.CHECK_COVERAGE, cfg.policy)),
-        F.col("expected_count"), missing,
-        F.concat(F.lit(K.COVERAGE_DETAILS_PREFIX), missing.cast("string")), at,
-    )
-
     # Duplicates: expected "0", actual = number of repeated keys.
-    dup = duplicate_tally(duplicate_keys(counts))
-    dups = F.col("duplicate_count")
-    dup_row = _audit_row(
-        dup, run_id, cfg.layer, table_name, K.CHECK_DUPLICATES,
-        status_from_count(dups, severity_of(K.CHECK_DUPLICATES, cfg.policy)),
-        F.lit(K.DUPLICATE_EXPECTED_VALUE), dups,
-        F.concat(F.lit(K.DUPLICATE_DETAILS_PREFIX), dups.cast("string")), at,
+    # Both rows come out of the one tally row, so its plan runs once.
+    missing, dups = F.col("missing_count"), F.col("duplicate_count")
+    two_rows = F.array(
+        _check_struct(
+            K.CHECK_COVERAGE,
+            status_from_count(missing, severity_of(K.CHECK_COVERAGE, cfg.policy)),
+            F.col("expected_count"),
+            missing,
+            F.concat(F.lit(K.COVERAGE_DETAILS_PREFIX), missing.cast("string")),
+        ),
+        _check_struct(
+            K.CHECK_DUPLICATES,
+            status_from_count(dups, severity_of(K.CHECK_DUPLICATES, cfg.policy)),
+            F.lit(K.DUPLICATE_EXPECTED_VALUE),
+            dups,
+            F.concat(F.lit(K.DUPLICATE_DETAILS_PREFIX), dups.cast("string")),
+        ),
+    )
+    checks = tally.select(F.inline(two_rows))
+    count_rows = _audit_row(
+        checks, run_id, cfg.layer, table_name, F.col("check_name"), F.col("check_status"),
+        F.col("expected_value"), F.col("actual_value"), F.col("details"), at,
     )
 
     # Schema: "Expected schema" / MATCH or MISMATCH, messages joined.
@@ -116,7 +134,7 @@ def run_checks(
         F.coalesce(F.col("details"), F.lit(K.SCHEMA_OK_DETAILS)), at,
     )
 
-    return cov_row.unionByName(dup_row).unionByName(sch_row).select(*AUDIT_COLUMNS)
+    return count_rows.unionByName(sch_row).select(*AUDIT_COLUMNS)
 
 
 def run_bronze_dq(
