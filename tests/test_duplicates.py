@@ -1,0 +1,47 @@
+"""Duplicate business keys."""
+
+from pyspark.sql import functions as F
+
+from tallycheck.operators.coverage import key_counts
+from tallycheck.operators.duplicates import check_duplicates
+from tests.conftest import rows
+
+KEYS = "article string, timestamp string"
+
+
+def test_unique_keys_pass(spark):
+    df = spark.createDataFrame(
+        [("Minecraft", "2026010100"), ("Minecraft", "2026010200"), ("Minecraft", "2026010300")], KEYS
+    )
+    out = check_duplicates(df)
+    assert tuple(out.result.collect()[0]) == ("duplicate_check", "PASS", 0)
+    assert out.failing.count() == 0
+
+
+def test_repeated_key_counts_once(spark):
+    df = spark.createDataFrame([("Minecraft", "2026010100")] * 3, KEYS)
+    out = check_duplicates(df)
+    assert tuple(out.result.collect()[0]) == ("duplicate_check", "WARN", 1)
+    assert rows(out.failing) == [("Minecraft", "2026010100", 3)]
+
+
+def test_null_keys_group_together(spark):
+    df = spark.createDataFrame([(None, "2026010100"), (None, "2026010100"), ("a", None)], KEYS)
+    assert rows(check_duplicates(df).failing) == [(None, "2026010100", 2)]
+
+
+def test_other_key_pair(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "k1 long, k2 int")
+    assert rows(check_duplicates(df, keys=("k1", "k2")).failing) == [(1, 1, 2)]
+
+
+def test_fail_severity(spark):
+    df = spark.createDataFrame([("a", "x")] * 2, KEYS)
+    assert check_duplicates(df, severity="FAIL").result.collect()[0]["status"] == "FAIL"
+
+
+def test_sum_of_counts_is_row_count(spark):
+    df = spark.range(1000).select(
+        (F.col("id") % 37).cast("string").alias("article"), (F.col("id") % 5).cast("string").alias("timestamp")
+    )
+    assert key_counts(df).agg(F.sum("count")).collect()[0][0] == 1000
