@@ -1,0 +1,181 @@
+"""End-to-end runs in a temporary warehouse: ingest -> Bronze -> DQ -> audit -> gate -> report."""
+
+import datetime as dt
+import json
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallycheck.constants import EXPECTED_BRONZE_SCHEMA
+from tallycheck.operators.gate import GateError, enforce_gate, gate_failures
+from tallycheck.operators.report import latest_run, latest_run_sql
+from tallycheck.plans import DQConfig, ingest, run_bronze_dq, run_checks, run_ingest
+from tallycheck.schemas import AUDIT_COLUMNS, BRONZE_SCHEMA, REPORT_COLUMNS
+from tallycheck.sources.audit import create_audit_table, write_audit
+from tallycheck.sources.responses import read_responses, responses_frame
+
+UTC = dt.timezone.utc
+T0 = dt.datetime(2026, 2, 1, 6, 0, tzinfo=UTC)
+
+
+def name(prefix):
+    return f"{prefix}_{uuid.uuid4().hex[:8]}"
+
+
+def body(article, days, views=10):
+    return json.dumps(
+        {"items": [{"project": "en.wikipedia", "article": article, "granularity": "daily",
+                    "timestamp": f"202601{d:02d}00", "views": views} for d in days]}
+    )
+
+
+def attempts(spark):
+    return responses_frame(
+        spark,
+        [
+            ("Minecraft", "20260101", "20260103", None, 1, 500, None, None),
+            ("Minecraft", "20260101", "20260103", None, 2, 200, body("Minecraft", [1, 3]), None),
+            ("Cyberpunk_2077", "20260101", "20260103", None, 1, 200, body("Cyberpunk_2077", [1, 2, 3]), None),
+            ("Cyberpunk_2077", "20260101", "20260103", None, 2, None, None, "timeout"),
+            ("Grand_Theft_Auto_V", "20260101", "20260103", None, 1, 404, "{}", None),
+        ],
+    )
+
+
+CFG = DQConfig(titles=["Minecraft", "Cyberpunk_2077", "Grand_Theft_Auto_V"],
+               start_date="20260101", end_date="20260103")
+
+
+def test_ingest_rows(spark):
+    out = ingest(attempts(spark), "run_a", T0)
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in BRONZE_SCHEMA]
+    got = sorted((r["article"], r["timestamp"]) for r in out.collect())
+    assert got == [("Cyberpunk_2077", f"202601{d:02d}00") for d in (1, 2, 3)] + [
+        ("Minecraft", "2026010100"), ("Minecraft", "2026010300")]
+    assert {r["_ingestion_job_run_id"] for r in out.collect()} == {"run_a"}
+    assert {r["_ingested_at"] for r in out.collect()} == {dt.datetime(2026, 2, 1, 6, 0)}
+
+
+def test_read_landed_json_lines(spark, scratch, tmp_path):
+    path = tmp_path / "landed"
+    attempts(spark).write.json(str(path))
+    back = read_responses(spark, str(path), "json")
+    assert back.count() == 5
+    assert ingest(back, "r", T0).count() == 5
+
+
+def test_append_twice_then_dq_run(spark):
+    bronze, audit = name("bronze"), name("audit")
+    assert run_ingest(attempts(spark), bronze, "run_1", T0)
+    assert run_ingest(attempts(spark), bronze, "run_2", T0 + dt.timedelta(hours=1))
+    tbl = spark.table(bronze)
+    assert {r[0] for r in tbl.select("_ingestion_job_run_id").distinct().collect()} == {"run_1", "run_2"}
+    assert tbl.count() == 10
+
+    run_id = run_bronze_dq(spark, bronze, audit, CFG, checked_at=T0)
+    res = {r["check_name"]: r for r in spark.table(audit).filter(F.col("check_run_id") == run_id).collect()}
+    assert set(res) == {"source_coverage", "duplicate_check", "schema_check"}
+    cov, dup, sch = res["source_coverage"], res["duplicate_check"], res["schema_check"]
+    # grid 3 x 3 = 9; missing Minecraft/02 and GTA x3 = 4
+    assert (cov["check_status"], cov["expected_value"], cov["actual_value"]) == ("WARN", "9", "4")
+    assert cov["details"] == "Missing article/date combinations: 4"
+    # every key appears twice (two runs) -> 5 duplicated keys
+    assert (dup["check_status"], dup["expected_value"], dup["actual_value"]) == ("WARN", "0", "5")
+    assert dup["details"] == "Duplicate article/timestamp combinations: 5"
+    assert (sch["check_status"], sch["expected_value"], sch["actual_value"], sch["details"]) == (
+        "PASS", "Expected schema", "MATCH", "Schema matches expected schema.")
+    assert spark.table(audit).columns == list(AUDIT_COLUMNS)
+
+
+def test_skip_rerun_of_same_run_id(spark):
+    bronze = name("bronze")
+    assert run_ingest(attempts(spark), bronze, "run_x", T0, if_run_exists="skip")
+    assert not run_ingest(attempts(spark), bronze, "run_x", T0, if_run_exists="skip")
+    assert spark.table(bronze).count() == 5
+
+
+def test_partitioned_bronze(spark):
+    bronze = name("bronze")
+    run_ingest(attempts(spark), bronze, "run_p", T0, partition_by=("_ingestion_job_run_id",))
+    df = spark.table(bronze).filter(F.col("_ingestion_job_run_id") == "run_p")
+    assert df.count() == 5
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "run_p" in plan
+
+
+def test_gate_raises_after_audit_write(spark):
+    bronze, audit = name("bronze"), name("audit")
+    run_ingest(attempts(spark), bronze, "run_1", T0)
+    cfg = DQConfig(titles=CFG.titles, start_date="20260101", end_date="20260103",
+                   policy={"source_coverage": "FAIL"})
+    with pytest.raises(GateError) as err:
+        run_bronze_dq(spark, bronze, audit, cfg, run_id="run-fail", checked_at=T0)
+    assert str(err.value) == "Bronze DQ check(s) failed: source_coverage (check_run_id=run-fail)"
+    stored = spark.table(audit).filter(F.col("check_run_id") == "run-fail").collect()
+    assert len(stored) == 3
+    assert {r["check_name"]: r["check_status"] for r in stored}["source_coverage"] == "FAIL"
+
+
+def test_warn_passes_gate(spark):
+    bronze, audit = name("bronze"), name("audit")
+    run_ingest(attempts(spark), bronze, "run_1", T0)
+    rid = run_bronze_dq(spark, bronze, audit, CFG, run_id="run-warn", checked_at=T0)
+    assert rid == "run-warn"
+    enforce_gate(spark.table(audit), rid)  # no raise
+
+
+def test_schema_drift_in_dq_run(spark):
+    bronze = spark.createDataFrame(
+        [("a", "daily", "p", "2026010100", "7")],
+        "article string, granularity string, project string, timestamp string, views string",
+    )
+    out = run_checks(spark, bronze, "t", "r", T0, DQConfig(titles=["a"], start_date="20260101", end_date="20260101"))
+    sch = [r for r in out.collect() if r["check_name"] == "schema_check"][0]
+    assert sch["actual_value"] == "MISMATCH"
+    assert sch["details"] == (
+        "Type mismatch on views: expected bigint, got string; Missing column: _ingested_at; "
+        "Missing column: _ingestion_job_run_id")
+
+
+def test_audit_null_guard(spark):
+    audit = name("audit")
+    bad = spark.createDataFrame(
+        [("r", "bronze", "t", None, "PASS", None, None, None, dt.datetime(2026, 1, 1))],
+        "check_run_id string, layer string, table_name string, check_name string, check_status string, "
+        "expected_value string, actual_value string, details string, checked_at timestamp",
+    )
+    with pytest.raises(Exception) as err:
+        write_audit(bad, audit)
+    assert "check_name must not be NULL" in str(err.value)
+    create_audit_table(spark, audit)
+    assert spark.table(audit).count() == 0
+
+
+def test_report_latest_run(spark):
+    audit = name("audit")
+    rows = []
+    for rid, at in (("ffff", dt.datetime(2026, 1, 1)), ("0000", dt.datetime(2026, 1, 5))):
+        for check, status in (("schema_check", "PASS"), ("duplicate_check", "WARN")):
+            rows.append((rid, "bronze", "t", check, status, "0", "1", "d", at))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {'timestamp' if c == 'checked_at' else 'string'}" for c in AUDIT_COLUMNS))
+    write_audit(df, audit)
+    tbl = spark.table(audit)
+    by_time = latest_run(tbl, by="checked_at")
+    assert by_time.columns == list(REPORT_COLUMNS)
+    assert [(r["check_run_id"], r["check_name"]) for r in by_time.collect()] == [
+        ("0000", "duplicate_check"), ("0000", "schema_check")]
+    by_id = latest_run(tbl, by="check_run_id").collect()
+    assert {r["check_run_id"] for r in by_id} == {"ffff"}
+    sql_rows = spark.sql(latest_run_sql(audit, by="checked_at")).collect()
+    assert [tuple(r) for r in sql_rows] == [tuple(r) for r in by_time.collect()]
+
+
+def test_gate_failures_per_run(spark):
+    rows = [("r1", "b", "FAIL"), ("r1", "a", "FAIL"), ("r1", "c", "WARN"), ("r2", "x", "PASS")]
+    df = spark.createDataFrame(rows, "check_run_id string, check_name string, check_status string")
+    assert [tuple(r) for r in gate_failures(df).collect()] == [("r1", "a, b")]
+
+
+def test_expected_schema_constant_matches_bronze_schema():
+    assert {f.name: f.dataType.simpleString() for f in BRONZE_SCHEMA.fields} == EXPECTED_BRONZE_SCHEMA
