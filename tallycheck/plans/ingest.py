@@ -36,4 +36,5 @@ def run_ingest(
     **write_options,
 ) -> bool:
     """Ingest and append; see :func:`~tallycheck.sources.bronze.write_bronze` options."""
-    return write_bronze(ingest(responses, run_id, ingested_at, keys), bronze_table, **write_options)
+    rows = ingest(responses, run_id, ingested_at, keys)
+    return write_bronze(rows, bronze_table, run_id=run_id, **write_options)

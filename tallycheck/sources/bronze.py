@@ -52,11 +52,13 @@ def write_bronze(
     fmt: str = "parquet",
     partition_by: tuple[str, ...] = (),
     if_run_exists: str = "append",
+    run_id: str | None = None,
 ) -> bool:
     """Append Bronze rows to ``table``; returns whether anything was written.
 
-    ``if_run_exists="skip"`` makes a re-run of the same run id a no-op, so a
-    job restarted after a completed write does not append twice.
+    ``if_run_exists="skip"`` (with the rows' ``run_id``) makes a re-run of
+    the same run id a no-op, so a job restarted after a completed write does
+    not append twice. The probe reads at most one row of the table.
     ``partition_by`` (e.g. ``("_ingestion_job_run_id",)``) lays files out for
     pruning at scale. Spark retries lost tasks; the commit protocol only
     publishes finished task output.
@@ -65,8 +67,9 @@ def write_bronze(
         raise ValueError("if_run_exists must be 'append' or 'skip'")
     spark = bronze_rows.sparkSession
     if if_run_exists == "skip":
-        ids = [r[0] for r in bronze_rows.select("_ingestion_job_run_id").distinct().limit(2).collect()]
-        if len(ids) == 1 and run_present(spark, table, ids[0]):
+        if not run_id:
+            raise ValueError("if_run_exists='skip' needs the run_id of the rows")
+        if run_present(spark, table, run_id):
             return False
     writer = bronze_rows.select(*BRONZE_SCHEMA.names).write.mode("append").format(fmt)
     if partition_by:
