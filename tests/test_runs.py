@@ -179,3 +179,32 @@ def test_gate_failures_per_run(spark):
 
 def test_expected_schema_constant_matches_bronze_schema():
     assert {f.name: f.dataType.simpleString() for f in BRONZE_SCHEMA.fields} == EXPECTED_BRONZE_SCHEMA
+
+
+def _plan(df):
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+
+
+def test_coverage_range_filter_reaches_the_scan(spark):
+    from tallycheck.operators.coverage import check_coverage, titles_frame
+
+    flat, parted = name("bronze"), name("bronze")
+    run_ingest(attempts(spark), flat, "r1", T0)
+    run_ingest(attempts(spark), parted, "r1", T0, partition_by=("timestamp",))
+    titles = titles_frame(spark, CFG.titles)
+    for table in (flat, parted):
+        out = check_coverage(spark.table(table), titles, "20260101", "20260103")
+        assert out.result.collect()[0]["missing_count"] == 4
+        scan_plan = _plan(out.failing)
+        if table == flat:
+            assert "GreaterThanOrEqual(timestamp,2026010100)" in scan_plan
+            assert "LessThanOrEqual(timestamp,2026010300)" in scan_plan
+        else:
+            assert "PartitionFilters: [isnotnull(timestamp" in scan_plan
+            assert "2026010100" in scan_plan.split("PartitionFilters")[1]
