@@ -4,14 +4,15 @@ Plan shape, chosen for a large Bronze table and a hot-key distribution:
 
 * ``key_counts``: one ``groupBy(keys).count()``. Spark aggregates map-side
   first, so a key holding a third of all rows leaves each map task as one
-  row; only distinct keys cross the shuffle. The same tally serves the
-  duplicate check, so a DQ run shuffles Bronze once.
+  row; only distinct keys cross the shuffle.
 * ``expected_grid``: every title row explodes its own day spine
   (``explode(sequence(start, end))``). No cross join and no driver-side day
   list; the grid is partitioned like the titles.
 * ``missing_coverage``: grid ``left_anti`` tally on both keys. The tally is
   already hash-partitioned on the keys by its aggregate, so only the grid
   moves. AQE turns it into a broadcast join when the measured tally is small.
+* ``coverage_tally`` / ``run_tally``: counts without any join. Bronze rows
+  and weighted grid keys are unioned and summed per key in one exchange.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,22 +105,6 @@ def missing_coverage(
     return grid.join(counts.select(*keys), list(keys), "left_anti")
 
 
-def coverage_tally(
-    grid: DataFrame, counts: DataFrame, keys: Sequence[str] = BUSINESS_KEYS
-) -> DataFrame:
-    """One row: ``expected_count`` (grid size) and ``missing_count``.
-
-    A left outer join against the distinct-key tally keeps the grid's
-    multiplicity and marks unmatched rows, so both numbers come from one join.
-    """
-    present = counts.select(*keys, F.lit(True).alias("_present"))
-    joined = grid.join(present, list(keys), "left_outer")
-    return joined.agg(
-        F.count(F.lit(1)).alias("expected_count"),
-        F.count_if(F.col("_present").isNull()).alias("missing_count"),
-    )
-
-
 def weighted_grid(
     titles: DataFrame, start: str, end: str, keys: Sequence[str] = BUSINESS_KEYS
 ) -> DataFrame:
@@ -138,31 +123,70 @@ def weighted_grid(
     ).select(title_key, day_stamp("_day").alias(day_key), "_mult")
 
 
+def key_presence(
+    bronze: DataFrame,
+    titles: DataFrame,
+    start: str,
+    end: str,
+    keys: Sequence[str] = BUSINESS_KEYS,
+) -> DataFrame:
+    """Per key: ``_expected`` (grid weight) and ``_rows`` (Bronze rows).
+
+    Bronze rows and weighted grid keys are tagged, unioned and summed in one
+    ``groupBy(keys)``: both sides combine map-side (a hot key leaves each map
+    task as one row) and cross a single exchange; no join, no sort. Keys
+    with a NULL part are grouped apart per side (``_side``), so a NULL never
+    counts as present, while repeated NULL keys in Bronze still group
+    together as duplicates.
+    """
+    title_key, day_key = keys
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    rows = bronze.select(*keys, zero.alias("_g"), one.alias("_b"))
+    grid = weighted_grid(titles, start, end, keys).select(
+        *keys, F.col("_mult").alias("_g"), zero.alias("_b")
+    )
+    has_null = F.col(title_key).isNull() | F.col(day_key).isNull()
+    tagged = rows.unionByName(grid).withColumn("_side", F.when(has_null, F.col("_g") > 0))
+    return tagged.groupBy(*keys, "_side").agg(
+        F.sum("_g").alias("_expected"), F.sum("_b").alias("_rows")
+    )
+
+
+def _tally_columns(with_duplicates: bool) -> list[Column]:
+    expected, rows = F.col("_expected"), F.col("_rows")
+    cols = [
+        F.coalesce(F.sum(expected), F.lit(0)).cast("bigint").alias("expected_count"),
+        F.coalesce(F.sum(F.when(rows == 0, expected)), F.lit(0)).cast("bigint").alias("missing_count"),
+    ]
+    if with_duplicates:
+        cols.append(F.count_if(rows > 1).alias("duplicate_count"))
+    return cols
+
+
+def coverage_tally(
+    bronze: DataFrame,
+    titles: DataFrame,
+    start: str,
+    end: str,
+    keys: Sequence[str] = BUSINESS_KEYS,
+) -> DataFrame:
+    """One row: ``expected_count`` (grid size) and ``missing_count``."""
+    return key_presence(bronze, titles, start, end, keys).agg(*_tally_columns(False))
+
+
 def run_tally(
+    bronze: DataFrame,
     titles: DataFrame,
     start: str,
     end: str,
-    counts: DataFrame,
     keys: Sequence[str] = BUSINESS_KEYS,
 ) -> DataFrame:
     """One row with ``expected_count``, ``missing_count`` and ``duplicate_count``.
 
-    Coverage and duplicates in a single pass: the weighted grid is full-outer
-    joined with the key tally (each side has one row per non-null key; null
-    keys never match and stay on their own side). One Bronze scan and one
-    Bronze shuffle serve both checks; a full outer join infers no null filter
-    on the tally, so nothing forces a second tally.
+    Coverage and duplicates from one pass over Bronze: one scan, one
+    exchange, hash aggregates only.
     """
-    grid = weighted_grid(titles, start, end, keys)
-    joined = grid.join(counts, list(keys), "full_outer")
-    mult = F.col("_mult")
-    return joined.agg(
-        F.coalesce(F.sum(mult), F.lit(0)).cast("bigint").alias("expected_count"),
-        F.coalesce(F.sum(F.when(F.col("count").isNull(), mult)), F.lit(0))
-        .cast("bigint")
-        .alias("missing_count"),
-        F.count_if(F.col("count") > 1).alias("duplicate_count"),
-    )
+    return key_presence(bronze, titles, start, end, keys).agg(*_tally_columns(True))
 
 
 def coverage_result(missing_count_frame: DataFrame, severity: str = WARN) -> DataFrame:
@@ -192,15 +216,14 @@ def check_coverage(
     start: str,
     end: str,
     keys: Sequence[str] = BUSINESS_KEYS,
-    counts: DataFrame | None = None,
     severity: str = WARN,
 ) -> CheckOutput:
-    """Coverage check. ``counts`` may be a shared ``key_counts`` tally;
-    otherwise Bronze is range-filtered and tallied here."""
-    if counts is None:
-        counts = key_counts(in_range(df, start, end, keys[1]), keys)
-    grid = expected_grid(titles, start, end, keys)
-    tally = coverage_tally(grid, counts, keys)
-    return CheckOutput(
-        result=coverage_result(tally, severity), failing=missing_coverage(grid, counts, keys)
-    )
+    """Coverage check over the rows of the range (a pushed-down filter).
+
+    The result comes from the union-aggregate tally; the failing rows from
+    the anti join of the grid with the key tally.
+    """
+    rows = in_range(df, start, end, keys[1])
+    tally = coverage_tally(rows, titles, start, end, keys)
+    failing = missing_coverage(expected_grid(titles, start, end, keys), key_counts(rows, keys), keys)
+    return CheckOutput(result=coverage_result(tally, severity), failing=failing)

@@ -1,9 +1,9 @@
 """The Bronze DQ run: three checks -> nine-column audit rows -> append -> gate.
 
 ``run_checks`` builds all result rows as one lazy plan. Coverage and the
-duplicate check are answered by one aggregate over one join of the expected
-grid with the ``key_counts`` tally, so Bronze is scanned and shuffled once
-for both. The schema check reads only metadata. Writing the audit rows
+duplicate check are answered by one union-aggregate of Bronze keys with the
+weighted expected grid (``run_tally``): Bronze is scanned once and crosses
+one exchange, with hash aggregates only, for both checks. The schema check reads only metadata. Writing the audit rows
 is the single action; the gate then reads back at most one row.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallycheck import constants as K
 from tallycheck.functions.status import severity_of, status_from_count
-from tallycheck.operators.coverage import key_counts, run_tally, titles_frame
+from tallycheck.operators.coverage import run_tally, titles_frame
 from tallycheck.operators.gate import enforce_gate
 from tallycheck.operators.schema_drift import column_rows, expected_rows, schema_tally
 from tallycheck.schemas import AUDIT_COLUMNS
@@ -91,9 +91,8 @@ def run_checks(
     keys = cfg.keys
     at = timestamp_literal(checked_at)
 
-    counts = key_counts(bronze, keys)
     titles = titles_frame(spark, cfg.titles, keys[0])
-    tally = run_tally(titles, cfg.start_date, cfg.end_date, counts, keys)
+    tally = run_tally(bronze, titles, cfg.start_date, cfg.end_date, keys)
 
     # Coverage: expected_value = grid size, actual_value = missing count.
     # Duplicates: expected "0", actual = number of repeated keys.

@@ -72,10 +72,16 @@ def landed_pages(events: DataFrame) -> DataFrame:
 
     Pages bound the size of every body whatever the key distribution.
     """
-    recs = records_from_events(events, with_event_id=True)
+    recs = records_from_events(events, with_event_id=True).select(
+        "*", F.col("article").alias("title"), F.expr(f"event_id div {PAGE_SIZE}").alias("page")
+    )
     item = F.struct("project", "article", "granularity", "timestamp", "views")
+    # collect_list does not shrink data map-side, so hash-partition on the
+    # page key first: the list building runs in the parallel reduce stage and
+    # the groupBy needs no second exchange.
     return (
-        recs.groupBy(F.col("article").alias("title"), F.expr(f"event_id div {PAGE_SIZE}").alias("page"))
+        recs.repartition("title", "page")
+        .groupBy("title", "page")
         .agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
     )
 

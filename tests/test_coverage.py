@@ -111,17 +111,17 @@ def _random_case(spark, seed):
     return bronze, titles
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(6))
 def test_single_pass_tally_equals_separate_checks(spark, seed):
     bronze, titles = _random_case(spark, seed)
     counts = key_counts(bronze)
-    one = run_tally(titles, "20260101", "20260104", counts).collect()[0]
+    one = run_tally(bronze, titles, "20260101", "20260104").collect()[0]
+    cov = coverage_tally(bronze, titles, "20260101", "20260104").collect()[0]
     grid = expected_grid(titles, "20260101", "20260104")
-    sep_cov = coverage_tally(grid, counts).collect()[0]
-    sep_missing = missing_coverage(grid, counts).count()
+    anti_missing = missing_coverage(grid, counts).count()
     sep_dup = check_duplicates(bronze).result.collect()[0]["duplicate_count"]
-    assert one["expected_count"] == grid.count() == sep_cov["expected_count"]
-    assert one["missing_count"] == sep_cov["missing_count"] == sep_missing
+    assert one["expected_count"] == grid.count() == cov["expected_count"]
+    assert one["missing_count"] == cov["missing_count"] == anti_missing
     assert one["duplicate_count"] == sep_dup
     # invariant: missing + |grid ∩ actual| = |grid| (grid without repeats)
     distinct_grid = grid.distinct()
