@@ -50,7 +50,7 @@ def stamp_of(day: dt.date) -> str:
 def parse_bound(col: Column | str) -> Column:
     """``YYYYMMDD`` string column to DATE; NULL when it is not exactly 8 digits."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, F.lit(DATE_BOUND_PATTERN)))
+    return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, DATE_BOUND_PATTERN))
 
 
 def day_stamp(col: Column | str) -> Column:
