@@ -59,8 +59,8 @@ def write_bronze(
     ``if_run_exists="skip"`` (with the rows' ``run_id``) makes a re-run of
     the same run id a no-op, so a job restarted after a completed write does
     not append twice. The probe reads at most one row of the table.
-    ``partition_by`` (e.g. ``("_ingestion_job_run_id",)``) lays files out for
-    pruning at scale. Spark retries lost tasks; the commit protocol only
+    ``partition_by`` (e.g. ``("timestamp",)`` or ``("_ingestion_job_run_id",)``)
+    lays files out for pruning at scale; rows are rebalanced on it first. Spark retries lost tasks; the commit protocol only
     publishes finished task output.
     """
     if if_run_exists not in ("append", "skip"):
@@ -71,7 +71,14 @@ def write_bronze(
             raise ValueError("if_run_exists='skip' needs the run_id of the rows")
         if run_present(spark, table, run_id):
             return False
-    writer = bronze_rows.select(*BRONZE_SCHEMA.names).write.mode("append").format(fmt)
+    out = bronze_rows.select(*BRONZE_SCHEMA.names)
+    if partition_by:
+        # Without this every task would write one file per partition value it
+        # holds. REBALANCE groups rows by the partition columns, and AQE splits
+        # a hot value (say one day with a third of the rows) into sized
+        # pieces and merges small ones, so files come out evenly sized.
+        out = out.hint("rebalance", *partition_by)
+    writer = out.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)

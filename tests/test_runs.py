@@ -208,3 +208,28 @@ def test_coverage_range_filter_reaches_the_scan(spark):
         else:
             assert "PartitionFilters: [isnotnull(timestamp" in scan_plan
             assert "2026010100" in scan_plan.split("PartitionFilters")[1]
+
+
+def test_partitioned_write_is_rebalanced(spark):
+    from tallycheck.sources.bronze import with_lineage, write_bronze
+
+    table = name("bronze")
+    recs = spark.range(2000).select(
+        F.lit("p").alias("project"),
+        (F.col("id") % 7).cast("string").alias("article"),
+        F.lit("daily").alias("granularity"),
+        F.when(F.col("id") % 3 == 0, "2026010100").otherwise(
+            F.format_string("202601%02d00", (F.col("id") % 5 + 2).cast("int"))).alias("timestamp"),
+        F.col("id").alias("views"),
+    )
+    write_bronze(with_lineage(recs, "r", T0), table, partition_by=("timestamp",))
+    back = spark.table(table)
+    assert back.count() == 2000
+    assert back.filter(F.col("timestamp") == "2026010100").count() == 667
+    base = spark.sql(f"describe formatted {table}").filter("col_name = 'Location'").collect()[0][1]
+    import glob
+    import os
+
+    files = glob.glob(os.path.join(base.replace("file:", ""), "timestamp=*", "*.parquet"))
+    # one partition value per directory, not one file per task per value
+    assert len(files) <= 2 * 6
