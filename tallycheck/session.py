@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 # Settings the engine's plans are written for. AQE re-plans joins and
 # coalesces small shuffle partitions at runtime from measured stage sizes;
 # skew-join splits oversized partitions. UTC keeps day stamps stable.
+# Broadcasts are decided only at runtime: the static planner's size guess
+# comes from compressed file sizes and can be several times too small, while
+# AQE's threshold applies to the measured output of a finished stage.
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
