@@ -10,9 +10,12 @@ from tallycheck.operators.coverage import (
     expected_grid,
     in_range,
     key_counts,
+    key_presence,
     missing_by_article,
     missing_coverage,
+    run_tally,
     titles_frame,
+    weighted_grid,
 )
 from tallycheck.operators.duplicates import (
     check_duplicates,
@@ -48,9 +51,12 @@ __all__ = [
     "expected_grid",
     "in_range",
     "key_counts",
+    "key_presence",
     "missing_by_article",
     "missing_coverage",
+    "run_tally",
     "titles_frame",
+    "weighted_grid",
     "check_duplicates",
     "duplicate_keys",
     "duplicate_result",
