@@ -33,33 +33,41 @@ def present_keys(df: DataFrame, keys: Sequence[str] = REQUEST_KEYS) -> list[str]
     return [k for k in keys if k in df.columns]
 
 
-def failure_reason(
-    parsed: Column, status_code: str = "status_code", body: str = "body", error: str = "error"
-) -> Column:
-    """Why an attempt failed, or NULL when it delivered a JSON object.
-
-    ``parsed`` is ``try_parse_json(body)``. A request error, a 4xx/5xx
-    status, a body that is not JSON (NULL, empty, junk), the JSON literal
-    ``null`` and a non-object body are failures. A valid JSON text is an
-    object exactly when its first non-blank character is ``{``.
+def transport_failure(status_code: str = "status_code", error: str = "error") -> Column:
+    """Failure known without reading the body: a request error or a 4xx/5xx."""
+    return F.when(F.col(error).isNotNull(), F.lit(REASON_REQUEST_ERROR)).when(
+        F.col(status_code).between(400, 599), F.lit(REASON_HTTP_ERROR)
+    )
+
+
+def body_failure(parsed: Column, body: str = "body") -> Column:
+    """Failure of a delivered body, or NULL when it is a JSON object.
+
+    ``parsed`` is ``try_parse_json(body)``: NULL for a body that is not JSON
+    (NULL, empty, junk). The JSON literal ``null`` and non-objects fail too.
+    A valid JSON text is an object exactly when its first non-blank
+    character is ``{``.
     """
     return (
-        F.when(F.col(error).isNotNull(), F.lit(REASON_REQUEST_ERROR))
-        .when(F.col(status_code).between(400, 599), F.lit(REASON_HTTP_ERROR))
-        .when(parsed.isNull(), F.lit(REASON_INVALID_JSON))
+        F.when(parsed.isNull(), F.lit(REASON_INVALID_JSON))
         .when(F.is_variant_null(parsed), F.lit(REASON_NULL_BODY))
         .when(~F.col(body).rlike(r"^\s*\{"), F.lit(REASON_NOT_OBJECT))
     )
 
 
 def classify_attempts(responses: DataFrame) -> DataFrame:
-    """Attempts with ``reason`` and ``fetched`` columns added."""
-    # Parse once into a column; Catalyst keeps it as one evaluation since the
-    # case expression refers to it twice.
-    parsed = responses.withColumn("_parsed", F.try_parse_json(F.col("body")))
+    """Attempts with ``reason`` (NULL when fetched) and ``fetched`` added.
+
+    The body is parsed only for attempts without a transport failure, and
+    only once: the parse is its own projected column, which Catalyst does
+    not inline into the two places that read it.
+    """
+    staged = responses.withColumn("_transport", transport_failure()).withColumn(
+        "_parsed", F.when(F.col("_transport").isNull(), F.try_parse_json(F.col("body")))
+    )
     return (
-        parsed.withColumn("reason", failure_reason(F.col("_parsed")))
-        .drop("_parsed")
+        staged.withColumn("reason", F.coalesce(F.col("_transport"), body_failure(F.col("_parsed"))))
+        .drop("_transport", "_parsed")
         .withColumn("fetched", F.col("reason").isNull())
     )
 
