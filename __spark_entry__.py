@@ -29,6 +29,7 @@ from tallycheck.operators import (  # noqa: E402
     latest_success,
     missing_by_article,
     missing_coverage,
+    quarantine,
     request_plan,
 )
 from tallycheck.operators.coverage import check_coverage  # noqa: E402
@@ -112,6 +113,14 @@ def q_flatten_responses(spark, sf_dir):
     return flatten_responses(B.landed_pages(_events(spark, sf_dir)))
 
 
+def q_flatten_mistyped(spark, sf_dir):
+    return flatten_responses(B.landed_pages_mistyped(_events(spark, sf_dir)))
+
+
+def q_quarantine_pages(spark, sf_dir):
+    return quarantine(B.landed_pages_mistyped(_events(spark, sf_dir))).select("title", "page")
+
+
 def q_ingest_rows(spark, sf_dir):
     return ingest(B.landed_attempts(_events(spark, sf_dir)), RUN_ID, RUN_AT)
 
@@ -203,6 +212,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fetch_summary": q_fetch_summary,
     "records": q_records,
     "flatten_responses": q_flatten_responses,
+    "flatten_mistyped": q_flatten_mistyped,
+    "quarantine_pages": q_quarantine_pages,
     "ingest_rows": q_ingest_rows,
     "bronze_rows": q_bronze_rows,
     "expected_grid": q_expected_grid,
@@ -332,6 +343,16 @@ def oracle_sql() -> dict[str, str]:
         ),
         "records": _with("select * from R", "R"),
         "flatten_responses": _with("select * from R", "R"),
+        "flatten_mistyped": (
+            "select 'test.project' as project, 'user_' || user_id as article, 'daily' as granularity, "
+            "strftime(ts, '%Y%m%d00') as \"timestamp\", "
+            "case when event_type = 'error' then null else cast(floor(value) as bigint) end as views "
+            "from events"
+        ),
+        "quarantine_pages": (
+            "select distinct 'user_' || user_id as title, event_id // 100 as page "
+            "from events where event_type = 'error'"
+        ),
         "ingest_rows": _with(f"select *, {lineage} from R", "R"),
         "bronze_rows": _with(f"select *, {lineage} from R", "R"),
         "expected_grid": _with("select * from G", "G"),

@@ -39,7 +39,8 @@ def _article(events: DataFrame) -> F.Column:
     return F.concat(F.lit("user_"), F.col("user_id").cast("string"))
 
 
-def records_from_events(events: DataFrame, with_event_id: bool = False) -> DataFrame:
+def records_from_events(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Flat records from events; ``carry`` keeps extra event columns along."""
     cols = [
         F.lit(BINDING_PROJECT).alias("project"),
         _article(events).alias("article"),
@@ -47,9 +48,7 @@ def records_from_events(events: DataFrame, with_event_id: bool = False) -> DataF
         day_stamp(F.col("ts")).alias("timestamp"),
         F.floor("value").cast("bigint").alias("views"),
     ]
-    if with_event_id:
-        cols.append(F.col("event_id"))
-    return events.select(*cols)
+    return events.select(*cols, *carry)
 
 
 def attempts_from_events(events: DataFrame) -> DataFrame:
@@ -72,7 +71,7 @@ def landed_pages(events: DataFrame) -> DataFrame:
 
     Pages bound the size of every body whatever the key distribution.
     """
-    recs = records_from_events(events, with_event_id=True).select(
+    recs = records_from_events(events, carry=("event_id",)).select(
         "*", F.col("article").alias("title"), F.expr(f"event_id div {PAGE_SIZE}").alias("page")
     )
     item = F.struct("project", "article", "granularity", "timestamp", "views")
@@ -86,6 +85,33 @@ def landed_pages(events: DataFrame) -> DataFrame:
     )
 
 
+def landed_pages_mistyped(events: DataFrame) -> DataFrame:
+    """Like :func:`landed_pages`, but items of ``error`` events carry
+    ``views`` as a JSON string (``"views":"12"``): a type drift in the source.
+
+    Each item is rendered to JSON on its own, so one body can mix both forms.
+    """
+    recs = records_from_events(events, carry=("event_id", "event_type")).select(
+        "*",
+        F.col("article").alias("title"),
+        F.expr(f"event_id div {PAGE_SIZE}").alias("page"),
+    )
+    keys = ("project", "article", "granularity", "timestamp")
+    as_number = F.to_json(F.struct(*keys, "views"))
+    as_text = F.to_json(F.struct(*keys, F.col("views").cast("string").alias("views")))
+    item_json = F.when(F.col("event_type") == "error", as_text).otherwise(as_number)
+    return (
+        recs.select("title", "page", item_json.alias("item"))
+        .repartition("title", "page")
+        .groupBy("title", "page")
+        .agg(
+            F.concat(
+                F.lit('{"items":['), F.array_join(F.collect_list("item"), ","), F.lit("]}")
+            ).alias("body")
+        )
+    )
+
+
 def landed_attempts(events: DataFrame) -> DataFrame:
     """Four attempts per page: stale success, HTTP 503, latest success, timeout."""
     pages = landed_pages(events)
