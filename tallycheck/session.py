@@ -40,6 +40,14 @@ SCALE_CONF = {
 }
 
 
+# Local runs (tests, the sf0.1 bench) have inputs of a few MB. AQE's default
+# 1 MB minimum would merge a whole shuffle into one or two partitions, and the
+# CPU-heavy stages after it (JSON parse and build) would use one or two cores.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tallycheck",
@@ -56,6 +64,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if large_input:
         conf.update(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
