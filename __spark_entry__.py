@@ -26,6 +26,7 @@ from tallycheck.operators import (  # noqa: E402
     gate_failures,
     key_counts,
     latest_run,
+    latest_run_sql,
     latest_success,
     missing_by_article,
     missing_coverage,
@@ -204,6 +205,14 @@ def q_latest_run_by_id(spark, sf_dir):
     return latest_run(_history(spark, sf_dir), by="check_run_id")
 
 
+def q_latest_run_sql(spark, sf_dir):
+    # The report as SQL text over a table name, as it runs in a notebook.
+    # spark.sql resolves the view when called, so a later replacement of the
+    # view does not change this DataFrame.
+    _history(spark, sf_dir).createOrReplaceTempView("tallycheck_audit_history")
+    return spark.sql(latest_run_sql("tallycheck_audit_history", by="check_run_id"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_plan": q_request_plan,
     "classified_attempts": q_classified_attempts,
@@ -232,6 +241,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_failures": q_gate_failures,
     "latest_run_by_time": q_latest_run_by_time,
     "latest_run_by_id": q_latest_run_by_id,
+    "latest_run_sql": q_latest_run_sql,
 }
 
 
@@ -424,4 +434,10 @@ def oracle_sql() -> dict[str, str]:
             "order by check_name",
             "H",
         ),
+        "latest_run_sql": _with(
+            "select check_run_id, check_name, check_status, expected_value, actual_value, details, "
+            "checked_at from H where check_run_id = (select max(check_run_id) from H) "
+            "order by check_name",
+            "H",
+        ),
     }
