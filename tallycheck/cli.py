@@ -31,7 +31,10 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--bronze-table", required=True)
     i.add_argument("--run-id", required=True)
     i.add_argument("--partition-by", action="append", default=[])
-    i.add_argument("--skip-existing", action="store_true", help="no-op if the run id is already in Bronze")
+    rerun = i.add_mutually_exclusive_group()
+    rerun.add_argument("--skip-existing", action="store_true", help="no-op if the run id is already in Bronze")
+    rerun.add_argument("--replace-existing", action="store_true",
+                       help="replace the run's rows (Bronze partitioned by _ingestion_job_run_id)")
 
     d = sub.add_parser("dq", help="run the Bronze checks, record them, apply the gate")
     d.add_argument("--bronze-table", required=True)
@@ -57,12 +60,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(master=args.master, large_input=args.large_input)
 
     if args.command == "ingest":
+        mode = "skip" if args.skip_existing else "replace" if args.replace_existing else "append"
+        partition_by = tuple(args.partition_by)
+        if mode == "replace" and "_ingestion_job_run_id" not in partition_by:
+            partition_by += ("_ingestion_job_run_id",)
         written = run_ingest(
             read_responses(spark, args.landed, args.format),
             args.bronze_table,
             args.run_id,
-            partition_by=tuple(args.partition_by),
-            if_run_exists="skip" if args.skip_existing else "append",
+            partition_by=partition_by,
+            if_run_exists=mode,
         )
         print(f"{'appended' if written else 'skipped'} run {args.run_id} -> {args.bronze_table}")
         return 0

@@ -76,7 +76,10 @@ def latest_success(responses: DataFrame, keys: Sequence[str] = REQUEST_KEYS) ->
     """One body per request: the successful attempt with the highest number.
 
     A later success replaces an earlier one; a later failure does not.
-    Requests without any success are absent.
+    Requests without any success are absent. ``max_by`` keeps a string in
+    its buffer, so Spark plans it as a sort-based aggregate. That sort spills
+    to disk when it must, and the partial step before the shuffle leaves one
+    row per request per map task, however many attempts a request has.
     """
     ks = present_keys(responses, keys)
     ok = classify_attempts(responses).filter("fetched")

@@ -23,7 +23,8 @@ def with_lineage(records: DataFrame, run_id: str, ingested_at: dt.datetime | Non
     """Records plus ``_ingested_at`` and ``_ingestion_job_run_id``, in BRONZE_SCHEMA order.
 
     Both values are fixed once per run on the driver, so every row of a run
-    carries the same stamp and id (SQL ``uuid()``/``now()`` per row would not).
+    carries the same stamp and id (SQL ``uuid()`` would differ per row, and
+    ``now()`` per query, so two writes of one run would disagree).
     """
     if not run_id:
         raise ValueError("run_id is required")
@@ -39,7 +40,12 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def run_present(spark: SparkSession, table: str, run_id: str) -> bool:
-    """Whether a run id was already written (a bounded probe: at most one row)."""
+    """Whether a run id was already written (a bounded probe: at most one row).
+
+    The equality filter is pushed to the scan. Each run writes its own files,
+    so their min/max statistics on the run id skip every other file. With
+    ``partition_by=("_ingestion_job_run_id",)`` whole folders are pruned.
+    """
     if not table_exists(spark, table):
         return False
     probe = spark.table(table).filter(F.col("_ingestion_job_run_id") == run_id).limit(1)
@@ -56,21 +62,30 @@ def write_bronze(
 ) -> bool:
     """Append Bronze rows to ``table``; returns whether anything was written.
 
-    ``if_run_exists="skip"`` (with the rows' ``run_id``) makes a re-run of
-    the same run id a no-op, so a job restarted after a completed write does
-    not append twice. The probe reads at most one row of the table.
+    ``if_run_exists`` decides what a re-run of the same run id does:
+
+    * ``"append"`` (default): append again, as the reference's sink would.
+    * ``"skip"`` (needs ``run_id``): no-op when the run is already there, so a
+      job restarted after a completed write does not append twice.
+    * ``"replace"``: the table must be partitioned by ``_ingestion_job_run_id``;
+      dynamic partition overwrite swaps in the run's new rows and leaves every
+      other run untouched.
+
     ``partition_by`` (e.g. ``("timestamp",)`` or ``("_ingestion_job_run_id",)``)
-    lays files out for pruning at scale; rows are rebalanced on it first. Spark retries lost tasks; the commit protocol only
-    publishes finished task output.
+    lays files out for pruning at scale; rows are rebalanced on it first.
+    Spark retries lost tasks; the commit protocol only publishes finished
+    task output.
     """
-    if if_run_exists not in ("append", "skip"):
-        raise ValueError("if_run_exists must be 'append' or 'skip'")
+    if if_run_exists not in ("append", "skip", "replace"):
+        raise ValueError("if_run_exists must be 'append', 'skip' or 'replace'")
     spark = bronze_rows.sparkSession
     if if_run_exists == "skip":
         if not run_id:
             raise ValueError("if_run_exists='skip' needs the run_id of the rows")
         if run_present(spark, table, run_id):
             return False
+    if if_run_exists == "replace" and "_ingestion_job_run_id" not in partition_by:
+        raise ValueError("if_run_exists='replace' needs partition_by to include _ingestion_job_run_id")
     out = bronze_rows.select(*BRONZE_SCHEMA.names)
     if partition_by:
         # Without this every task would write one file per partition value it
@@ -78,6 +93,12 @@ def write_bronze(
         # a hot value (say one day with a third of the rows) into sized
         # pieces and merges small ones, so files come out evenly sized.
         out = out.hint("rebalance", *partition_by)
+    if if_run_exists == "replace" and table_exists(spark, table):
+        # Positional insert: data columns, then partition columns, in table order.
+        cols = spark.table(table).columns
+        with _dynamic_overwrite(spark):
+            out.select(*cols).write.insertInto(table, overwrite=True)
+        return True
     writer = out.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -85,5 +106,21 @@ def write_bronze(
     return True
 
 
+class _dynamic_overwrite:
+    """Context: partition overwrite replaces only the partitions written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.key = "spark.sql.sources.partitionOverwriteMode"
+
+    def __enter__(self):
+        self.old = self.spark.conf.get(self.key)
+        self.spark.conf.set(self.key, "dynamic")
+
+    def __exit__(self, *exc):
+        self.spark.conf.set(self.key, self.old)
+        return False
+
+
 def read_bronze(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)

@@ -233,3 +233,27 @@ def test_partitioned_write_is_rebalanced(spark):
     files = glob.glob(os.path.join(base.replace("file:", ""), "timestamp=*", "*.parquet"))
     # one partition value per directory, not one file per task per value
     assert len(files) <= 2 * 6
+
+
+def test_replace_rerun_of_same_run_id(spark):
+    from tallycheck.sources.bronze import with_lineage, write_bronze
+
+    table = name("bronze")
+    opts = dict(partition_by=("_ingestion_job_run_id",), if_run_exists="replace")
+
+    def recs(n, views):
+        return spark.range(n).select(
+            F.lit("p").alias("project"), F.col("id").cast("string").alias("article"),
+            F.lit("daily").alias("granularity"), F.lit("2026010100").alias("timestamp"),
+            F.lit(views).cast("bigint").alias("views"))
+
+    write_bronze(with_lineage(recs(3, 1), "run_a", T0), table, **opts)
+    write_bronze(with_lineage(recs(2, 1), "run_b", T0), table, **opts)
+    # re-run of run_a with corrected data: replaces run_a only
+    write_bronze(with_lineage(recs(4, 9), "run_a", T0), table, **opts)
+    spark.catalog.refreshTable(table)
+    per_run = {r[0]: (r[1], r[2]) for r in spark.table(table).groupBy("_ingestion_job_run_id")
+               .agg(F.count(F.lit(1)), F.max("views")).collect()}
+    assert per_run == {"run_a": (4, 9), "run_b": (2, 1)}
+    with pytest.raises(ValueError):
+        write_bronze(with_lineage(recs(1, 1), "run_c", T0), table, if_run_exists="replace")
