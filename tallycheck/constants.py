@@ -9,6 +9,8 @@ table, and the tests, compare these strings and formats byte for byte.
 CHECK_COVERAGE = "source_coverage"
 CHECK_DUPLICATES = "duplicate_check"
 CHECK_SCHEMA = "schema_check"
+# Order of the checks within a run (gate messages list failures in this order).
+CHECK_ORDER = (CHECK_COVERAGE, CHECK_DUPLICATES, CHECK_SCHEMA)
 
 # Check statuses.
 PASS = "PASS"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.constants import FAIL, FAILED_CHECKS_SEPARATOR, GATE_MESSAGE
+from tallycheck.constants import CHECK_ORDER, FAIL, FAILED_CHECKS_SEPARATOR, GATE_MESSAGE
 
 
 class GateError(ValueError):
@@ -13,17 +13,24 @@ class GateError(ValueError):
 
 
 def gate_failures(audit: DataFrame) -> DataFrame:
-    """Per run with a FAIL: ``check_run_id, failed_checks`` (names sorted, ``", "``).
+    """Per run with a FAIL: ``check_run_id, failed_checks`` joined with ``", "``.
 
-    Groups hold one run's checks, so they are bounded by the check list.
+    Known checks come in run order (coverage, duplicates, schema), others
+    after them by name. Groups hold one run's checks, so they are bounded by
+    the check list.
     """
+    known = F.array(*[F.lit(c) for c in CHECK_ORDER])
+    rank = F.array_position(known, F.col("check_name"))
+    order = F.when(rank > 0, rank).otherwise(F.lit(len(CHECK_ORDER) + 1))
+    entry = F.struct(order.alias("o"), F.col("check_name").alias("n"))
     return (
         audit.filter(F.col("check_status") == FAIL)
         .groupBy("check_run_id")
         .agg(
-            F.array_join(F.array_sort(F.collect_list("check_name")), FAILED_CHECKS_SEPARATOR).alias(
-                "failed_checks"
-            )
+            F.array_join(
+                F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["n"]),
+                FAILED_CHECKS_SEPARATOR,
+            ).alias("failed_checks")
         )
     )
 

@@ -257,3 +257,16 @@ def test_replace_rerun_of_same_run_id(spark):
     assert per_run == {"run_a": (4, 9), "run_b": (2, 1)}
     with pytest.raises(ValueError):
         write_bronze(with_lineage(recs(1, 1), "run_c", T0), table, if_run_exists="replace")
+
+
+def test_gate_lists_failures_in_run_order(spark):
+    bronze, audit = name("bronze"), name("audit")
+    run_ingest(attempts(spark), bronze, "run_1", T0)
+    run_ingest(attempts(spark), bronze, "run_2", T0)  # every key twice -> duplicates
+    cfg = DQConfig(titles=CFG.titles, start_date="20260101", end_date="20260103",
+                   expected_schema={"article": "string"},
+                   policy={"source_coverage": "FAIL", "duplicate_check": "FAIL", "schema_check": "FAIL"})
+    with pytest.raises(GateError) as err:
+        run_bronze_dq(spark, bronze, audit, cfg, run_id="run-all", checked_at=T0)
+    assert str(err.value) == (
+        "Bronze DQ check(s) failed: source_coverage, duplicate_check, schema_check (check_run_id=run-all)")
