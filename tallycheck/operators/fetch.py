@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycheck.functions.text import request_url
+from tallycheck.operators.flatten import JSON_OPTIONS
 
 REQUEST_KEYS = ("title", "start_date", "end_date", "page")
 
@@ -43,24 +44,32 @@ def transport_failure(status_code: str = "status_code", error: str = "error") ->
 def body_failure(parsed: Column, body: str = "body") -> Column:
     """Failure of a delivered body, or NULL when it is a JSON object.
 
-    ``parsed`` is ``try_parse_json(body)``: NULL for a body that is not JSON
-    (NULL, empty, junk). The JSON literal ``null`` and non-objects fail too.
+    ``parsed`` is ``try_parse_json(body)``, which runs inside whole-stage
+    codegen and settles almost every body. It rejects NULL, empty and junk
+    text, but also two forms Python's json module (the reference's reader)
+    accepts: repeated keys and NaN/Infinity. Only for bodies it rejects,
+    an object-shaped text gets a second, schema-free ``from_json`` to
+    ``map<string,string>`` under strict options; if that reads it, the body
+    is an object after all. The JSON literal ``null`` and non-objects fail.
     A valid JSON text is an object exactly when its first non-blank
     character is ``{``.
     """
+    text = F.col(body)
+    object_shaped = text.rlike(r"^\s*\{")
+    readable_object = object_shaped & F.from_json(text, "map<string,string>", JSON_OPTIONS).isNotNull()
     return (
-        F.when(parsed.isNull(), F.lit(REASON_INVALID_JSON))
+        F.when(parsed.isNull(), F.when(~readable_object | text.isNull(), F.lit(REASON_INVALID_JSON)))
         .when(F.is_variant_null(parsed), F.lit(REASON_NULL_BODY))
-        .when(~F.col(body).rlike(r"^\s*\{"), F.lit(REASON_NOT_OBJECT))
+        .when(~object_shaped, F.lit(REASON_NOT_OBJECT))
     )
 
 
 def classify_attempts(responses: DataFrame) -> DataFrame:
     """Attempts with ``reason`` (NULL when fetched) and ``fetched`` added.
 
-    The body is parsed only for attempts without a transport failure, and
-    only once: the parse is its own projected column, which Catalyst does
-    not inline into the two places that read it.
+    A body is parsed only when the transport succeeded, and once: the parse
+    is its own projected column, which Catalyst does not inline into the
+    places that read it.
     """
     staged = responses.withColumn("_transport", transport_failure()).withColumn(
         "_parsed", F.when(F.col("_transport").isNull(), F.try_parse_json(F.col("body")))

@@ -16,21 +16,30 @@ from pyspark.sql import functions as F
 
 from tallycheck.schemas import CORRUPT_COLUMN, RECORD_COLUMNS, RESPONSE_BODY_SCHEMA
 
-_PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+# Strict JSON text as Python's json module reads it: no single quotes, no
+# comments, no unquoted names (NaN/Infinity and repeated keys are accepted).
+JSON_OPTIONS = {"allowSingleQuotes": "false"}
+_PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, **JSON_OPTIONS}
 
 
 def parse_body(body: str = "body") -> F.Column:
+    """``from_json`` of a body into ``items`` plus ``_corrupt_record``."""
     return F.from_json(F.col(body), RESPONSE_BODY_SCHEMA, _PARSE_OPTIONS)
 
 
-def flatten_responses(responses: DataFrame, body: str = "body") -> DataFrame:
-    """One record per item of every response body (RECORD_SCHEMA)."""
-    items = responses.select(F.explode(parse_body(body)["items"]).alias("item"))
-    return items.filter(F.col("item").isNotNull()).select(
+def explode_items(frame: DataFrame, items: F.Column) -> DataFrame:
+    """One record per non-null element of an ``items`` array column."""
+    exploded = frame.select(F.explode(items).alias("item"))
+    return exploded.filter(F.col("item").isNotNull()).select(
         *[F.col("item")[c].alias(c) for c in RECORD_COLUMNS]
     )
 
 
+def flatten_responses(responses: DataFrame, body: str = "body") -> DataFrame:
+    """One record per item of every response body (RECORD_SCHEMA)."""
+    return explode_items(responses, parse_body(body)["items"])
+
+
 def quarantine(responses: DataFrame, body: str = "body") -> DataFrame:
     """Bodies with a value that did not fit the schema (or not an object).
 

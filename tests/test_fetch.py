@@ -99,6 +99,18 @@ def test_classification_of_bodies_and_statuses(spark):
         ("s500", 500, "{}", None, "http_error"),
         ("err", None, None, "API request failed", "request_error"),
         ("ws_obj", 200, ' \n {"items":[]}', None, None),
+        # as Python's json module reads text
+        ("single_quotes", 200, "{'items':[]}", None, "invalid_json"),
+        ("trailing_comma", 200, '{"items":[],}', None, "invalid_json"),
+        ("truncated", 200, '{"items":[]', None, "invalid_json"),
+        ("ctrl_char", 200, '{"a":"\u0001"}', None, "invalid_json"),
+        ("repeated_key", 200, '{"a":1,"a":2}', None, None),
+        ("nan", 200, '{"a":NaN}', None, None),
+        ("type_problem", 200, '{"items":[{"views":"x"}]}', None, None),
+        ("string", 200, '"str"', None, "not_object"),
+        ("number", 200, "3", None, "not_object"),
+        # leniency shared by Spark's JSON readers: text after the object is ignored
+        ("trailing_text", 200, '{"items":[]} xyz', None, None),
     ]
     df = responses_frame(spark, [attempt(t, 1, s, b, e) for t, s, b, e, _ in cases])
     got = {r["title"]: (r["reason"], r["fetched"]) for r in classify_attempts(df).collect()}

@@ -5,7 +5,11 @@ shifted key), and one key is made to hold a third of all rows. It is written
 as parquet into a scratch folder, then the three checks run into the
 ``noop`` sink. Prints one JSON line with rows, seconds and rows per second.
 
-Usage: python tools/scale_probe.py [k=100] [sf_dir=/root/testdata/sf0.1]
+Usage: python tools/scale_probe.py [k=100] [sf_dir=/root/testdata/sf0.1] [dq|ingest]
+
+``ingest`` instead lands the four-attempt pages of the ``events`` binding k
+times (each copy a distinct request) as parquet and times the ingest plan
+(classify, latest success, parse, explode, lineage) into the ``noop`` sink.
 """
 
 from __future__ import annotations
@@ -27,12 +31,45 @@ from tallycheck.sources import bindings as B  # noqa: E402
 from tallycheck.sources.bronze import with_lineage  # noqa: E402
 
 
+def ingest_probe(spark, k: int, sf_dir: str, scratch: str) -> None:
+    from tallycheck.plans import ingest
+
+    events = B.read_table(spark, sf_dir, "events")
+    landed = B.landed_attempts(events)
+    copies = landed.select("*", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("copy")).select(
+        F.concat(F.col("title"), F.lit("_"), F.col("copy").cast("string")).alias("title"),
+        "start_date", "end_date", "page", "attempt_no", "status_code", "body", "error",
+    )
+    path = os.path.join(scratch, "landed")
+    t0 = time.perf_counter()
+    copies.repartition(32).write.parquet(path)
+    t_write = time.perf_counter() - t0
+    attempts = spark.read.parquet(path)
+    n_attempts = attempts.count()
+    times = []
+    for _ in range(3):
+        t0 = time.perf_counter()
+        ingest(attempts, "scale", dt.datetime(2026, 1, 31)).write.format("noop").mode("overwrite").save()
+        times.append(time.perf_counter() - t0)
+    best = min(times)
+    items = events.count() * k
+    print(json.dumps({
+        "k": k, "landed_attempts": n_attempts, "items_out": items, "write_sec": round(t_write, 2),
+        "ingest_sec": round(best, 2), "items_per_sec": int(items / best),
+    }))
+
+
 def main() -> None:
     k = int(sys.argv[1]) if len(sys.argv) > 1 else 100
     sf_dir = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
+    mode = sys.argv[3] if len(sys.argv) > 3 else "dq"
     scratch = tempfile.mkdtemp(prefix="tallycheck-scale-", dir="/tmp")
     spark = build_session("local[8]", shuffle_partitions=64)
     spark.sparkContext.setLogLevel("ERROR")
+    if mode == "ingest":
+        ingest_probe(spark, k, sf_dir, scratch)
+        spark.stop()
+        return
 
     events = B.read_table(spark, sf_dir, "events")
     recs = B.records_from_events(events, carry=("event_id",))
