@@ -56,11 +56,20 @@ def body_failure(parsed: Column, body: str = "body") -> Column:
     """
     text = F.col(body)
     object_shaped = text.rlike(r"^\s*\{")
-    readable_object = object_shaped & F.from_json(text, "map<string,string>", JSON_OPTIONS).isNotNull()
+    # Spark's JSON readers stop after the first complete value; Python's
+    # rejects text after it. An object body must end in "}" (trimming only
+    # the tail, so this is cheap), which rejects the usual trailing garbage.
+    object_closed = F.trim(text, F.lit(" \t\n\r")).endswith("}")
+    readable_object = (
+        object_shaped
+        & object_closed
+        & F.from_json(text, "map<string,string>", JSON_OPTIONS).isNotNull()
+    )
     return (
         F.when(parsed.isNull(), F.when(~readable_object | text.isNull(), F.lit(REASON_INVALID_JSON)))
         .when(F.is_variant_null(parsed), F.lit(REASON_NULL_BODY))
         .when(~object_shaped, F.lit(REASON_NOT_OBJECT))
+        .when(~object_closed, F.lit(REASON_INVALID_JSON))
     )
 
 

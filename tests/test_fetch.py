@@ -109,8 +109,11 @@ def test_classification_of_bodies_and_statuses(spark):
         ("type_problem", 200, '{"items":[{"views":"x"}]}', None, None),
         ("string", 200, '"str"', None, "not_object"),
         ("number", 200, "3", None, "not_object"),
-        # leniency shared by Spark's JSON readers: text after the object is ignored
-        ("trailing_text", 200, '{"items":[]} xyz', None, None),
+        # text after the object is rejected when the body does not end in "}"
+        ("trailing_text", 200, '{"items":[]} xyz', None, "invalid_json"),
+        ("trailing_ws", 200, '{"items":[]}\n\t ', None, None),
+        # ...but a second object after the first is still read as the first
+        ("two_objects", 200, '{"items":[]} {"a":1}', None, None),
     ]
     df = responses_frame(spark, [attempt(t, 1, s, b, e) for t, s, b, e, _ in cases])
     got = {r["title"]: (r["reason"], r["fetched"]) for r in classify_attempts(df).collect()}
