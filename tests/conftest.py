@@ -19,7 +19,7 @@ def scratch():
 @pytest.fixture(scope="session")
 def spark(scratch):
     s = build_session(
-        master="local[*]",
+        master="local[*,3]",  # up to 3 attempts per task, as on a cluster
         app_name="tallycheck-tests",
         shuffle_partitions=8,
         extra_conf={

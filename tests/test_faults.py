@@ -1,0 +1,61 @@
+"""Lost tasks: a run whose tasks fail once must give the same results as a clean run."""
+
+import datetime as dt
+
+from pyspark import TaskContext
+
+from tallycheck.plans import DQConfig, ingest, run_checks
+from tallycheck.sources import bindings as B
+
+SF = "/root/testdata/sf0.001"
+AT = dt.datetime(2026, 1, 31)
+
+
+def _flaky(df):
+    """Same rows, but the first attempt of every task dies mid-stream."""
+
+    def fail_first_attempt(batches):
+        ctx = TaskContext.get()
+        for pdf in batches:
+            if ctx.attemptNumber() == 0:
+                raise RuntimeError("simulated executor loss")
+            yield pdf
+
+    return df.mapInPandas(fail_first_attempt, df.schema)
+
+
+def _failed_tasks(spark, group):
+    st = spark.sparkContext.statusTracker()
+    failed = 0
+    for job in st.getJobIdsForGroup(group):
+        info = st.getJobInfo(job)
+        for stage in info.stageIds if info else []:
+            si = st.getStageInfo(stage)
+            failed += si.numFailedTasks if si else 0
+    return failed
+
+
+def _collect(spark, df, group):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return sorted(tuple(r) for r in df.collect())
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+
+
+def test_dq_run_survives_task_loss(spark):
+    events = B.read_table(spark, SF, "events").repartition(4)
+    bronze = B.records_from_events(events)
+    cfg = DQConfig(titles=["user_1", "user_2", None], start_date="20240101", end_date="20240131")
+    clean = _collect(spark, run_checks(spark, bronze, "t", "r", AT, cfg), "dq-clean")
+    flaky = _collect(spark, run_checks(spark, _flaky(bronze), "t", "r", AT, cfg), "dq-flaky")
+    assert flaky == clean
+    assert _failed_tasks(spark, "dq-flaky") > 0 and _failed_tasks(spark, "dq-clean") == 0
+
+
+def test_ingest_survives_task_loss(spark):
+    attempts = B.landed_attempts(B.read_table(spark, SF, "events")).repartition(4)
+    clean = _collect(spark, ingest(attempts, "r", AT), "ingest-clean")
+    flaky = _collect(spark, ingest(_flaky(attempts), "r", AT), "ingest-flaky")
+    assert flaky == clean and len(clean) > 0
+    assert _failed_tasks(spark, "ingest-flaky") > 0
