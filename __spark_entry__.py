@@ -373,7 +373,7 @@ def oracle_sql() -> dict[str, str]:
         "missing_coverage": _with("select * from M", "M"),
         "missing_by_article": _with(
             "select article, string_agg(\"timestamp\", '; ' order by \"timestamp\") as details "
-            "from M group by 1",
+            "from (select distinct article, \"timestamp\" from M) group by 1",
             "M",
         ),
         "coverage_result": _with(
