@@ -201,16 +201,13 @@ def coverage_result(missing_count_frame: DataFrame, severity: str = WARN) -> Dat
 def missing_by_article(missing: DataFrame, keys: Sequence[str] = BUSINESS_KEYS) -> DataFrame:
     """Affected days per title, each once, sorted and joined with ``"; "``.
 
-    The (title, day) pairs are made distinct first, so a group never holds
-    more entries than the checked range has days, however often a title
-    is listed.
+    ``collect_set`` keeps each day once, in the map-side buffer too, so a
+    group never holds more entries than the checked range has days, however
+    often a title is listed.
     """
     title_key, day_key = keys
-    return (
-        missing.select(title_key, day_key)
-        .distinct()
-        .groupBy(title_key)
-        .agg(F.array_join(F.array_sort(F.collect_list(day_key)), MISMATCH_SEPARATOR).alias("details"))
+    return missing.groupBy(title_key).agg(
+        F.array_join(F.array_sort(F.collect_set(day_key)), MISMATCH_SEPARATOR).alias("details")
     )
 
 

@@ -16,9 +16,9 @@ def gate_failures(audit: DataFrame) -> DataFrame:
     """Per run with a FAIL: ``check_run_id, failed_checks`` joined with ``", "``.
 
     Known checks come in run order (coverage, duplicates, schema), others
-    after them by name. (run, check) pairs are made distinct first, so a
-    group holds at most one entry per check even if a run id was appended
-    twice.
+    after them by name. ``collect_set`` keeps one entry per check, so a
+    group's buffer is bounded by the check list even if a run id was
+    appended twice.
     """
     known = F.array(*[F.lit(c) for c in CHECK_ORDER])
     rank = F.array_position(known, F.col("check_name"))
@@ -26,12 +26,10 @@ def gate_failures(audit: DataFrame) -> DataFrame:
     entry = F.struct(order.alias("o"), F.col("check_name").alias("n"))
     return (
         audit.filter(F.col("check_status") == FAIL)
-        .select("check_run_id", "check_name")
-        .distinct()
         .groupBy("check_run_id")
         .agg(
             F.array_join(
-                F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["n"]),
+                F.transform(F.array_sort(F.collect_set(entry)), lambda e: e["n"]),
                 FAILED_CHECKS_SEPARATOR,
             ).alias("failed_checks")
         )
