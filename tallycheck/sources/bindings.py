@@ -69,7 +69,9 @@ def attempts_from_events(events: DataFrame) -> DataFrame:
 def landed_pages(events: DataFrame) -> DataFrame:
     """One successful response body per (article, page of 100 event ids).
 
-    Pages bound the size of every body whatever the key distribution.
+    ``event_id`` is unique in ``events``, so a page holds at most 100
+    events: pages bound the size of every body whatever the key
+    distribution (a hot user just has more pages).
     """
     recs = records_from_events(events, carry=("event_id",)).select(
         "*", F.col("article").alias("title"), F.expr(f"event_id div {PAGE_SIZE}").alias("page")
