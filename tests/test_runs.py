@@ -65,6 +65,15 @@ def test_read_landed_json_lines(spark, scratch, tmp_path):
     assert ingest(back, "r", T0).count() == 5
 
 
+def test_read_landed_parquet(spark, tmp_path):
+    path = tmp_path / "landed_parquet"
+    # a landing writer may leave out optional columns; they read as NULL
+    attempts(spark).drop("page", "start_date", "end_date").write.parquet(str(path))
+    back = read_responses(spark, str(path), "parquet")
+    assert back.filter("page is null and start_date is null").count() == 5
+    assert ingest(back, "r", T0).count() == 5
+
+
 def test_append_twice_then_dq_run(spark):
     bronze, audit = name("bronze"), name("audit")
     assert run_ingest(attempts(spark), bronze, "run_1", T0)
