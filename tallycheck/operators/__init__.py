@@ -34,6 +34,7 @@ from tallycheck.operators.flatten import flatten_responses, quarantine
 from tallycheck.operators.gate import GateError, enforce_gate, gate_failures
 from tallycheck.operators.report import latest_run, latest_run_id, latest_run_sql
 from tallycheck.operators.schema_drift import (
+    check_schema,
     column_rows,
     expected_rows,
     schema_mismatches,
@@ -74,6 +75,7 @@ __all__ = [
     "latest_run",
     "latest_run_id",
     "latest_run_sql",
+    "check_schema",
     "column_rows",
     "expected_rows",
     "schema_mismatches",

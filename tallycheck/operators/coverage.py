@@ -213,7 +213,7 @@ def missing_by_article(missing: DataFrame, keys: Sequence[str] = BUSINESS_KEYS)
 
 def check_coverage(
     df: DataFrame,
-    titles: DataFrame,
+    titles: DataFrame | Iterable[str | None],
     start: str,
     end: str,
     keys: Sequence[str] = BUSINESS_KEYS,
@@ -221,9 +221,12 @@ def check_coverage(
 ) -> CheckOutput:
     """Coverage check over the rows of the range (a pushed-down filter).
 
-    The result comes from the union-aggregate tally; the failing rows from
-    the anti join of the grid with the key tally.
+    ``titles`` is a one-column DataFrame or a plain list of titles. The
+    result comes from the union-aggregate tally; the failing rows from the
+    anti join of the grid with the key tally.
     """
+    if not isinstance(titles, DataFrame):
+        titles = titles_frame(df.sparkSession, titles, keys[0])
     rows = in_range(df, start, end, keys[1])
     tally = coverage_tally(rows, titles, start, end, keys)
     failing = missing_coverage(expected_grid(titles, start, end, keys), key_counts(rows, keys), keys)

@@ -27,6 +27,7 @@ from tallycheck.constants import (
     WARN,
 )
 from tallycheck.functions.status import status_from_count
+from tallycheck.operators.coverage import CheckOutput
 from tallycheck.schemas import COLUMN_ROW_SCHEMA
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
@@ -145,3 +146,22 @@ def schema_result(actual: DataFrame, expected: DataFrame, severity: str = WARN)
         "mismatch_count",
         "details",
     )
+
+
+def check_schema(
+    df: DataFrame,
+    expected: Mapping[str, str] | Iterable[tuple[str, str]],
+    table_name: str = "table",
+    severity: str = WARN,
+) -> CheckOutput:
+    """Schema check of one DataFrame against ``{column: simpleString type}``.
+
+    ``result`` is one row (``table_name, check_name, status, mismatch_count,
+    details``); ``failing`` has one row per mismatch message, in order
+    (``section``, ``ordinal``).
+    """
+    spark = df.sparkSession
+    actual, exp = column_rows(spark, df, table_name), expected_rows(spark, expected, table_name)
+    return CheckOutput(
+        result=schema_result(actual, exp, severity), failing=schema_mismatches(actual, exp)
+    )

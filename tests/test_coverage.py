@@ -135,3 +135,9 @@ def test_adding_a_duplicate_never_changes_coverage(spark):
     first = bronze.limit(1)
     after = check_coverage(bronze.unionByName(first), titles, "20260101", "20260104").result.collect()[0]
     assert before == after
+
+
+def test_titles_as_a_plain_list(spark):
+    bronze = keys_df(spark, [("Minecraft", "2026010100"), ("Minecraft", "2026010300")])
+    out = check_coverage(bronze, ["Minecraft"], "20260101", "20260103")
+    assert rows(out.failing) == [("Minecraft", "2026010200")]

@@ -3,7 +3,13 @@
 from pyspark.sql import types as T
 
 from tallycheck.constants import EXPECTED_BRONZE_SCHEMA
-from tallycheck.operators.schema_drift import column_rows, expected_rows, schema_mismatches, schema_result
+from tallycheck.operators.schema_drift import (
+    check_schema,
+    column_rows,
+    expected_rows,
+    schema_mismatches,
+    schema_result,
+)
 from tallycheck.schemas import BRONZE_SCHEMA
 
 
@@ -89,3 +95,11 @@ def test_many_tables_in_one_job(spark):
     e = expected_rows(spark, {"x": "bigint"}, "t1").unionByName(expected_rows(spark, {"y": "string"}, "t2"))
     res = {r["table_name"]: (r["status"], r["mismatch_count"]) for r in schema_result(a, e).collect()}
     assert res == {"t1": ("PASS", 0), "t2": ("WARN", 1)}
+
+
+def test_check_schema_on_a_dataframe(spark):
+    df = spark.createDataFrame([("a", "7")], "article string, views string")
+    out = check_schema(df, {"article": "string", "views": "bigint"}, "bronze")
+    r = out.result.collect()[0]
+    assert (r["table_name"], r["check_name"], r["status"], r["mismatch_count"]) == ("bronze", "schema_check", "WARN", 1)
+    assert [m["mismatch"] for m in out.failing.collect()] == ["Type mismatch on views: expected bigint, got string"]
