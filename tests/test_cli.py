@@ -33,3 +33,22 @@ def test_cli_round_trip(spark, scratch, capsys):
     assert main(["report", "--audit-table", audit, "--by", "check_run_id"]) == 0
     shown = capsys.readouterr().out
     assert "warn-run" in shown and "fail-run" not in shown
+
+
+def test_cli_replace_existing(spark, scratch, capsys):
+    landed = os.path.join(scratch, f"landed_{uuid.uuid4().hex[:8]}")
+    os.makedirs(landed)
+
+    def land(views):
+        body = json.dumps({"items": [{"article": "Minecraft", "timestamp": "2026010100", "views": views}]})
+        with open(os.path.join(landed, "part.json"), "w") as fh:
+            fh.write(json.dumps({"title": "Minecraft", "attempt_no": 1, "status_code": 200, "body": body}) + "\n")
+
+    bronze = f"cli_bronze_{uuid.uuid4().hex[:6]}"
+    args = ["ingest", "--landed", landed, "--bronze-table", bronze, "--run-id", "r1", "--replace-existing"]
+    land(1)
+    assert main(args) == 0
+    land(5)  # corrected landing, same run id
+    assert main(args) == 0
+    spark.catalog.refreshTable(bronze)
+    assert [tuple(r) for r in spark.table(bronze).select("views", "_ingestion_job_run_id").collect()] == [(5, "r1")]
