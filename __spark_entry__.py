@@ -7,6 +7,7 @@ the bindings in ``tallycheck.sources.bindings`` and runs over whole tables.
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -250,8 +251,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_dq_results(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The optional subpackage's queries and SQL, and the pipeline's, if they are installed."""
+    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    sql: dict[str, str] = {}
+    if importlib.util.find_spec("tallycheck.llm") and importlib.util.find_spec("tallycheck.llm.queries"):
+        from tallycheck.llm import queries as llm
+
+        found |= llm.QUERIES
+        sql |= llm.ORACLE_SQL
+        if importlib.util.find_spec("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 # --------------------------------------------------------------------------
@@ -325,6 +344,10 @@ def _with(body: str, *names: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**_own_sql(), **_llm()[1]}
+
+
+def _own_sql() -> dict[str, str]:
     schema_values = ", ".join(f"('events', {s}, {o}, '{m}')" for s, o, m in _SCHEMA_MSGS)
     schema_details = "; ".join(m for _, _, m in _SCHEMA_MSGS)
     lineage = f"{_RUN_AT_SQL} as _ingested_at, '{RUN_ID}' as _ingestion_job_run_id"
