@@ -28,6 +28,15 @@ def tokenizer_file() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_window_decontamination(spark, sf_dir):
+    from .decontaminate import contaminated
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op2_source_mix(spark, sf_dir):
     from .mixing import mix
 
@@ -50,12 +59,37 @@ def op10_token_orc(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_window_decontamination": op1_window_decontamination,
     "op2_source_mix": op2_source_mix,
     "op7_line_spread": op7_line_spread,
     "op10_token_orc": op10_token_orc,
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_window_decontamination": rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+i AS (
+  SELECT item_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, w[p : p + least(10, len(w)) - 1] AS win
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS p FROM i WHERE len(w) > 0)),
+n AS (SELECT DISTINCT len(win) AS k FROM iw),
+dw AS (
+  SELECT doc_id, p, k, w[p : p + k - 1] AS win
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d, n WHERE len(w) >= k)),
+hit AS (SELECT dw.doc_id, dw.p, dw.k, iw.item_id FROM dw JOIN iw ON dw.win = iw.win),
+words AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS q FROM (SELECT DISTINCT doc_id, p, k FROM hit)) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)""",
     "op2_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, text,
