@@ -44,6 +44,14 @@ def op2_source_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_simhash_pigeonhole(spark, sf_dir):
+    from .simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op7_line_spread(spark, sf_dir):
     from .line_spread import remove_spread_lines
 
@@ -61,6 +69,7 @@ def op10_token_orc(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_window_decontamination": op1_window_decontamination,
     "op2_source_mix": op2_source_mix,
+    "op3_simhash_pigeonhole": op3_simhash_pigeonhole,
     "op7_line_spread": op7_line_spread,
     "op10_token_orc": op10_token_orc,
 }
