@@ -52,6 +52,13 @@ def op3_simhash_pigeonhole(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_prefix_free_suffixes(spark, sf_dir):
+    from .suffix_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_line_spread(spark, sf_dir):
     from .line_spread import remove_spread_lines
 
@@ -70,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_window_decontamination": op1_window_decontamination,
     "op2_source_mix": op2_source_mix,
     "op3_simhash_pigeonhole": op3_simhash_pigeonhole,
+    "op4_prefix_free_suffixes": op4_prefix_free_suffixes,
     "op7_line_spread": op7_line_spread,
     "op10_token_orc": op10_token_orc,
 }
