@@ -67,6 +67,12 @@ def op7_line_spread(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
 
 
+def op9_line_blocks(spark, sf_dir):
+    from .html_blocks import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_token_orc(spark, sf_dir):
     from .token_orc import tokenize_to_orc
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_pigeonhole": op3_simhash_pigeonhole,
     "op4_prefix_free_suffixes": op4_prefix_free_suffixes,
     "op7_line_spread": op7_line_spread,
+    "op9_line_blocks": op9_line_blocks,
     "op10_token_orc": op10_token_orc,
 }
 
