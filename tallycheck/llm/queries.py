@@ -59,6 +59,13 @@ def op4_prefix_free_suffixes(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_rule_quality(spark, sf_dir):
+    from .rule_quality import score_quality
+
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_line_spread(spark, sf_dir):
     from .line_spread import remove_spread_lines
 
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_simhash_pigeonhole": op3_simhash_pigeonhole,
     "op4_prefix_free_suffixes": op4_prefix_free_suffixes,
+    "op6_rule_quality": op6_rule_quality,
     "op7_line_spread": op7_line_spread,
     "op9_line_blocks": op9_line_blocks,
     "op10_token_orc": op10_token_orc,
