@@ -74,6 +74,12 @@ def op7_line_spread(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
 
 
+def op8_counterfactual_toxicity(spark, sf_dir):
+    from .toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op9_line_blocks(spark, sf_dir):
     from .html_blocks import extract
 
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_prefix_free_suffixes": op4_prefix_free_suffixes,
     "op6_rule_quality": op6_rule_quality,
     "op7_line_spread": op7_line_spread,
+    "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
     "op9_line_blocks": op9_line_blocks,
     "op10_token_orc": op10_token_orc,
 }
