@@ -59,6 +59,12 @@ def op4_prefix_free_suffixes(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_chunk_containment(spark, sf_dir):
+    from .chunk_fingerprint import edited_neighbours
+
+    return edited_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op6_rule_quality(spark, sf_dir):
     from .rule_quality import score_quality
 
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_simhash_pigeonhole": op3_simhash_pigeonhole,
     "op4_prefix_free_suffixes": op4_prefix_free_suffixes,
+    "op5_chunk_containment": op5_chunk_containment,
     "op6_rule_quality": op6_rule_quality,
     "op7_line_spread": op7_line_spread,
     "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
