@@ -7,12 +7,13 @@ import tempfile
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A-Z to a-z, and nothing else.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -61,6 +62,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one column ``own``, so that no name added beside it can clash."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own"))
+
+
+def unpacked(df: DataFrame, *added: Column, names: Sequence[str] = ()) -> DataFrame:
+    """The columns inside ``own`` but those called ``names``, then ``added``."""
+    inner = [f.name for f in df.schema["own"].dataType if f.name not in names]
+    return df.select(*[F.col("own").getField(c).alias(c) for c in inner], *added)
+
+
+def own_schema(df: DataFrame, added: str) -> T.StructType:
+    """``own`` of ``df`` followed by the columns that ``added`` declares."""
+    return T.StructType([df.schema["own"], *T.StructType.fromDDL(added)])
+
+
+def own_text(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
+    """The UTF-8 bytes of a column inside ``own``."""
+    own = batch.column("own")
+    return own.field(own.type.get_field_index(column)).cast(pa.binary()).to_pylist()
+
+
 def text_bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()

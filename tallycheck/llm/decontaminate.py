@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, expand, pieces, text_bytes, written
+from .common import LOWER, expand, own_schema, own_text, packed, pieces, text_bytes, unpacked, written
 
 #: Words of a shingle.
 _GRAM = 3
@@ -38,7 +38,7 @@ _WORDS = 1 << 21
 _FOLD = bytes(
     LOWER[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_STATE = "_n_words long, _runs array<long>, _items array<string>"
+_STATE = "n_words long, runs array<long>, items array<string>"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -113,9 +113,9 @@ def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nd
     return here, at[here]
 
 
-def _numbered(block: Block, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts of a batch in one row, with one 0 after each text; starts and lengths of the texts."""
-    texts = [words_of(x) for x in text_bytes(batch, "text")]
+def _numbered(block: Block, raw: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts in one row, with one 0 after each text; starts and lengths of the texts."""
+    texts = [words_of(x) for x in raw]
     n = np.fromiter(map(len, texts), np.int64, len(texts))
     flat = np.zeros(int(n.sum()) + len(n), np.int64)
     starts = np.cumsum(n + 1) - (n + 1)
@@ -133,7 +133,7 @@ def shingle_counts(docs: DataFrame, block: Block) -> dict[tuple[int, int], int]:
         own, keys = sent.value
         totals = {g: np.zeros(len(k), np.int64) for g, k in keys.items()}
         for batch in pieces(batches):
-            flat, _, _ = _numbered(own, batch)
+            flat, _, _ = _numbered(own, text_bytes(batch, "text"))
             for g, k in keys.items():
                 totals[g] += np.bincount(_found(k, _keys(flat, g))[1], minlength=len(k))
         for g, total in totals.items():
@@ -199,14 +199,14 @@ def _runs_of(covered: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def _scan(sent, kept: list[str]):
+def _scan(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, prefixes = sent.value
         for batch in pieces(batches):
-            flat, starts, n = _numbered(block, batch)
+            flat, starts, n = _numbered(block, own_text(batch))
             text, start, window = _matches(block, prefixes, flat, starts, n)
-            runs = batch.column("_runs").to_pylist()
-            items = batch.column("_items").to_pylist()
+            runs = batch.column("runs").to_pylist()
+            items = batch.column("items").to_pylist()
             order = np.argsort(text, kind="stable")
             hit, first = np.unique(text[order], return_index=True)
             for t, own in zip(hit.tolist(), np.split(order, first[1:])):
@@ -219,8 +219,8 @@ def _scan(sent, kept: list[str]):
                 runs[t] = _runs_of(np.cumsum(cover)[:-1] > 0)
                 items[t] = items[t] + sorted({i for w in set(window[own].tolist()) for i in block.items[w]})
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(n), pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                names=[*kept, "_n_words", "_runs", "_items"],
+                [batch.column("own"), pa.array(n), pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
+                names=["own", "n_words", "runs", "items"],
             )
 
     return run
@@ -250,27 +250,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_by
     """
     if block_bytes > _WORDS or size < 1:
         raise ValueError(f"block_bytes is at most {_WORDS} and size at least 1")
-    added = ["n_words", "hit_runs", "n_hit", "items", "n_items", "contaminated"]
-    own = [c for c in docs.columns if c not in added]
-    state = docs.select(*own).withColumns({"_n_words": F.lit(0).cast("long"), "_runs": F.array().cast("array<long>"), "_items": F.array().cast("array<string>")})
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*own).schema)
+    state = packed(docs).withColumns({"n_words": F.lit(0).cast("long"), "runs": F.array().cast("array<long>"), "items": F.array().cast("array<string>")})
+    schema = own_schema(state, _STATE)
     blocks = _blocks(benchmark, size, block_bytes)
     block = next(blocks, None) or Block.of([], size)
     while block is not None:
         following = next(blocks, None)
         sent = docs.sparkSession.sparkContext.broadcast((block, probes(block, shingle_counts(docs, block))))
-        state = state.mapInArrow(_scan(sent, own), f"{fields}, {_STATE}")
+        state = state.mapInArrow(_scan(sent), schema)
         if following is not None:
             state = written(state, "decontaminate")
         block = following
-    hit = F.aggregate(F.sequence(F.lit(0), (F.size("_runs") / 2 - 1).cast("int")), F.lit(0).cast("long"), lambda a, k: a + F.col("_runs")[2 * k + 1] - F.col("_runs")[2 * k])
-    n_hit = F.when(F.size("_runs") > 0, hit).otherwise(F.lit(0).cast("long"))
-    return state.select(
-        *own,
-        F.col("_n_words").alias("n_words"),
-        F.col("_runs").alias("hit_runs"),
-        n_hit.alias("n_hit"),
-        F.array_sort("_items").alias("items"),
-        F.size("_items").cast("long").alias("n_items"),
-        (F.size("_runs") > 0).alias("contaminated"),
-    )
+    size = F.aggregate(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), F.lit(0).cast("long"), lambda a, k: a + F.col("runs")[2 * k + 1] - F.col("runs")[2 * k])
+    hit = F.size("runs") > 0
+    added = {
+        "n_words": F.col("n_words"),
+        "hit_runs": F.col("runs"),
+        "n_hit": F.when(hit, size).otherwise(F.lit(0).cast("long")),
+        "items": F.array_sort("items"),
+        "n_items": F.size("items").cast("long"),
+        "contaminated": hit,
+    }
+    return unpacked(state, *(c.alias(n) for n, c in added.items()), names=list(added))

@@ -19,8 +19,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import own_schema, pieces, unpacked
 
 WINDOW = 3
 #: Characters in a window that open a stretch on pages that mark no article.
@@ -189,15 +190,14 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
 
 def extract(pages: DataFrame, window: int = WINDOW, surge: int = SURGE) -> DataFrame:
     """``pages`` (with html) and ``text``, ``n_chars`` (code points), replacing columns of these names; html itself is left out."""
-    own = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*own).schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             texts = [main_text(x, window, surge) for x in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in own), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
-                names=[*own, "text", "n_chars"],
+                [batch.column("own"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
+                names=["own", "text", "n_chars"],
             )
 
-    return pages.select(*own, "html").mapInArrow(run, ", ".join(x for x in (fields, "text string, n_chars long") if x))
+    added = ["text", "n_chars"]
+    rest = pages.select(F.struct(*[pages[c] for c in pages.columns if c != "html"]).alias("own"), pages["html"])
+    return unpacked(rest.mapInArrow(run, own_schema(rest, "text string, n_chars long")), *added, names=added)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import packed, unpacked, written
 
 #: Buckets of a sketch, as a power of 2: a standard error of about 1.6 %.
 LG_BUCKETS = 12
@@ -60,21 +60,22 @@ def spread_lines(docs: DataFrame, min_sites: int = 5, band: float = 0.1) -> Data
 def remove_spread_lines(docs: DataFrame, min_sites: int = 5, band: float = 0.1) -> DataFrame:
     """``docs`` with ``kept_text`` (null for null), ``n_lines`` and ``n_removed`` added (replacing columns of those names)."""
     spread = spread_lines(docs, min_sites, band)
-    own = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
-    keyed = docs.select(*own).withColumns({"_text1": F.xxhash64("text"), "_text2": F.xxhash64(F.lit("text"), F.col("text"))})
-    lines = keyed.select("_text1", "_text2", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    lines = lines.select("_text1", "_text2", *_hashes(F.col("line"), "line"))
-    hits = lines.join(spread, ["line1", "line2"]).groupBy("_text1", "_text2").agg(F.collect_set(F.struct("line1", "line2")).alias("_bad"))
-    joined = keyed.join(written(hits, "line-hits"), ["_text1", "_text2"], "left")
-    all_lines = F.split("text", "\n")
-    kept = F.when(F.col("_bad").isNull(), all_lines).otherwise(
-        F.filter(all_lines, lambda x: ~F.array_contains(F.col("_bad"), F.struct(*_hashes(x, "line"))))
-    )
-    done = joined.withColumn("_kept", kept)
-    n_lines = F.coalesce(F.size(all_lines), F.lit(0)).cast("long")
-    return done.select(
-        *own,
-        F.array_join("_kept", "\n").alias("kept_text"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(all_lines) - F.size("_kept")).cast("long").alias("n_removed"),
+    text = F.col("own")["text"]
+    keyed = packed(docs).withColumns({"text1": F.xxhash64(text), "text2": F.xxhash64(F.lit("text"), text)})
+    lines = keyed.select("text1", "text2", F.explode(F.array_distinct(F.split(text, "\n"))).alias("line"))
+    lines = lines.select("text1", "text2", *_hashes(F.col("line"), "line"))
+    hits = lines.join(spread, ["line1", "line2"]).groupBy("text1", "text2").agg(F.collect_set(F.struct("line1", "line2")).alias("bad"))
+    joined = keyed.join(written(hits, "line-hits"), ["text1", "text2"], "left")
+    all_lines = F.split(text, "\n")
+    kept = F.when(F.col("bad").isNull(), all_lines).otherwise(
+        F.filter(all_lines, lambda x: ~F.array_contains(F.col("bad"), F.struct(*_hashes(x, "line"))))
     )
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(all_lines))
+    n_kept = F.when(text.isNull(), F.lit(0)).otherwise(F.size("kept_lines"))
+    added = {
+        "kept_text": F.array_join("kept_lines", "\n"),
+        "n_lines": n_lines.cast("long"),
+        "n_removed": (n_lines - n_kept).cast("long"),
+    }
+    done = joined.withColumn("kept_lines", kept)
+    return unpacked(done, *(c.alias(n) for n, c in added.items()), names=list(added))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import packed, unpacked, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,6 +60,12 @@ def _draw(doc_id: Column, text: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
+def _copies(size: Column, target: Column, draw: Column, cap: int) -> Column:
+    """floor(target / size) and, by chance, one more."""
+    rate = F.when(size > 0, F.least(target / size, F.lit(float(cap)))).otherwise(1.0)
+    return F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 17) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, copies."""
     sized = written(
@@ -68,24 +74,17 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed:
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(totals, weights, cap), "mix-targets").withColumnRenamed("source", "_source")
-    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(1.0)
-    copies = F.floor(rate) + (F.col("draw") < rate - F.floor(rate)).cast("long")
     joined = sized.join(targets, sized["source"].eqNullSafe(targets["_source"]))
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), "draw")
+    copies = _copies(F.col("source_size"), F.col("target"), F.col("draw"), cap)
+    return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with its own columns only."""
-    targets = source_targets_of(docs, weights, cap).withColumnRenamed("source", "_mix_source")
-    rate = F.when(F.col("_mix_size") > 0, F.least(F.col("_mix_target") / F.col("_mix_size"), F.lit(float(cap)))).otherwise(1.0)
-    copies = F.floor(rate) + (_draw(docs["doc_id"], docs["text"], seed) < rate - F.floor(rate)).cast("long")
-    targets = targets.withColumnsRenamed({"source_size": "_mix_size", "target": "_mix_target"})
-    joined = docs.join(targets, docs["source"].eqNullSafe(targets["_mix_source"]))
-    many = joined.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-    return many.select(*[docs[c] for c in docs.columns])
-
-
-def source_targets_of(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3) -> DataFrame:
-    """``source_targets`` of documents, written to the shared folder so that joins know its size."""
     totals = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size"))
-    return written(source_targets(totals, weights, cap), "mix-targets")
+    targets = written(source_targets(totals, weights, cap), "mix-targets")
+    targets = targets.withColumnRenamed("source", "of")
+    own = F.col("own")
+    joined = packed(docs).join(targets, own["source"].eqNullSafe(F.col("of")))
+    copies = _copies(F.col("source_size"), F.col("target"), _draw(own["doc_id"], own["text"], seed), cap)
+    return unpacked(joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, pieces, text_bytes, written
+from .common import held_out, packed, pieces, text_bytes, unpacked, written
 
 STATISTICS = (
     "log_bytes", "log_words", "mean_word", "upper", "digits", "marks", "symbols", "pipes", "exclaims", "spaces",
@@ -234,8 +234,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", th
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, sample_rows: int = 20_000, seed: int = 5) -> DataFrame:
     """The rows of ``docs`` that are predicted 1, with their own columns."""
     scored = score_quality(docs, labels, label, threshold, sample_rows, seed).filter("predicted = 1")
-    good = written(scored.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).distinct(), "quality-kept")
-    own = docs.columns
-    hashed = docs.withColumns({"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit("tie"), F.col("text"))})
-    same = hashed["doc_id"].eqNullSafe(good["_id"]) & (hashed["_h1"] == good["_t1"]) & (hashed["_h2"] == good["_t2"])
-    return hashed.join(good, same, "left_semi").select(*own)
+    good = written(scored.select(F.col("doc_id").alias("id"), "t1", "t2").distinct(), "quality-kept")
+    own = F.col("own")
+    hashed = packed(docs).withColumns({"h1": F.xxhash64(own["text"]), "h2": F.xxhash64(F.lit("tie"), own["text"])})
+    same = own["doc_id"].eqNullSafe(F.col("id")) & (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2"))
+    return unpacked(hashed.join(good, same, "left_semi"))

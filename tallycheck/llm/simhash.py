@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, written
+from .common import packed, text_bytes, unpacked, written
 from .components import components
 from .simhash_fp import fingerprint
 
@@ -201,12 +201,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 4
     A component without any id keeps one of its rows.
     """
     marked = near_duplicates(docs, shingle, max_bits, seed, tie=True)
-    first = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp")).agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.struct("t1", "t2"))).alias("_tie")
+    first = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(
+        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.struct("t1", "t2"))).alias("tie")
     )
-    first = written(first.select(F.col("component_id").alias("_id"), F.col("_tie.t1").alias("_t1"), F.col("_tie.t2").alias("_t2")), "simhash-kept")
-    own = docs.columns
-    hashed = docs.withColumns({"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit("tie"), F.col("text"))})
-    same = hashed["doc_id"].eqNullSafe(first["_id"]) & (hashed["_h1"] == first["_t1"]) & (hashed["_h2"] == first["_t2"])
-    kept = hashed.join(first, same).dropDuplicates(["doc_id", "_h1", "_h2"])
-    return kept.select(*[kept[c] for c in own])
+    first = written(first.select(F.col("component_id").alias("id"), "tie.t1", "tie.t2"), "simhash-kept")
+    own = F.col("own")
+    hashed = packed(docs).withColumns({"h1": F.xxhash64(own["text"]), "h2": F.xxhash64(F.lit("tie"), own["text"])})
+    same = own["doc_id"].eqNullSafe(F.col("id")) & (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2"))
+    return unpacked(hashed.join(first, same).dropDuplicates(["id", "h1", "h2"]))

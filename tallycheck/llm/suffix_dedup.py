@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, pieces, text_bytes, written
+from .common import expand, own_schema, own_text, packed, pieces, text_bytes, unpacked, written
 from .phrases import Hashed, Shape, parse
 
 #: Start positions that share a core.
@@ -183,46 +183,44 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFr
     return written(spans, "suffix-spans")
 
 
-def _cut(kept_columns: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, _RUN):
-            kept, removed, spans = [], [], []
-            texts = text_bytes(batch, "text")
-            for text, packed in zip(texts, batch.column("spans")):
-                text = text or b""
-                if not packed.is_valid:
-                    kept.append(text)
-                    removed.append(0)
-                    spans.append(0)
-                    continue
-                packed = np.sort(packed.values.to_numpy())
-                begin, end = packed >> 10, (packed >> 10) + (packed & 1023)
-                reach = np.maximum.accumulate(end)
-                head = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]]))
-                begin, end = begin[head], reach[np.append(head[1:], len(reach)) - 1]
-                edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2])))
-                removed.append(int((end - begin).sum()))
-                spans.append(len(begin))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in kept_columns),
-                    pa.array([len(x or b"") for x in texts], pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(spans, pa.int64()),
-                    pa.array(kept, pa.binary()),
-                ],
-                names=[*kept_columns, "n_bytes", "n_removed", "n_spans", "kept"],
-            )
-
-    return run
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, _RUN):
+        kept, removed, spans = [], [], []
+        texts = own_text(batch)
+        for text, marks in zip(texts, batch.column("spans")):
+            text = text or b""
+            if not marks.is_valid:
+                kept.append(text)
+                removed.append(0)
+                spans.append(0)
+                continue
+            marks = np.sort(marks.values.to_numpy())
+            begin, end = marks >> 10, (marks >> 10) + (marks & 1023)
+            reach = np.maximum.accumulate(end)
+            head = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]]))
+            begin, end = begin[head], reach[np.append(head[1:], len(reach)) - 1]
+            edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(text)]
+            kept.append(b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2])))
+            removed.append(int((end - begin).sum()))
+            spans.append(len(begin))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("own"),
+                pa.array([len(x or b"") for x in texts], pa.int64()),
+                pa.array(removed, pa.int64()),
+                pa.array(spans, pa.int64()),
+                pa.array(kept, pa.binary()),
+            ],
+            names=["own", "n_bytes", "n_removed", "n_spans", "kept"],
+        )
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
     """``docs`` (with text) and ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes left, joined; replacing columns of these names)."""
     spans = repeated_spans(docs, length, gram)
-    own = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "spans")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*own).schema)
-    hashed = docs.select(*own, _hash1(F.col("text")).alias("_text1"), _hash2(F.col("text")).alias("_text2"))
-    joined = hashed.join(spans, (F.col("_text1") == spans["text1"]) & (F.col("_text2") == spans["text2"]), "left").select(*own, "spans")
-    return joined.mapInArrow(_cut(own), f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary")
+    text = F.col("own")["text"]
+    hashed = packed(docs).withColumns({"h1": _hash1(text), "h2": _hash2(text)})
+    joined = hashed.join(spans, (F.col("h1") == F.col("text1")) & (F.col("h2") == F.col("text2")), "left").select("own", "spans")
+    added = ["n_bytes", "n_removed", "n_spans", "kept"]
+    done = joined.mapInArrow(_cut, own_schema(joined, "n_bytes long, n_removed long, n_spans long, kept binary"))
+    return unpacked(done, *added, names=added)
