@@ -180,19 +180,19 @@ def links(prints: DataFrame, max_bits: int, plan: Plan | None = None) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42, tie: bool = False) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, fp (long), component_id; with ``tie``, also two hashes of the text (t1, t2)."""
+    """Per row of ``docs`` (doc_id, text): doc_id, fp (long), component_id; with ``tie``, also two hashes of the text (t1, t2) and ``root``, a fingerprint of the component."""
     rows = docs.select("doc_id", "text", *([F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("tie"), F.col("text")).alias("t2")] if tie else []))
     keep = [c for c in rows.columns if c != "text"]
     prints = written(with_fingerprints(rows, keep, shingle, seed), "simhash-prints")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     if classes.isEmpty():
-        return prints.withColumn("component_id", F.col("doc_id"))
+        return prints.select(*keep, "fp", F.col("doc_id").alias("component_id"), *([F.col("fp").alias("root")] if tie else []))
     linked = components(links(classes, max_bits))
     in_classes = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     in_classes = written(in_classes, "simhash-roots")
     least = in_classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = written(in_classes.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return prints.join(of_print, "fp").select(*keep, "fp", "component_id")
+    of_print = written(in_classes.join(least, "root").select("fp", "component_id", "root"), "simhash-components")
+    return prints.join(of_print, "fp").select(*keep, "fp", "component_id", *(["root"] if tie else []))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
@@ -201,8 +201,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 4
     A component without any id keeps one of its rows.
     """
     marked = near_duplicates(docs, shingle, max_bits, seed, tie=True)
-    first = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.struct("t1", "t2"))).alias("tie")
+    first = marked.groupBy("root").agg(
+        F.min("component_id").alias("component_id"), F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.struct("t1", "t2"))).alias("tie")
     )
     first = written(first.select(F.col("component_id").alias("id"), "tie.t1", "tie.t2"), "simhash-kept")
     own = F.col("own")
