@@ -41,70 +41,71 @@ def transport_failure(status_code: str = "status_code", error: str = "error") ->
     )
 
 
-def body_failure(parsed: Column, body: str = "body") -> Column:
-    """Failure of a delivered body, or NULL when it is a JSON object.
-
-    ``parsed`` is ``try_parse_json(body)``, which runs inside whole-stage
-    codegen and settles almost every body. It rejects NULL, empty and junk
-    text, but also two forms Python's json module (the reference's reader)
-    accepts: repeated keys and NaN/Infinity. Only for bodies it rejects,
-    an object-shaped text gets a second, schema-free ``from_json`` to
-    ``map<string,string>`` under strict options; if that reads it, the body
-    is an object after all. The JSON literal ``null`` and non-objects fail.
-    A valid JSON text is an object exactly when its first non-blank
-    character is ``{``.
+def valid_json(body: str = "body") -> Column:
+    """Whether a body is one JSON text as Python's json module reads it, nothing after it.
+
+    The body is wrapped as ``[body, "hash of body"]``. Only if the body is one
+    complete value is the second element the hash: text after the value, a
+    second value or a closing bracket puts something else there or breaks
+    the array. The variant parse settles almost every body; it rejects
+    repeated keys and NaN/Infinity, which json accepts, so bodies that it
+    rejects get a second, schema-free parse. The parse stands once in the
+    expression, so a filter on it parses a body once.
     """
     text = F.col(body)
-    object_shaped = text.rlike(r"^\s*\{")
-    # Spark's JSON readers stop after the first complete value; Python's
-    # rejects text after it. An object body must end in "}" (trimming only
-    # the tail, so this is cheap), which rejects the usual trailing garbage.
-    object_closed = F.trim(text, F.lit(" \t\n\r")).endswith("}")
-    readable_object = (
-        object_shaped
-        & object_closed
-        & F.from_json(text, "map<string,string>", JSON_OPTIONS).isNotNull()
-    )
+    mark = F.md5(text)
+    wrapped = F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))
+    settled = F.try_variant_get(F.try_parse_json(wrapped), "$[1]", "string") == mark
+    second = F.get(F.from_json(wrapped, "array<string>", JSON_OPTIONS), F.lit(1)) == mark
+    return F.coalesce(settled, F.lit(False)) | F.coalesce(second, F.lit(False))
+
+
+def object_shaped(body: str = "body") -> Column:
+    """A valid JSON text is an object exactly when its first non-blank character is ``{``."""
+    return F.ltrim(F.col(body), F.lit(" \t\n\r")).startswith("{")
+
+
+def is_fetched() -> Column:
+    """Whether an attempt delivered a JSON object; the cheap tests come first."""
+    tail = F.rtrim(F.col("body"), F.lit(" \t\n\r")).endswith("}")
+    return transport_failure().isNull() & F.coalesce(object_shaped() & tail, F.lit(False)) & valid_json()
+
+
+def body_failure(body: str = "body") -> Column:
+    """Failure of a delivered body, or NULL when it is a JSON object."""
+    text = F.col(body)
     return (
-        F.when(parsed.isNull(), F.when(~readable_object | text.isNull(), F.lit(REASON_INVALID_JSON)))
-        .when(F.is_variant_null(parsed), F.lit(REASON_NULL_BODY))
-        .when(~object_shaped, F.lit(REASON_NOT_OBJECT))
-        .when(~object_closed, F.lit(REASON_INVALID_JSON))
+        F.when(text.isNull() | ~valid_json(body), F.lit(REASON_INVALID_JSON))
+        .when(F.trim(text, F.lit(" \t\n\r")) == "null", F.lit(REASON_NULL_BODY))
+        .when(~object_shaped(body), F.lit(REASON_NOT_OBJECT))
     )
 
 
 def classify_attempts(responses: DataFrame) -> DataFrame:
     """Attempts with ``reason`` (NULL when fetched) and ``fetched`` added.
 
-    A body is parsed only when the transport succeeded, and once: the parse
-    is its own projected column, which Catalyst does not inline into the
-    places that read it.
+    A body is parsed only when the transport succeeded.
     """
-    staged = responses.withColumn("_transport", transport_failure()).withColumn(
-        "_parsed", F.when(F.col("_transport").isNull(), F.try_parse_json(F.col("body")))
-    )
-    return (
-        staged.withColumn("reason", F.coalesce(F.col("_transport"), body_failure(F.col("_parsed"))))
-        .drop("_transport", "_parsed")
-        .withColumn("fetched", F.col("reason").isNull())
+    return responses.withColumn("reason", F.coalesce(transport_failure(), body_failure())).withColumn(
+        "fetched", F.col("reason").isNull()
     )
 
 
 def latest_success(responses: DataFrame, keys: Sequence[str] = REQUEST_KEYS) -> DataFrame:
     """One body per request: the successful attempt with the highest number.
 
-    A later success replaces an earlier one; a later failure does not.
-    Requests without any success are absent. ``max_by`` keeps a string in
-    its buffer, so Spark plans it as a sort-based aggregate. That sort spills
-    to disk when it must, and the partial step before the shuffle leaves one
-    row per request per map task, however many attempts a request has.
+    A later success replaces an earlier one; a later failure does not. A NULL
+    attempt number is below every other; of attempts with equal numbers the
+    greatest body wins, so reruns agree. Requests without any success are
+    absent. The buffer holds a string, so Spark plans a sort-based aggregate.
+    That sort spills to disk when it must, and the partial step before the
+    shuffle leaves one row per request per map task, however many attempts a
+    request has.
     """
     ks = present_keys(responses, keys)
-    ok = classify_attempts(responses).filter("fetched")
-    return ok.groupBy(*ks).agg(
-        F.max("attempt_no").alias("attempt_no"),
-        F.max_by("body", "attempt_no").alias("body"),
-    )
+    ok = responses.filter(is_fetched())
+    best = ok.groupBy(*ks).agg(F.max(F.struct("attempt_no", "body")).alias("_best"))
+    return best.select(*ks, "_best.attempt_no", "_best.body")
 
 
 def fetch_outcome(responses: DataFrame, keys: Sequence[str] = REQUEST_KEYS) -> DataFrame:

@@ -27,15 +27,12 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 
-# Parse schema of a response body. ``_corrupt_record`` is filled by from_json
-# when the body is not an object or a value does not fit its type.
+# Parse schemas of a response body and of one item. ``_corrupt_record`` is filled
+# by from_json when the text is not an object or a value does not fit its type.
 CORRUPT_COLUMN = "_corrupt_record"
-RESPONSE_BODY_SCHEMA = T.StructType(
-    [
-        T.StructField("items", T.ArrayType(ITEM_SCHEMA)),
-        T.StructField(CORRUPT_COLUMN, T.StringType()),
-    ]
-)
+_CORRUPT = T.StructField(CORRUPT_COLUMN, T.StringType())
+RESPONSE_BODY_SCHEMA = T.StructType([T.StructField("items", T.ArrayType(T.StringType())), _CORRUPT])
+PARSED_ITEM_SCHEMA = T.StructType([*ITEM_SCHEMA.fields, _CORRUPT])
 
 # A landed fetch attempt: the request (title and date window, optionally a
 # page), its attempt number, and what came back.

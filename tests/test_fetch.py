@@ -109,16 +109,43 @@ def test_classification_of_bodies_and_statuses(spark):
         ("type_problem", 200, '{"items":[{"views":"x"}]}', None, None),
         ("string", 200, '"str"', None, "not_object"),
         ("number", 200, "3", None, "not_object"),
-        # text after the object is rejected when the body does not end in "}"
+        # text after the object is rejected, whatever it is
         ("trailing_text", 200, '{"items":[]} xyz', None, "invalid_json"),
         ("trailing_ws", 200, '{"items":[]}\n\t ', None, None),
-        # ...but a second object after the first is still read as the first
-        ("two_objects", 200, '{"items":[]} {"a":1}', None, None),
+        ("two_objects", 200, '{"items":[]} {"a":1}', None, "invalid_json"),
+        ("comma_object", 200, '{"items":[]},{"a":1}', None, "invalid_json"),
+        ("extra_brace", 200, '{"items":[]}}', None, "invalid_json"),
+        ("text_and_brace", 200, '{"items":[]} oops}', None, "invalid_json"),
+        ("closed_early", 200, '{"items":[]}],[{}', None, "invalid_json"),
+        ("bracket_end", 200, '{"items":[]}]', None, "invalid_json"),
+        ("repeated_then_text", 200, '{"a":1,"a":2} {}', None, "invalid_json"),
+        ("vertical_tab", 200, '\x0b{"items":[]}', None, "invalid_json"),
     ]
     df = responses_frame(spark, [attempt(t, 1, s, b, e) for t, s, b, e, _ in cases])
     got = {r["title"]: (r["reason"], r["fetched"]) for r in classify_attempts(df).collect()}
     for title, _, _, _, reason in cases:
         assert got[title] == (reason, reason is None), title
+    # the filter of latest_success agrees with the classification
+    assert {r["title"] for r in latest_success(df).collect()} == {t for t, *_, reason in cases if reason is None}
+
+
+def test_missing_and_equal_attempt_numbers(spark):
+    one, two = '{"items":[{"views":1}]}', '{"items":[{"views":2}]}'
+    df = responses_frame(
+        spark,
+        [
+            attempt("only_null", None, 200, one),
+            attempt("null_and_number", None, 200, two),
+            attempt("null_and_number", 0, 200, one),
+            attempt("tie", 3, 200, one),
+            attempt("tie", 3, 200, two),
+        ],
+    )
+    want = {"only_null": (None, one), "null_and_number": (0, one), "tie": (3, two)}
+    for parts in (1, 4):
+        got = {r["title"]: (r["attempt_no"], r["body"]) for r in latest_success(df.repartition(parts)).collect()}
+        assert got == want
+    assert {r["title"]: r["outcome"] for r in fetch_outcome(df).collect()} == dict.fromkeys(want, "FETCHED")
 
 
 FIXED_TITLES = [

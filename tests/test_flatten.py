@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tallycheck.operators.flatten import flatten_responses, quarantine
+from tallycheck.operators.flatten import flatten_responses, quarantine, quarantine_items
 from tallycheck.schemas import RECORD_SCHEMA
 from tests.conftest import rows
 
@@ -75,3 +75,26 @@ def test_row_count_equals_sum_of_item_counts(spark):
         F.sum(F.size(F.from_json("body", "items array<struct<views:bigint>>")["items"]))
     ).collect()[0][0]
     assert flatten_responses(df).count() == expected == sum(range(12))
+
+
+def test_one_bad_element_leaves_its_siblings(spark):
+    good = '{"article":"a","views":1}'
+    df = bodies(
+        spark,
+        f'{{"items":[1,{good}]}}',
+        f'{{"items":["x",[{good}],null,true,{good},{{"article":"b","views":"7"}}]}}',
+        '{"items":5}',
+        f'{{"items":[{good}]}}',
+    )
+    got = rows(flatten_responses(df), "article", "views")
+    assert got == [("a", 1), ("a", 1), ("a", 1), ("b", None)]
+    assert sorted(r["title"] for r in quarantine(df).collect()) == ["t0", "t1", "t2"]
+    bad = sorted((r["title"], r["item_no"], r["item"]) for r in quarantine_items(df).collect() if r["title"] != "t2")
+    assert bad == [
+        ("t0", 0, "1"),
+        ("t1", 0, "x"),
+        ("t1", 1, f"[{good}]"),
+        ("t1", 3, "true"),
+        ("t1", 5, '{"article":"b","views":"7"}'),
+    ]
+    assert [(r["item_no"], r["item"]) for r in quarantine_items(df).collect() if r["title"] == "t2"] == [(None, '{"items":5}')]
