@@ -13,10 +13,10 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallycheck import constants as K  # noqa: E402
 from tallycheck.operators import (  # noqa: E402
     actual_keys,
     classify_attempts,
@@ -32,17 +32,18 @@ from tallycheck.operators import (  # noqa: E402
     missing_by_article,
     missing_coverage,
     quarantine,
+    quarantine_items,
     request_plan,
 )
 from tallycheck.operators.coverage import check_coverage  # noqa: E402
 from tallycheck.operators.duplicates import check_duplicates  # noqa: E402
 from tallycheck.operators.schema_drift import (  # noqa: E402
-    column_rows,
     expected_rows,
+    observed_rows,
     schema_mismatches,
     schema_result,
 )
-from tallycheck.plans import DQConfig, ingest, run_checks  # noqa: E402
+from tallycheck.plans import DQConfig, failing_keys, ingest, run_checks  # noqa: E402
 from tallycheck.sources import bindings as B  # noqa: E402
 from tallycheck.sources.bronze import with_lineage  # noqa: E402
 
@@ -50,7 +51,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_ID = "run_1"
 RUN_AT = dt.datetime(2026, 1, 31, tzinfo=dt.timezone.utc)
 START, END = B.BINDING_START, B.BINDING_END
-SCHEMA_PROBE = {"event_id": "bigint", "ts": "string", "user_id": "bigint", "missing": "string"}
+PROPS_SCHEMA = {"k": "string", "missing": "bigint"}
 
 
 # --------------------------------------------------------------------------
@@ -171,25 +172,41 @@ def q_duplicate_keys_lineitem(spark, sf_dir):
 
 
 def _schema_sides(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    return column_rows(spark, events, "events"), expected_rows(spark, SCHEMA_PROBE, "events")
+    # types seen in all rows of a JSON column against what they should be
+    observed = observed_rows(_events(spark, sf_dir), "props", "events.props")
+    return observed, expected_rows(spark, PROPS_SCHEMA, "events.props")
 
 
-def q_schema_mismatches(spark, sf_dir):
+def q_props_mismatches(spark, sf_dir):
     return schema_mismatches(*_schema_sides(spark, sf_dir))
 
 
-def q_schema_result(spark, sf_dir):
+def q_props_schema_result(spark, sf_dir):
     return schema_result(*_schema_sides(spark, sf_dir))
 
 
 def q_dq_results(spark, sf_dir):
-    recs = _records(spark, sf_dir)
-    bronze = with_lineage(recs, RUN_ID, RUN_AT)
+    # A Bronze whose columns come from the file as they are: views not cast,
+    # and a column too many.
+    events = _events(spark, sf_dir)
+    recs = B.records_from_events(events, carry=("value", "event_type"))
+    extra = [F.lit(RUN_AT).cast("timestamp").alias("_ingested_at"), F.lit(RUN_ID).alias("_ingestion_job_run_id")]
+    bronze = recs.withColumn("views", F.col("value")).drop("value").select("*", *extra)
     cfg = DQConfig(titles=_titles(recs), start_date=START, end_date=END)
     return run_checks(spark, bronze, "events", RUN_ID, RUN_AT, cfg)
 
 
+def q_failing_keys(spark, sf_dir):
+    recs = _records(spark, sf_dir)
+    cfg = DQConfig(titles=_titles(recs), start_date=START, end_date=END)
+    return failing_keys(spark, recs, RUN_ID, cfg)
+
+
+def q_quarantine_items(spark, sf_dir):
+    pages = B.landed_pages_mistyped(_events(spark, sf_dir))
+    return quarantine_items(pages).groupBy("title").agg(F.count("item_no").alias("items"))
+
+
 def q_audit_history(spark, sf_dir):
     return _history(spark, sf_dir)
 
@@ -224,6 +241,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_responses": q_flatten_responses,
     "flatten_mistyped": q_flatten_mistyped,
     "quarantine_pages": q_quarantine_pages,
+    "quarantine_items": q_quarantine_items,
     "ingest_rows": q_ingest_rows,
     "bronze_rows": q_bronze_rows,
     "expected_grid": q_expected_grid,
@@ -235,9 +253,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": q_duplicate_keys,
     "duplicate_result": q_duplicate_result,
     "duplicate_keys_lineitem": q_duplicate_keys_lineitem,
-    "schema_mismatches": q_schema_mismatches,
-    "schema_result": q_schema_result,
+    "props_mismatches": q_props_mismatches,
+    "props_schema_result": q_props_schema_result,
     "dq_results": q_dq_results,
+    "failing_keys": q_failing_keys,
     "audit_history": q_audit_history,
     "gate_failures": q_gate_failures,
     "latest_run_by_time": q_latest_run_by_time,
@@ -295,7 +314,9 @@ _OK = (
 _A = (
     "select 'user_' || user_id as title, event_id as attempt_no, "
     "case when event_type = 'error' or user_id % 7 = 0 then 500 else 200 end as status_code, "
-    f"props as body, cast(null as varchar) as error from events"
+    "case event_id % 8 when 1 then props || ' oops}' when 2 then props || ',' || props "
+    "when 3 then '[' || props || ']' when 4 then ' ' || chr(10) || props || chr(9) || ' ' "
+    "when 5 then props || '}' else props end as body, cast(null as varchar) as error from events"
 )
 _AC = (
     f"select *, case when error is not null then 'request_error' "
@@ -316,16 +337,27 @@ _H = (
 _CTES = {"R": _R, "D": _D, "G": _G, "M": _M, "U": _U, "A": _A, "AC": _AC, "H": _H}
 _DEPS = {"G": ["R", "D"], "M": ["G", "R"], "U": ["R"], "AC": ["A"]}
 _RUN_AT_SQL = "timestamp '2026-01-31 00:00:00'"
-_URL_PREFIX = (
-    f"{K.PAGEVIEWS_BASE_URL}/per-article/{K.DEFAULT_PROJECT}/{K.DEFAULT_ACCESS}/{K.DEFAULT_AGENT}/"
+_URL_PREFIX = "https://wikimedia.org/api/rest_v1/metrics/pageviews/per-article/en.wikipedia.org/all-access/user/"
+# Types seen in props, in Spark's names, against PROPS_SCHEMA.
+_PROPS = (
+    "(select e.name, e.ordinal, o.kind, e.kind as want from (values ('k', 0, 'string'), ('missing', 1, 'bigint')) e(name, ordinal, kind) "
+    "left join (select name, max(case kind when 'UBIGINT' then 'bigint' when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string' "
+    "when 'DOUBLE' then 'double' else lower(kind) end) as kind from (select name, json_type(props, '$.' || name) as kind "
+    "from (select props, unnest(json_keys(props)) as name from events)) group by name) o on o.name = e.name)"
+)
+_PROPS_MSGS = (
+    "(select 'events.props' as table_name, 0 as section, ordinal, case when kind is null then 'Missing column: ' || name "
+    "when kind <> want then 'Type mismatch on ' || name || ': expected ' || want || ', got ' || kind end as mismatch "
+    f"from {_PROPS} union all select 'events.props', 1, row_number() over (order by name) - 1, "
+    "case when name not in ('k', 'missing') then 'Unexpected column: ' || name end "
+    "from (select distinct unnest(json_keys(props)) as name from events))"
+)
+# What the file says of the two columns that dq_results takes as they are.
+_DRIFT = (
+    "(select 1 as o, 'Type mismatch on views: expected bigint, got ' || lower(column_type) as m from (describe events) "
+    "where column_name = 'value' and column_type <> 'BIGINT' "
+    "union all select 2, 'Unexpected column: ' || column_name from (describe events) where column_name = 'event_type')"
 )
-_SCHEMA_MSGS = [
-    (0, 1, "Type mismatch on ts: expected string, got timestamp_ntz"),
-    (0, 3, "Missing column: missing"),
-    (1, 3, "Unexpected column: event_type"),
-    (1, 4, "Unexpected column: value"),
-    (1, 5, "Unexpected column: props"),
-]
 
 
 def _with(body: str, *names: str) -> str:
@@ -348,8 +380,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _own_sql() -> dict[str, str]:
-    schema_values = ", ".join(f"('events', {s}, {o}, '{m}')" for s, o, m in _SCHEMA_MSGS)
-    schema_details = "; ".join(m for _, _, m in _SCHEMA_MSGS)
     lineage = f"{_RUN_AT_SQL} as _ingested_at, '{RUN_ID}' as _ingestion_job_run_id"
     return {
         "request_plan": (
@@ -380,11 +410,15 @@ def _own_sql() -> dict[str, str]:
             "select 'test.project' as project, 'user_' || user_id as article, 'daily' as granularity, "
             "strftime(ts, '%Y%m%d00') as \"timestamp\", "
             "case when event_type = 'error' then null else cast(floor(value) as bigint) end as views "
-            "from events"
+            "from events where event_id % 50 <> 0"
         ),
         "quarantine_pages": (
-            "select distinct 'user_' || user_id as title, event_id // 100 as page "
-            "from events where event_type = 'error'"
+            "select distinct 'batch_' || event_id // 100 as title, event_id // 100 as page "
+            "from events where event_type = 'error' or event_id % 50 = 0"
+        ),
+        "quarantine_items": (
+            "select 'batch_' || event_id // 100 as title, count(*) as items "
+            "from events where event_type = 'error' or event_id % 50 = 0 group by 1"
         ),
         "ingest_rows": _with(f"select *, {lineage} from R", "R"),
         "bronze_rows": _with(f"select *, {lineage} from R", "R"),
@@ -416,12 +450,19 @@ def _own_sql() -> dict[str, str]:
             'select l_orderkey, l_linenumber, count(*) as "count" from lineitem '
             "group by 1, 2 having count(*) > 1"
         ),
-        "schema_mismatches": (
-            "select * from (values " + schema_values + ") v(table_name, section, ordinal, mismatch)"
+        "props_mismatches": f"select * from {_PROPS_MSGS} where mismatch is not null",
+        "props_schema_result": (
+            "select 'events.props' as table_name, 'schema_check' as check_name, "
+            "case when count(mismatch) = 0 then 'PASS' else 'WARN' end as status, count(mismatch) as mismatch_count, "
+            f"string_agg(mismatch, '; ' order by section, ordinal) as details from {_PROPS_MSGS}"
         ),
-        "schema_result": (
-            "select 'events' as table_name, 'schema_check' as check_name, 'WARN' as status, "
-            f"cast({len(_SCHEMA_MSGS)} as bigint) as mismatch_count, '{schema_details}' as details"
+        "failing_keys": _with(
+            f"select '{RUN_ID}' as check_run_id, 'source_coverage' as check_name, article, \"timestamp\", "
+            "cast(1 as bigint) as expected, cast(0 as bigint) as \"rows\" from M "
+            f"union all select '{RUN_ID}', 'duplicate_check', article, \"timestamp\", "
+            "cast((select count(*) from G g where g.article = U.article and g.\"timestamp\" = U.\"timestamp\") as bigint), \"count\" from U",
+            "M",
+            "U",
         ),
         "dq_results": _with(
             f"select '{RUN_ID}' as check_run_id, 'bronze' as layer, 'events' as table_name, "
@@ -434,8 +475,10 @@ def _own_sql() -> dict[str, str]:
             f"union all select '{RUN_ID}', 'bronze', 'events', 'duplicate_check', "
             "case when count(*) = 0 then 'PASS' else 'WARN' end, '0', cast(count(*) as varchar), "
             f"'Duplicate article/timestamp combinations: ' || count(*), {_RUN_AT_SQL} from U "
-            f"union all select '{RUN_ID}', 'bronze', 'events', 'schema_check', 'PASS', "
-            f"'Expected schema', 'MATCH', 'Schema matches expected schema.', {_RUN_AT_SQL}",
+            f"union all select '{RUN_ID}', 'bronze', 'events', 'schema_check', "
+            "case when count(*) = 0 then 'PASS' else 'WARN' end, 'Expected schema', "
+            "case when count(*) = 0 then 'MATCH' else 'MISMATCH' end, "
+            f"coalesce(string_agg(m, '; ' order by o), 'Schema matches expected schema.'), {_RUN_AT_SQL} from {_DRIFT}",
             "M",
             "U",
         ),

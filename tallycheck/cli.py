@@ -22,7 +22,6 @@ from tallycheck.sources.responses import read_responses
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tallycheck")
     p.add_argument("--master", default=None, help="Spark master (leave unset under spark-submit)")
-    p.add_argument("--large-input", action="store_true", help="apply the large-input settings")
     sub = p.add_subparsers(dest="command", required=True)
 
     i = sub.add_parser("ingest", help="append landed attempts to Bronze")
@@ -31,16 +30,15 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--bronze-table", required=True)
     i.add_argument("--run-id", required=True)
     i.add_argument("--partition-by", action="append", default=[])
-    rerun = i.add_mutually_exclusive_group()
-    rerun.add_argument("--skip-existing", action="store_true", help="no-op if the run id is already in Bronze")
-    rerun.add_argument("--replace-existing", action="store_true",
-                       help="replace the run's rows (Bronze partitioned by _ingestion_job_run_id)")
+    i.add_argument("--replace-existing", action="store_true",
+                   help="make these the run's only rows (Bronze partitioned by _ingestion_job_run_id)")
+    i.add_argument("--quarantine-table", default=None, help="table for items that do not fit the schema")
 
     d = sub.add_parser("dq", help="run the Bronze checks, record them, apply the gate")
     d.add_argument("--bronze-table", required=True)
     d.add_argument("--audit-table", required=True)
     src = d.add_mutually_exclusive_group()
-    src.add_argument("--titles", help="comma-separated titles (default: the built-in list)")
+    src.add_argument("--title", action="append", help="an expected title; repeat it (default: the built-in list)")
     src.add_argument("--titles-table", help="table whose first column holds the titles")
     d.add_argument("--start", default=K.DEFAULT_START)
     d.add_argument("--end", default=K.DEFAULT_END)
@@ -48,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
                    choices=[K.CHECK_COVERAGE, K.CHECK_DUPLICATES, K.CHECK_SCHEMA],
                    help="make this check a hard FAIL when it finds problems")
     d.add_argument("--run-id", default=None)
+    d.add_argument("--failing-table", default=None, help="table for every missing or repeated key of the run")
 
     r = sub.add_parser("report", help="show the latest run of the audit table")
     r.add_argument("--audit-table", required=True)
@@ -57,28 +56,25 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(master=args.master, large_input=args.large_input)
+    spark = build_session(master=args.master)
 
     if args.command == "ingest":
-        mode = "skip" if args.skip_existing else "replace" if args.replace_existing else "append"
-        partition_by = tuple(args.partition_by)
-        if mode == "replace" and "_ingestion_job_run_id" not in partition_by:
-            partition_by += ("_ingestion_job_run_id",)
-        written = run_ingest(
+        run_ingest(
             read_responses(spark, args.landed, args.format),
             args.bronze_table,
             args.run_id,
-            partition_by=partition_by,
-            if_run_exists=mode,
+            quarantine_table=args.quarantine_table,
+            partition_by=tuple(args.partition_by),
+            if_run_exists="replace" if args.replace_existing else "append",
         )
-        print(f"{'appended' if written else 'skipped'} run {args.run_id} -> {args.bronze_table}")
+        print(f"wrote run {args.run_id} -> {args.bronze_table}")
         return 0
 
     if args.command == "dq":
         if args.titles_table:
             titles = spark.table(args.titles_table)
-        elif args.titles:
-            titles = [t for t in args.titles.split(",")]
+        elif args.title:
+            titles = args.title
         else:
             titles = K.DEFAULT_TITLES
         cfg = DQConfig(
@@ -88,15 +84,19 @@ def main(argv: list[str] | None = None) -> int:
             policy={name: K.FAIL for name in args.fail_on},
         )
         try:
-            run_id = run_bronze_dq(spark, args.bronze_table, args.audit_table, cfg, run_id=args.run_id)
+            run_id = run_bronze_dq(spark, args.bronze_table, args.audit_table, cfg, run_id=args.run_id,
+                                   failing_table=args.failing_table)
         except GateError as err:
             print(str(err), file=sys.stderr)
             return 2
         print(f"Bronze DQ run completed: {run_id}")
         return 0
 
-    # report: one run's rows (a handful), shown on the driver
-    latest_run(read_audit(spark, args.audit_table), by=args.by).show(truncate=False)
+    # report: every row of one run, streamed to the terminal
+    report = latest_run(read_audit(spark, args.audit_table), by=args.by)
+    print("\t".join(report.columns))
+    for row in report.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
     return 0
 
 

@@ -3,11 +3,8 @@
 from tallycheck.functions.dates import (
     check_bound,
     check_range,
-    day_count,
     day_spine,
     day_stamp,
-    inclusive_days,
-    parse_bound,
     stamp_range,
 )
 from tallycheck.functions.status import severity_of, status_from_count
@@ -16,11 +13,8 @@ from tallycheck.functions.text import percent_encode, request_url
 __all__ = [
     "check_bound",
     "check_range",
-    "day_count",
     "day_spine",
     "day_stamp",
-    "inclusive_days",
-    "parse_bound",
     "stamp_range",
     "severity_of",
     "status_from_count",

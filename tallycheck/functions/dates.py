@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallycheck.constants import DATE_BOUND_PATTERN, DAY_STAMP_PATTERN
+from tallycheck.constants import DAY_STAMP_PATTERN
 
 _BOUND_RE = re.compile(r"^\d{8}$")
 
@@ -36,34 +36,17 @@ def check_range(start: str, end: str) -> tuple[dt.date, dt.date]:
     return s, e
 
 
-def day_count(start: str, end: str) -> int:
-    """Number of days in the inclusive range."""
-    s, e = check_range(start, end)
-    return (e - s).days + 1
-
-
 def stamp_of(day: dt.date) -> str:
     """Day stamp of a Python date (for parameters only)."""
     return day.strftime("%Y%m%d") + "00"
 
 
-def parse_bound(col: Column | str) -> Column:
-    """``YYYYMMDD`` string column to DATE; NULL when it is not exactly 8 digits."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, DATE_BOUND_PATTERN))
-
-
 def day_stamp(col: Column | str) -> Column:
     """DATE column to the ``YYYYMMDD00`` stamp."""
     c = F.col(col) if isinstance(col, str) else col
     return F.date_format(c, DAY_STAMP_PATTERN)
 
 
-def inclusive_days(start_col: Column, end_col: Column) -> Column:
-    """Inclusive day count between two DATE columns."""
-    return F.datediff(end_col, start_col) + F.lit(1)
-
-
 def day_spine(start: str, end: str) -> Column:
     """Array of every DATE from start to end inclusive (validated parameters).
 

@@ -6,7 +6,6 @@ from tallycheck.operators.coverage import (
     check_coverage,
     coverage_result,
     coverage_tally,
-    expected_days,
     expected_grid,
     in_range,
     key_counts,
@@ -30,7 +29,7 @@ from tallycheck.operators.fetch import (
     latest_success,
     request_plan,
 )
-from tallycheck.operators.flatten import flatten_responses, quarantine
+from tallycheck.operators.flatten import flatten_responses, quarantine, quarantine_items
 from tallycheck.operators.gate import GateError, enforce_gate, gate_failures
 from tallycheck.operators.report import latest_run, latest_run_id, latest_run_sql
 from tallycheck.operators.schema_drift import (
@@ -48,7 +47,6 @@ __all__ = [
     "check_coverage",
     "coverage_result",
     "coverage_tally",
-    "expected_days",
     "expected_grid",
     "in_range",
     "key_counts",
@@ -69,6 +67,7 @@ __all__ = [
     "request_plan",
     "flatten_responses",
     "quarantine",
+    "quarantine_items",
     "GateError",
     "enforce_gate",
     "gate_failures",

@@ -29,6 +29,9 @@ from tallycheck.functions.dates import check_range, day_spine, day_stamp, stamp_
 from tallycheck.functions.status import status_from_count
 
 
+NO_TITLES = "the title list is empty; coverage needs at least one title"
+
+
 class CheckOutput(NamedTuple):
     """One-row result of a check and the rows that fail it (both lazy)."""
 
@@ -42,7 +45,7 @@ def titles_frame(
     """Titles as a one-column DataFrame named ``title_key``.
 
     A DataFrame is taken as is (first column, renamed), so a title list kept
-    as a table is read by the executors. A Python list is for small configs.
+    as a table is read by the executors; the tally refuses an empty one. A Python list is for small configs.
     Titles are not deduplicated: a title listed twice is expected twice.
     """
     if isinstance(titles, DataFrame):
@@ -50,18 +53,11 @@ def titles_frame(
         return titles.select(F.col(first).cast("string").alias(title_key))
     rows = [(t,) for t in titles]
     if not rows:
-        raise ValueError("the title list is empty; coverage needs at least one title")
+        raise ValueError(NO_TITLES)
     schema = T.StructType([T.StructField(title_key, T.StringType())])
     return spark.createDataFrame(rows, schema)
 
 
-def expected_days(spark: SparkSession, start: str, end: str, day_key: str = "timestamp") -> DataFrame:
-    """One row per day stamp of the inclusive range."""
-    return spark.range(1).select(F.explode(day_spine(start, end)).alias("_day")).select(
-        day_stamp("_day").alias(day_key)
-    )
-
-
 def expected_grid(
     titles: DataFrame,
     start: str,
@@ -154,9 +150,12 @@ def key_presence(
 
 def _tally_columns(with_duplicates: bool) -> list[Column]:
     expected, rows = F.col("_expected"), F.col("_rows")
+    grid_size = F.sum(expected)
+    missing = F.coalesce(F.sum(F.when(rows == 0, expected)), F.lit(0)).cast("bigint")
+    no_titles = F.raise_error(F.lit(NO_TITLES)).cast("bigint")
     cols = [
-        F.coalesce(F.sum(expected), F.lit(0)).cast("bigint").alias("expected_count"),
-        F.coalesce(F.sum(F.when(rows == 0, expected)), F.lit(0)).cast("bigint").alias("missing_count"),
+        F.when(grid_size > 0, grid_size.cast("bigint")).otherwise(no_titles).alias("expected_count"),
+        F.when(grid_size > 0, missing).otherwise(no_titles).alias("missing_count"),
     ]
     if with_duplicates:
         cols.append(F.count_if(rows > 1).alias("duplicate_count"))

@@ -1,6 +1,8 @@
 """Schema drift: expected columns and types vs. what a table has.
 
-Both sides are column-catalog rows ``(table_name, ordinal, column_name,
+A run compares two schemas that the driver knows: one expression over two
+literal arrays (``schema_compare``), with no join and no exchange. For types
+found in data, or many tables, both sides are column-catalog rows ``(table_name, ordinal, column_name,
 data_type)`` with the type as ``simpleString`` (``bigint``, ``array<int>``,
 ``decimal(10,2)``). A full outer join on (table, column) finds missing,
 unexpected and retyped columns for any number of tables in one job.
@@ -61,7 +63,7 @@ def catalog_frame(spark: SparkSession, rows: list[tuple[str, int, str, str]]) ->
         )
         for t, o, c, d in rows
     ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def column_rows(
@@ -148,6 +150,65 @@ def schema_result(actual: DataFrame, expected: DataFrame, severity: str = WARN)
     )
 
 
+def _literal_columns(columns: Iterable[tuple[str, str]]) -> Column:
+    """Array of (ordinal, column_name, data_type); of a repeated name the first position with the last type."""
+    merged: dict[str, tuple[int, str]] = {}
+    for k, (name, kind) in enumerate(columns):
+        merged[name] = (merged[name][0] if name in merged else k, kind)
+    kind = "array<struct<ordinal:int,column_name:string,data_type:string>>"
+    rows = [
+        F.struct(F.lit(k).alias("ordinal"), F.lit(n).alias("column_name"), F.lit(t).alias("data_type"))
+        for n, (k, t) in merged.items()
+    ]
+    return F.array(*rows).cast(kind)
+
+
+def schema_compare(
+    spark: SparkSession,
+    source: DataFrame | T.StructType,
+    expected: Mapping[str, str] | Iterable[tuple[str, str]],
+    table_name: str,
+) -> DataFrame:
+    """One row: ``table_name``, ``mismatches`` (messages in order). A projection over one row."""
+    schema = source.schema if isinstance(source, DataFrame) else source
+    items = list(expected.items()) if isinstance(expected, Mapping) else list(expected)
+    sides = spark.range(0, 1, 1, 1).select(
+        F.lit(table_name).alias("table_name"),
+        _literal_columns((f.name, f.dataType.simpleString()) for f in schema.fields).alias("actual"),
+        _literal_columns(items).alias("expected"),
+    )
+
+    def of(side: str, name: Column) -> Column:
+        return F.get(F.filter(F.col(side), lambda c: c["column_name"] == name), F.lit(0))["data_type"]
+
+    def declared(e: Column) -> Column:
+        found = of("actual", e["column_name"])
+        return F.when(found.isNull(), fill(MSG_MISSING_COLUMN, column=e["column_name"])).when(
+            found != e["data_type"], fill(MSG_TYPE_MISMATCH, column=e["column_name"], expected=e["data_type"], actual=found)
+        )
+
+    def extra(a: Column) -> Column:
+        return F.when(of("expected", a["column_name"]).isNull(), fill(MSG_UNEXPECTED_COLUMN, column=a["column_name"]))
+
+    messages = F.concat(F.transform("expected", declared), F.transform("actual", extra))
+    return sides.select("table_name", F.filter(messages, lambda m: m.isNotNull()).alias("mismatches"))
+
+
+def observed_rows(df: DataFrame, json_column: str, table_name: str) -> DataFrame:
+    """Catalog rows of the keys seen in a JSON column, over all rows.
+
+    ``ordinal`` is the key's place by name, and the type is that of its
+    values (``schema_of_variant``), the greatest if they differ. Values
+    combine map-side; only distinct (key, type) pairs cross the shuffle.
+    """
+    fields = df.select(F.explode(F.from_json(F.col(json_column), "map<string,variant>")))
+    types = fields.groupBy(F.col("key").alias("column_name")).agg(F.max(F.lower(F.schema_of_variant("value"))).alias("data_type"))
+    keys = types.agg(F.array_sort(F.collect_list(F.struct("column_name", "data_type"))).alias("k"))
+    return keys.select(F.posexplode("k").alias("ordinal", "c")).select(
+        F.lit(table_name).alias("table_name"), "ordinal", "c.column_name", "c.data_type"
+    )
+
+
 def check_schema(
     df: DataFrame,
     expected: Mapping[str, str] | Iterable[tuple[str, str]],

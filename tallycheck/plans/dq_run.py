@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from tallycheck import constants as K
 from tallycheck.functions.status import severity_of, status_from_count
-from tallycheck.operators.coverage import run_tally, titles_frame
+from tallycheck.operators.coverage import key_presence, run_tally, titles_frame
 from tallycheck.operators.gate import enforce_gate
-from tallycheck.operators.schema_drift import column_rows, expected_rows, schema_tally
+from tallycheck.operators.schema_drift import schema_compare
 from tallycheck.schemas import AUDIT_COLUMNS
 from tallycheck.sources.audit import read_audit, write_audit
-from tallycheck.sources.bronze import timestamp_literal
+from tallycheck.sources.bronze import timestamp_literal, write_by_run
 
 
 @dataclass(frozen=True)
@@ -121,21 +121,42 @@ def run_checks(
     )
 
     # Schema: "Expected schema" / MATCH or MISMATCH, messages joined.
-    sch = schema_tally(
-        column_rows(spark, bronze, table_name), expected_rows(spark, cfg.expected_schema, table_name)
-    )
-    n = F.col("mismatch_count")
+    sch = schema_compare(spark, bronze, cfg.expected_schema, table_name)
+    n = F.size("mismatches")
     sch_row = _audit_row(
         sch, run_id, cfg.layer, table_name, K.CHECK_SCHEMA,
         status_from_count(n, severity_of(K.CHECK_SCHEMA, cfg.policy)),
         F.lit(K.SCHEMA_EXPECTED_VALUE),
         F.when(n == 0, F.lit(K.SCHEMA_MATCH)).otherwise(F.lit(K.SCHEMA_MISMATCH)),
-        F.coalesce(F.col("details"), F.lit(K.SCHEMA_OK_DETAILS)), at,
+        F.when(n == 0, F.lit(K.SCHEMA_OK_DETAILS)).otherwise(F.array_join("mismatches", K.MISMATCH_SEPARATOR)), at,
     )
 
     return count_rows.unionByName(sch_row).select(*AUDIT_COLUMNS)
 
 
+def failing_keys(spark: SparkSession, bronze: DataFrame, run_id: str, config: DQConfig | None = None) -> DataFrame:
+    """Every missing and every repeated key: ``check_run_id, check_name``, the keys, ``expected`` (how often the title is listed) and ``rows``.
+
+    One union-aggregate, as for the counts; nothing is capped.
+    """
+    cfg = config or DQConfig()
+    titles = titles_frame(spark, cfg.titles, cfg.keys[0])
+    found = key_presence(bronze, titles, cfg.start_date, cfg.end_date, cfg.keys)
+    checks = F.array_compact(
+        F.array(
+            F.when((F.col("_expected") > 0) & (F.col("_rows") == 0), F.lit(K.CHECK_COVERAGE)),
+            F.when(F.col("_rows") > 1, F.lit(K.CHECK_DUPLICATES)),
+        )
+    )
+    return found.select(
+        F.lit(run_id).alias("check_run_id"),
+        F.explode(checks).alias("check_name"),
+        *cfg.keys,
+        F.col("_expected").alias("expected"),
+        F.col("_rows").alias("rows"),
+    )
+
+
 def run_bronze_dq(
     spark: SparkSession,
     bronze_table: str,
@@ -144,15 +165,21 @@ def run_bronze_dq(
     run_id: str | None = None,
     checked_at: dt.datetime | None = None,
     fmt: str = "parquet",
+    failing_table: str | None = None,
 ) -> str:
     """Check a Bronze table, append the results, then apply the gate.
 
-    Returns the run id. Raises :class:`~tallycheck.operators.gate.GateError`
+    With ``failing_table`` every missing and repeated key is written there
+    too (partitioned by run id; a repeated run id replaces its own), before
+    the gate. Returns the run id. Raises :class:`~tallycheck.operators.gate.GateError`
     after the write when a check failed hard, so the failed run is recorded.
     """
     run_id = run_id or str(uuid.uuid4())
     checked_at = checked_at or dt.datetime.now(dt.timezone.utc)
     results = run_checks(spark, spark.table(bronze_table), bronze_table, run_id, checked_at, config)
     write_audit(results, audit_table, fmt)
+    if failing_table:
+        rows = failing_keys(spark, spark.table(bronze_table), run_id, config)
+        write_by_run(rows, failing_table, run_id, fmt, ("check_run_id",), "check_run_id")
     enforce_gate(read_audit(spark, audit_table), run_id)
     return run_id

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
-# Settings the engine's plans are written for. AQE re-plans joins and
-# coalesces small shuffle partitions at runtime from measured stage sizes;
-# skew-join splits oversized partitions. UTC keeps day stamps stable.
+# Settings the engine's plans are written for, the same on a laptop and a
+# cluster. AQE re-plans joins and coalesces small shuffle partitions at
+# runtime from measured stage sizes; skew-join splits oversized partitions.
+# UTC keeps day stamps stable.
+# Shuffles start wide, so that TBs of distinct keys from a 100 TB table still
+# spread, and AQE merges what a smaller input does not need; a merged
+# partition is 64 KB at least, so CPU-heavy stages over a few MB still use
+# every core. Scans read 256 MB splits.
 # Broadcasts are decided only at runtime: the static planner's size guess
 # comes from compressed file sizes and can be several times too small, while
 # AQE's threshold applies to the measured output of a finished stage.
@@ -17,61 +20,37 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
-# Starting points for inputs of tens of TB or more on a large cluster.
-# Scans: 512 MB splits keep a 100 TB read near 200k tasks instead of 800k.
-# Shuffles: the key tallies shrink data map-side, yet a 100 TB Bronze can
-# still shuffle TBs of distinct keys, so start wide and let AQE coalesce to
-# ~256 MB partitions (size-first rather than parallelism-first, so a busy
-# cluster is not flooded with tiny tasks). Skew splitting starts at 1 GB.
-SCALE_CONF = {
-    "spark.sql.files.maxPartitionBytes": "512m",
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
-    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
-}
-
-
-# Local runs (tests, the sf0.1 bench) have inputs of a few MB. AQE's default
-# 1 MB minimum would merge a whole shuffle into one or two partitions, and the
-# CPU-heavy stages after it (JSON parse and build) would use one or two cores.
-LOCAL_CONF = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-}
-
-
 def build_session(
     master: str | None = None,
     app_name: str = "tallycheck",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
-    large_input: bool = False,
 ) -> SparkSession:
     """Get or create a session with the engine settings applied.
 
-    On a cluster, leave ``master`` unset and let spark-submit decide; pass
-    ``large_input=True`` to apply :data:`SCALE_CONF` as well.
+    On a cluster, leave ``master`` unset and let spark-submit decide.
+    ``shuffle_partitions`` is where shuffles start instead of the default.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
-    if master and master.startswith("local"):
-        conf.update(LOCAL_CONF)
-    if large_input:
-        conf.update(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -85,24 +64,13 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared checkpoint folder of the cluster.
-
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) is ``fallback`` installed as the checkpoint folder.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Shared checkpoint folder of the cluster, from ``spark.checkpoint.dir`` or the context."""
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return configured
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    if not fallback:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    os.makedirs(fallback, exist_ok=True)
-    sc.setCheckpointDir(fallback)
-    return sc.getCheckpointDir()
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if configured and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    found = configured or sc.getCheckpointDir()
+    if not found:
+        raise ValueError("spark.checkpoint.dir is not set")
+    return found

@@ -3,7 +3,6 @@
 from tallycheck.sources.audit import create_audit_table, guard_not_null, read_audit, write_audit
 from tallycheck.sources.bronze import (
     read_bronze,
-    run_present,
     table_exists,
     timestamp_literal,
     with_lineage,
@@ -17,7 +16,6 @@ __all__ = [
     "read_audit",
     "write_audit",
     "read_bronze",
-    "run_present",
     "table_exists",
     "timestamp_literal",
     "with_lineage",

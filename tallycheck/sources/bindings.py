@@ -5,10 +5,11 @@ from ``events``: every binding reads whole tables and grows with them.
 
 * records:  one flat record per event (article = ``user_<id>``, day stamp of
   ``ts``, views = floor(value)).
-* attempts: one fetch attempt per event (title = ``user_<id>``).
-* landed:   responses holding the records, in pages of at most 100 events,
-  each page with an earlier superseded success, an HTTP error, the latest
-  success and a later timeout.
+* attempts: one fetch attempt per event (title = ``user_<id>``), some bodies
+  with text around the JSON object.
+* landed:   responses holding the records, in pages of up to 100 items of many
+  articles, each page with an earlier superseded success, an HTTP error, the
+  latest success and a later timeout, in no order.
 * history:  an audit history, one run per day of events, one check per
   event type.
 """
@@ -52,8 +53,21 @@ def records_from_events(events: DataFrame, carry: tuple[str, ...] = ()) -> DataF
 
 
 def attempts_from_events(events: DataFrame) -> DataFrame:
-    """Fetch attempts: event_type 'error' or a user id divisible by 7 fails with 500."""
+    """Fetch attempts: event_type 'error' or a user id divisible by 7 fails with 500.
+
+    Bodies are ``props``, by event id also with text after it, twice, in a
+    list, or between white space.
+    """
     failed = (F.col("event_type") == "error") | (F.col("user_id") % 7 == 0)
+    props, form = F.col("props"), F.col("event_id") % 8
+    body = (
+        F.when(form == 1, F.concat(props, F.lit(" oops}")))
+        .when(form == 2, F.concat(props, F.lit(","), props))
+        .when(form == 3, F.concat(F.lit("["), props, F.lit("]")))
+        .when(form == 4, F.concat(F.lit(" \n"), props, F.lit("\t ")))
+        .when(form == 5, F.concat(props, F.lit("}")))
+        .otherwise(props)
+    )
     return events.select(
         _article(events).alias("title"),
         F.lit(BINDING_START).alias("start_date"),
@@ -61,61 +75,53 @@ def attempts_from_events(events: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("page"),
         F.col("event_id").alias("attempt_no"),
         F.when(failed, F.lit(500)).otherwise(F.lit(200)).alias("status_code"),
-        F.col("props").alias("body"),
+        body.alias("body"),
         F.lit(None).cast("string").alias("error"),
     )
 
 
-def landed_pages(events: DataFrame) -> DataFrame:
-    """One successful response body per (article, page of 100 event ids).
+def _paged(items: DataFrame) -> DataFrame:
+    """(title, page, body) from (page, item): item texts joined to one body per page.
 
-    ``event_id`` is unique in ``events``, so a page holds at most 100
-    events: pages bound the size of every body whatever the key
-    distribution (a hot user just has more pages).
+    ``event_id`` is unique in ``events``, so a page holds at most 100 events
+    whatever the key distribution. collect_list does not shrink data
+    map-side, so rows are hash-partitioned on the page first: the list
+    building runs in the parallel reduce stage.
     """
-    recs = records_from_events(events, carry=("event_id",)).select(
-        "*", F.col("article").alias("title"), F.expr(f"event_id div {PAGE_SIZE}").alias("page")
-    )
-    item = F.struct("project", "article", "granularity", "timestamp", "views")
-    # collect_list does not shrink data map-side, so hash-partition on the
-    # page key first: the list building runs in the parallel reduce stage and
-    # the groupBy needs no second exchange.
-    return (
-        recs.repartition("title", "page")
-        .groupBy("title", "page")
-        .agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
+    bodies = (
+        items.repartition("page")
+        .groupBy("page")
+        .agg(F.concat(F.lit('{"items":['), F.array_join(F.collect_list("item"), ","), F.lit("]}")).alias("body"))
     )
+    return bodies.select(F.concat(F.lit("batch_"), F.col("page").cast("string")).alias("title"), "page", "body")
+
+
+def landed_pages(events: DataFrame) -> DataFrame:
+    """One successful response body per 100 event ids; the title is the batch, the articles are the users."""
+    recs = records_from_events(events, carry=("event_id",))
+    item = F.to_json(F.struct("project", "article", "granularity", "timestamp", "views"))
+    return _paged(recs.select(F.expr(f"event_id div {PAGE_SIZE}").alias("page"), item.alias("item")))
 
 
 def landed_pages_mistyped(events: DataFrame) -> DataFrame:
     """Like :func:`landed_pages`, but items of ``error`` events carry
-    ``views`` as a JSON string (``"views":"12"``): a type drift in the source.
-
-    Each item is rendered to JSON on its own, so one body can mix both forms.
+    ``views`` as a JSON string (``"views":"12"``), a type drift in the source,
+    and every event id divisible by 50 is a bare number instead of an item.
     """
-    recs = records_from_events(events, carry=("event_id", "event_type")).select(
-        "*",
-        F.col("article").alias("title"),
-        F.expr(f"event_id div {PAGE_SIZE}").alias("page"),
-    )
+    recs = records_from_events(events, carry=("event_id", "event_type"))
     keys = ("project", "article", "granularity", "timestamp")
     as_number = F.to_json(F.struct(*keys, "views"))
     as_text = F.to_json(F.struct(*keys, F.col("views").cast("string").alias("views")))
-    item_json = F.when(F.col("event_type") == "error", as_text).otherwise(as_number)
-    return (
-        recs.select("title", "page", item_json.alias("item"))
-        .repartition("title", "page")
-        .groupBy("title", "page")
-        .agg(
-            F.concat(
-                F.lit('{"items":['), F.array_join(F.collect_list("item"), ","), F.lit("]}")
-            ).alias("body")
-        )
+    item = (
+        F.when(F.col("event_id") % 50 == 0, F.col("event_id").cast("string"))
+        .when(F.col("event_type") == "error", as_text)
+        .otherwise(as_number)
     )
+    return _paged(recs.select(F.expr(f"event_id div {PAGE_SIZE}").alias("page"), item.alias("item")))
 
 
 def landed_attempts(events: DataFrame) -> DataFrame:
-    """Four attempts per page: stale success, HTTP 503, latest success, timeout."""
+    """Four attempts per page, dealt out evenly: stale success, HTTP 503, latest success, timeout."""
     pages = landed_pages(events)
 
     def attempt(no: int, status, body, error) -> F.Column:
@@ -133,13 +139,15 @@ def landed_attempts(events: DataFrame) -> DataFrame:
         attempt(3, F.lit(200), F.col("body"), none),
         attempt(4, none, none, F.lit("read timeout")),
     )
-    return pages.select(
+    landed = pages.select(
         "title",
         F.lit(BINDING_START).alias("start_date"),
         F.lit(BINDING_END).alias("end_date"),
         "page",
         F.inline(attempts),
     )
+    # landed files are in no order, so what reads them shuffles for itself
+    return landed.hint("rebalance")
 
 
 def audit_history(events: DataFrame) -> DataFrame:

@@ -39,17 +39,11 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def run_present(spark: SparkSession, table: str, run_id: str) -> bool:
-    """Whether a run id was already written (a bounded probe: at most one row).
+RUN_COLUMN = "_ingestion_job_run_id"
 
-    The equality filter is pushed to the scan. Each run writes its own files,
-    so their min/max statistics on the run id skip every other file. With
-    ``partition_by=("_ingestion_job_run_id",)`` whole folders are pruned.
-    """
-    if not table_exists(spark, table):
-        return False
-    probe = spark.table(table).filter(F.col("_ingestion_job_run_id") == run_id).limit(1)
-    return len(probe.collect()) > 0
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def write_bronze(
@@ -59,33 +53,32 @@ def write_bronze(
     partition_by: tuple[str, ...] = (),
     if_run_exists: str = "append",
     run_id: str | None = None,
-) -> bool:
-    """Append Bronze rows to ``table``; returns whether anything was written.
+) -> None:
+    """Write Bronze rows to ``table``.
 
     ``if_run_exists`` decides what a re-run of the same run id does:
 
     * ``"append"`` (default): append again, as the reference's sink would.
-    * ``"skip"`` (needs ``run_id``): no-op when the run is already there, so a
-      job restarted after a completed write does not append twice.
-    * ``"replace"``: the table must be partitioned by ``_ingestion_job_run_id``;
-      dynamic partition overwrite swaps in the run's new rows and leaves every
-      other run untouched.
+    * ``"replace"`` (needs ``run_id``): afterwards the table holds exactly
+      these rows for the run, whatever was there before: all of them, a part
+      of them from a write cut off midway, or more. Also when there are fewer
+      rows than before, or none. The table is partitioned by the run id
+      first; the run's partitions are overwritten and every other run is
+      untouched, without looking at the table's rows.
 
     ``partition_by`` (e.g. ``("timestamp",)`` or ``("_ingestion_job_run_id",)``)
     lays files out for pruning at scale; rows are rebalanced on it first.
     Spark retries lost tasks; the commit protocol only publishes finished
     task output.
     """
-    if if_run_exists not in ("append", "skip", "replace"):
-        raise ValueError("if_run_exists must be 'append', 'skip' or 'replace'")
+    if if_run_exists not in ("append", "replace"):
+        raise ValueError("if_run_exists must be 'append' or 'replace'")
     spark = bronze_rows.sparkSession
-    if if_run_exists == "skip":
+    replace = if_run_exists == "replace"
+    if replace:
         if not run_id:
-            raise ValueError("if_run_exists='skip' needs the run_id of the rows")
-        if run_present(spark, table, run_id):
-            return False
-    if if_run_exists == "replace" and "_ingestion_job_run_id" not in partition_by:
-        raise ValueError("if_run_exists='replace' needs partition_by to include _ingestion_job_run_id")
+            raise ValueError("if_run_exists='replace' needs the run_id of the rows")
+        partition_by = (RUN_COLUMN, *(c for c in partition_by if c != RUN_COLUMN))
     out = bronze_rows.select(*BRONZE_SCHEMA.names)
     if partition_by:
         # Without this every task would write one file per partition value it
@@ -93,21 +86,45 @@ def write_bronze(
         # a hot value (say one day with a third of the rows) into sized
         # pieces and merges small ones, so files come out evenly sized.
         out = out.hint("rebalance", *partition_by)
-    if if_run_exists == "replace" and table_exists(spark, table):
-        # Positional insert: data columns, then partition columns, in table order.
-        cols = spark.table(table).columns
-        with _dynamic_overwrite(spark):
-            out.select(*cols).write.insertInto(table, overwrite=True)
-        return True
+    if replace:
+        write_by_run(out, table, run_id, fmt, partition_by)
+        return
     writer = out.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
-    return True
 
 
-class _dynamic_overwrite:
-    """Context: partition overwrite replaces only the partitions written."""
+def write_by_run(
+    rows: DataFrame,
+    table: str,
+    run_id: str,
+    fmt: str = "parquet",
+    partition_by: tuple[str, ...] = (RUN_COLUMN,),
+    run_column: str = RUN_COLUMN,
+) -> None:
+    """Make ``rows`` (all of one run) the run's only rows in ``table``, partitioned by ``run_column`` first."""
+    spark = rows.sparkSession
+    if not table_exists(spark, table):
+        rows.write.mode("append").format(fmt).partitionBy(*partition_by).saveAsTable(table)
+        return
+    found = partition_columns(spark, table)
+    if found[:1] != [run_column]:
+        raise ValueError(f"{table} must be partitioned by {run_column} first to replace a run, not by {found}")
+    # The run id is a static partition value, so the overwrite clears
+    # everything below it first, also when there are no rows.
+    spec = ", ".join([f"`{run_column}` = :run_id", *(f"`{c}`" for c in found[1:])])
+    data = [c for c in spark.table(table).columns if c not in found]
+    with _static_overwrite(spark):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{rows}}",
+            args={"run_id": run_id},
+            rows=rows.select(*data, *found[1:]),
+        )
+
+
+class _static_overwrite:
+    """Context: an overwrite clears all that its static partition values name."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -115,7 +132,7 @@ class _dynamic_overwrite:
 
     def __enter__(self):
         self.old = self.spark.conf.get(self.key)
-        self.spark.conf.set(self.key, "dynamic")
+        self.spark.conf.set(self.key, "static")
 
     def __exit__(self, *exc):
         self.spark.conf.set(self.key, self.old)

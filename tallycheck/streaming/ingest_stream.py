@@ -2,10 +2,11 @@
 
 ``readStream`` picks up new landed files (JSON lines or parquet, read with
 RESPONSE_SCHEMA). Each micro-batch runs the batch ingest plan and appends
-to Bronze with run id ``<prefix>-<batch id>``. The append skips a batch id
-that is already in Bronze, so a restart that replays the last batch after
-its write committed does not append it twice. The stream's checkpoint lives
-under the cluster's shared ``spark.checkpoint.dir`` unless given.
+to Bronze with run id ``<prefix>-<batch id>``. The write replaces that run's
+partition, so a restart that replays a batch, after its write committed or
+midway, leaves exactly the batch's rows. The cost follows the batch, not the
+table. The stream's checkpoint lives under the cluster's shared
+``spark.checkpoint.dir`` unless given.
 
 Within a batch, the latest success per request wins. Bronze is append-only,
 so a request fetched again in a later batch is appended again; the duplicate
@@ -21,10 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallycheck.operators.fetch import REQUEST_KEYS
-from tallycheck.plans.ingest import ingest
+from tallycheck.plans.ingest import run_ingest
 from tallycheck.schemas import RESPONSE_SCHEMA
 from tallycheck.session import checkpoint_dir
-from tallycheck.sources.bronze import write_bronze
 
 
 def landed_stream(spark: SparkSession, landing_path: str, fmt: str = "json",
@@ -52,12 +52,11 @@ def start_ingest_stream(
     location = checkpoint_location or (
         f"{checkpoint_dir(spark).rstrip('/')}/streams/{bronze_table.replace('.', '_')}"
     )
-    write_options.setdefault("if_run_exists", "skip")
+    write_options.setdefault("if_run_exists", "replace")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         run_id = f"{run_id_prefix}-{batch_id}"
-        rows = ingest(df, run_id, dt.datetime.now(dt.timezone.utc), keys)
-        write_bronze(rows, bronze_table, run_id=run_id, **write_options)
+        run_ingest(df, bronze_table, run_id, dt.datetime.now(dt.timezone.utc), keys, **write_options)
         # The batch writes through the stream's own session; drop the
         # caller's cached file listing so its readers see the new files.
         spark.catalog.refreshTable(bronze_table)

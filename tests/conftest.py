@@ -8,7 +8,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-from tallycheck.session import build_session, checkpoint_dir  # noqa: E402
+from tallycheck.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,7 +28,7 @@ def spark(scratch):
         },
     )
     s.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(s, os.path.join(scratch, "checkpoints"))
+    s.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     yield s
     s.stop()
 

@@ -7,7 +7,6 @@ import pytest
 from tallycheck.operators.coverage import (
     check_coverage,
     coverage_tally,
-    expected_days,
     expected_grid,
     key_counts,
     missing_by_article,
@@ -41,9 +40,10 @@ def test_full_coverage_passes_and_duplicates_do_not_matter(spark):
 
 
 def test_inclusive_range(spark):
-    days = expected_days(spark, "20260101", "20260103")
+    one = titles_frame(spark, ["t"])
+    days = expected_grid(one, "20260101", "20260103").select("timestamp")
     assert rows(days) == [("2026010100",), ("2026010200",), ("2026010300",)]
-    assert expected_days(spark, "20260105", "20260105").count() == 1
+    assert expected_grid(one, "20260105", "20260105").count() == 1
 
 
 def test_full_grid_is_310(spark):
@@ -54,7 +54,8 @@ def test_full_grid_is_310(spark):
 
 
 def test_month_end_and_leap_day(spark):
-    days = [r[0] for r in expected_days(spark, "20240227", "20240302").collect()]
+    grid = expected_grid(titles_frame(spark, ["t"]), "20240227", "20240302")
+    days = sorted(r["timestamp"] for r in grid.collect())
     assert days == ["2024022700", "2024022800", "2024022900", "2024030100", "2024030200"]
 
 
@@ -141,3 +142,10 @@ def test_titles_as_a_plain_list(spark):
     bronze = keys_df(spark, [("Minecraft", "2026010100"), ("Minecraft", "2026010300")])
     out = check_coverage(bronze, ["Minecraft"], "20260101", "20260103")
     assert rows(out.failing) == [("Minecraft", "2026010200")]
+
+
+def test_empty_titles_table_is_refused(spark):
+    empty = spark.createDataFrame([], "article string")
+    for bronze in (keys_df(spark, [("Minecraft", "2026010100")]), spark.createDataFrame([], "article string, timestamp string")):
+        with pytest.raises(Exception, match="the title list is empty"):
+            check_coverage(bronze, empty, "20260101", "20260101").result.collect()

@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 from tallycheck.functions import (
     check_bound,
     check_range,
-    day_count,
     day_stamp,
-    inclusive_days,
-    parse_bound,
     severity_of,
     stamp_range,
     status_from_count,
@@ -26,32 +23,11 @@ def test_check_bound_is_strict():
 
 
 def test_ranges():
-    assert day_count("20260101", "20260131") == 31
-    assert day_count("20260105", "20260105") == 1
-    assert day_count("20241231", "20250101") == 2
     assert stamp_range("20260101", "20260131") == ("2026010100", "2026013100")
     with pytest.raises(ValueError):
         check_range("20260102", "20260101")
 
 
-def test_column_parse_stamp_and_days(spark):
-    df = spark.createDataFrame(
-        [("20260101", "20260131"), ("2026011", "20260131"), ("20260230", "20260301"), (None, "20260101")],
-        "s string, e string",
-    )
-    out = df.select(
-        parse_bound("s").alias("sd"),
-        day_stamp(parse_bound("s")).alias("stamp"),
-        inclusive_days(parse_bound("s"), parse_bound("e")).alias("days"),
-    ).collect()
-    assert [tuple(r) for r in out] == [
-        (dt.date(2026, 1, 1), "2026010100", 31),
-        (None, None, None),
-        (None, None, None),
-        (None, None, None),
-    ]
-
-
 def test_day_stamp_of_timestamps(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 30, 23, 59, 59),)], "ts timestamp_ntz")
     assert df.select(day_stamp("ts")).collect()[0][0] == "2024013000"

@@ -15,6 +15,7 @@ import pytest
 
 import __spark_entry__ as E
 from tallycheck.operators.coverage import titles_frame
+from tallycheck.operators.fetch import latest_success
 from tallycheck.plans import DQConfig, run_checks
 from tallycheck.sources import bindings as B
 from tallycheck.sources.bronze import with_lineage, write_bronze
@@ -32,7 +33,7 @@ def plan_of(df):
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_no_pairwise_join_and_no_static_broadcast(spark, name):
     plan = plan_of(E.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange"):
@@ -74,8 +75,9 @@ def test_dq_run_scans_and_shuffles_bronze_once(spark):
     assert plan.count("FileScan parquet") == 1
     union_shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "_side" in line]
     assert len(union_shuffles) == 1
-    # the only join is the schema check over column-catalog rows (metadata)
-    assert plan.count("Join") == 1 and "column_name" in plan.split("Join")[1].split("\n")[0]
+    # the schema check is a projection over one row: no join, no exchange of its own
+    assert "Join" not in plan
+    assert sum("Exchange" in line for line in plan.split("\n")) == 3  # titles, keys, the one-row tally
 
 
 def test_scans_are_pruned(spark):
@@ -86,11 +88,15 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan
 
 
-def test_latest_success_reuses_paging_shuffle(spark):
-    # ingest: the latest-success aggregate runs on the partitioning of the
-    # landed pages, so only one exchange appears
-    plan = plan_of(E.queries()["ingest_rows"](spark, SF))
-    assert plan.count("Exchange ") == 1
+def test_latest_success_parses_each_body_once(spark):
+    events = B.read_table(spark, SF, "events")
+    B.landed_attempts(events).write.mode("overwrite").saveAsTable("landed_once")
+    plan = plan_of(latest_success(spark.table("landed_once")))
+    # one variant parse, and one of the bodies that it rejects, in the scan stage's filter
+    condition = plan[plan.index("+- Filter") : plan.index("+- FileScan")]
+    assert condition.count("parseJson(") == 1 and condition.count("from_json(") == 1, condition
+    shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and all(k in shuffles[0] for k in ("title", "start_date", "end_date", "page"))
 
 
 def test_grid_days_are_generated_per_title(spark):

@@ -76,8 +76,8 @@ def test_read_landed_parquet(spark, tmp_path):
 
 def test_append_twice_then_dq_run(spark):
     bronze, audit = name("bronze"), name("audit")
-    assert run_ingest(attempts(spark), bronze, "run_1", T0)
-    assert run_ingest(attempts(spark), bronze, "run_2", T0 + dt.timedelta(hours=1))
+    run_ingest(attempts(spark), bronze, "run_1", T0)
+    run_ingest(attempts(spark), bronze, "run_2", T0 + dt.timedelta(hours=1))
     tbl = spark.table(bronze)
     assert {r[0] for r in tbl.select("_ingestion_job_run_id").distinct().collect()} == {"run_1", "run_2"}
     assert tbl.count() == 10
@@ -97,11 +97,69 @@ def test_append_twice_then_dq_run(spark):
     assert spark.table(audit).columns == list(AUDIT_COLUMNS)
 
 
-def test_skip_rerun_of_same_run_id(spark):
+def _run_rows(spark, table):
+    spark.catalog.refreshTable(table)
+    return sorted((r["_ingestion_job_run_id"], r["article"], r["timestamp"]) for r in spark.table(table).collect())
+
+
+@pytest.mark.parametrize("partition_by", [(), ("timestamp",), ("_ingestion_job_run_id", "timestamp")])
+def test_replace_leaves_exactly_the_runs_rows(spark, partition_by):
+    bronze = name("bronze")
+    write = lambda df, rid: run_ingest(df, bronze, rid, T0, if_run_exists="replace", partition_by=partition_by)
+    write(attempts(spark), "run_x")
+    write(attempts(spark), "run'y")
+    both = _run_rows(spark, bronze)
+    assert len(both) == 10
+    other = [r for r in both if r[0] == "run'y"]
+    write(attempts(spark), "run_x")  # again
+    assert _run_rows(spark, bronze) == both
+    write(attempts(spark).filter("title = 'Minecraft'"), "run_x")  # fewer days
+    assert _run_rows(spark, bronze) == sorted(other + [r for r in both if r[0] == "run_x" and r[1] == "Minecraft"])
+    write(attempts(spark), "run_x")  # a part of the run was there
+    assert _run_rows(spark, bronze) == both
+    write(attempts(spark).filter("title = 'none'"), "run_x")  # no rows
+    assert _run_rows(spark, bronze) == other
+
+
+def test_replace_needs_a_table_by_run(spark):
     bronze = name("bronze")
-    assert run_ingest(attempts(spark), bronze, "run_x", T0, if_run_exists="skip")
-    assert not run_ingest(attempts(spark), bronze, "run_x", T0, if_run_exists="skip")
+    run_ingest(attempts(spark), bronze, "run_x", T0)
+    with pytest.raises(ValueError, match="partitioned by _ingestion_job_run_id"):
+        run_ingest(attempts(spark), bronze, "run_x", T0, if_run_exists="replace")
+    with pytest.raises(ValueError, match="must be 'append' or 'replace'"):
+        run_ingest(attempts(spark), bronze, "run_x", T0, if_run_exists="skip")
+
+
+def test_three_part_table_names(spark):
+    bronze, audit = f"spark_catalog.default.{name('bronze')}", f"spark_catalog.default.{name('audit')}"
+    for _ in range(2):
+        run_ingest(attempts(spark), bronze, "run_1", T0, if_run_exists="replace")
     assert spark.table(bronze).count() == 5
+    run_id = run_bronze_dq(spark, bronze, audit, CFG, checked_at=T0)
+    stored = spark.table(audit).filter(F.col("check_run_id") == run_id).collect()
+    assert {r["table_name"] for r in stored} == {bronze} and len(stored) == 3
+
+
+def test_quarantine_and_failing_tables(spark):
+    bronze, audit, bad, failing = name("bronze"), name("audit"), name("bad"), name("failing")
+    good = {"project": "p", "article": "Minecraft", "granularity": "daily", "timestamp": "2026010100", "views": 1}
+    text = json.dumps({"items": [good, 5, {**good, "timestamp": "2026010200", "views": "7"}, good]})
+    df = responses_frame(spark, [("Batch", "20260101", "20260103", 4, 1, 200, text, None)])
+    for _ in range(2):  # a re-run replaces its own
+        run_ingest(df, bronze, "run_1", T0, if_run_exists="replace", quarantine_table=bad)
+    got = sorted((r["title"], r["page"], r["item_no"], r["item"], r["_ingestion_job_run_id"]) for r in spark.table(bad).collect())
+    assert [(*g[:3], json.loads(g[3]), g[4]) for g in got] == [
+        ("Batch", 4, 1, 5, "run_1"),
+        ("Batch", 4, 2, {**good, "timestamp": "2026010200", "views": "7"}, "run_1"),
+    ]
+    assert spark.table(bronze).count() == 3
+    run_bronze_dq(spark, bronze, audit, CFG, run_id="r", checked_at=T0, failing_table=failing)
+    rows = sorted((r["check_name"], r["article"], r["timestamp"], r["expected"], r["rows"]) for r in spark.table(failing).collect())
+    days = [f"202601{d:02d}00" for d in (1, 2, 3)]
+    assert rows == [("duplicate_check", "Minecraft", days[0], 1, 2)] + sorted(
+        [("source_coverage", a, d, 1, 0) for a in ("Cyberpunk_2077", "Grand_Theft_Auto_V") for d in days]
+        + [("source_coverage", "Minecraft", days[2], 1, 0)]
+    )
 
 
 def test_partitioned_bronze(spark):
@@ -256,10 +314,10 @@ def test_replace_rerun_of_same_run_id(spark):
             F.lit("daily").alias("granularity"), F.lit("2026010100").alias("timestamp"),
             F.lit(views).cast("bigint").alias("views"))
 
-    write_bronze(with_lineage(recs(3, 1), "run_a", T0), table, **opts)
-    write_bronze(with_lineage(recs(2, 1), "run_b", T0), table, **opts)
+    write_bronze(with_lineage(recs(3, 1), "run_a", T0), table, run_id="run_a", **opts)
+    write_bronze(with_lineage(recs(2, 1), "run_b", T0), table, run_id="run_b", **opts)
     # re-run of run_a with corrected data: replaces run_a only
-    write_bronze(with_lineage(recs(4, 9), "run_a", T0), table, **opts)
+    write_bronze(with_lineage(recs(4, 9), "run_a", T0), table, run_id="run_a", **opts)
     spark.catalog.refreshTable(table)
     per_run = {r[0]: (r[1], r[2]) for r in spark.table(table).groupBy("_ingestion_job_run_id")
                .agg(F.count(F.lit(1)), F.max("views")).collect()}
@@ -279,3 +337,13 @@ def test_gate_lists_failures_in_run_order(spark):
         run_bronze_dq(spark, bronze, audit, cfg, run_id="run-all", checked_at=T0)
     assert str(err.value) == (
         "Bronze DQ check(s) failed: source_coverage, duplicate_check, schema_check (check_run_id=run-all)")
+
+
+def test_runs_checked_at_the_same_time(spark):
+    at = dt.datetime(2026, 1, 1)
+    rows = [(rid, "bronze", "t", c, "PASS", "0", "0", "d", at) for rid in ("a", "c", "b") for c in ("x", "y")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {'timestamp' if c == 'checked_at' else 'string'}" for c in AUDIT_COLUMNS))
+    for parts in (1, 5):
+        assert {r["check_run_id"] for r in latest_run(df.repartition(parts)).collect()} == {"c"}
+    df.createOrReplaceTempView("same_time")
+    assert {r["check_run_id"] for r in spark.sql(latest_run_sql("same_time")).collect()} == {"c"}

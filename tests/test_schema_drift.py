@@ -7,6 +7,8 @@ from tallycheck.operators.schema_drift import (
     check_schema,
     column_rows,
     expected_rows,
+    observed_rows,
+    schema_compare,
     schema_mismatches,
     schema_result,
 )
@@ -18,6 +20,8 @@ def check(spark, actual_schema, expected):
     e = expected_rows(spark, expected, "t")
     res = schema_result(a, e).collect()[0]
     msgs = [r["mismatch"] for r in sorted(schema_mismatches(a, e).collect(), key=lambda r: (r["section"], r["ordinal"]))]
+    # the run's form over literal arrays says the same
+    assert schema_compare(spark, actual_schema, expected, "t").first()["mismatches"] == msgs
     return res, msgs
 
 
@@ -103,3 +107,13 @@ def test_check_schema_on_a_dataframe(spark):
     r = out.result.collect()[0]
     assert (r["table_name"], r["check_name"], r["status"], r["mismatch_count"]) == ("bronze", "schema_check", "WARN", 1)
     assert [m["mismatch"] for m in out.failing.collect()] == ["Type mismatch on views: expected bigint, got string"]
+
+
+def test_types_observed_in_rows(spark):
+    df = spark.createDataFrame([('{"k": 1, "s": "x"}',), ('{"k": 2}',), ("junk",), (None,)], "props string")
+    got = sorted(tuple(r) for r in observed_rows(df, "props", "t").collect())
+    assert got == [("t", 0, "k", "bigint"), ("t", 1, "s", "string")]
+    assert observed_rows(df.limit(0), "props", "t").count() == 0
+    msgs = schema_mismatches(observed_rows(df, "props", "t"), expected_rows(spark, {"k": "string"}, "t"))
+    assert sorted(r["mismatch"] for r in msgs.collect()) == [
+        "Type mismatch on k: expected string, got bigint", "Unexpected column: s"]
