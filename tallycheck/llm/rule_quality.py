@@ -113,10 +113,11 @@ class RuleEnsemble:
         return 1 / (1 + np.exp(-total))
 
     def column(self, prefix: str = _PREFIX) -> Column:
-        total = F.lit(self.intercept)
-        for rule, weight in self.rules:
-            total = total + F.when(rule.column(prefix), F.lit(weight)).otherwise(F.lit(0.0))
-        return 1 / (1 + F.exp(-total))
+        terms = [F.lit(self.intercept)]
+        terms += [F.when(rule.column(prefix), F.lit(weight)).otherwise(F.lit(0.0)) for rule, weight in self.rules]
+        while len(terms) > 1:  # added in pairs, so that the expression is not deep
+            terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) // 2 * 2 :]
+        return 1 / (1 + F.exp(-terms[0]))
 
 
 def _cuts(x: np.ndarray, bins: int) -> list[np.ndarray]:
