@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, ranges_for
 
 #: Bytes that a boundary depends on: one bit of the hash each.
 WINDOW = 16
@@ -237,10 +237,10 @@ SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 def edited_neighbours(docs: DataFrame, sizes: Sizes = Sizes(), ranges: int | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): its fingerprint, that of its text with the last half replaced by the next document's beginning, and the likenesses.
 
-    ``ranges``: 4 per shuffle partition, if not given.
+    ``ranges``: 4 per partition (``ranges_for``), if not given.
     """
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = ranges_for(docs)
     keyed = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     plan = plan_ranges(keyed, ranges or 4 * partitions)
     if plan is None:

@@ -84,6 +84,11 @@ def own_text(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return own.field(own.type.get_field_index(column)).cast(pa.binary()).to_pylist()
 
 
+def ranges_for(docs: DataFrame, rows: int = 100_000) -> int:
+    """Partitions for ``docs``: those set for shuffles, and more where a partition would hold over ``rows`` rows."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // rows))
+
+
 def text_bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()

@@ -227,21 +227,30 @@ def _scan(sent):
 
 
 def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[Block]:
-    """Blocks of whole items, read one item at a time. An item id stays in one block."""
+    """Blocks of items, read one item at a time; an item larger than a block goes in overlapping parts that have all its windows."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null")
-    batch: list[tuple[str, bytes | None]] = []
-    used, last = 0, None
+    batch: list[tuple[str, bytes]] = []
+    used = 0
     for row in rows.orderBy("item_id").toLocalIterator():
-        text = row.text.encode() if row.text is not None else None
-        if batch and row.item_id != last and used + len(text or b"") > block_bytes:
-            yield Block.of(batch, size)
-            batch, used = [], 0
-        batch.append((row.item_id, text))
-        used, last = used + len(text or b""), row.item_id
+        for part in _parts((row.text or "").encode(), size, block_bytes):
+            if batch and used + len(part) > block_bytes:
+                yield Block.of(batch, size)
+                batch, used = [], 0
+            batch.append((row.item_id, part))
+            used += len(part)
     if batch:
         yield Block.of(batch, size)
 
 
+def _parts(text: bytes, size: int, block_bytes: int) -> Iterator[bytes]:
+    if len(text) <= block_bytes:
+        yield text
+        return
+    words, step = words_of(text), max(1, block_bytes // 16)
+    for at in range(0, max(1, len(words) - size + 1), step):
+        yield b" ".join(words[at : at + step + size - 1])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 1 << 20) -> DataFrame:
     """``docs`` (with text) and, per row, ``n_words``, ``hit_runs`` (starts and ends of runs of hit words, in turn),
     ``n_hit``, ``items`` (ids of items with an occurring window, sorted as strings), ``n_items`` and ``contaminated``.
@@ -267,8 +276,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_by
         "n_words": F.col("n_words"),
         "hit_runs": F.col("runs"),
         "n_hit": F.when(hit, size).otherwise(F.lit(0).cast("long")),
-        "items": F.array_sort("items"),
-        "n_items": F.size("items").cast("long"),
+        "items": F.array_sort(F.array_distinct("items")),
+        "n_items": F.size(F.array_distinct("items")).cast("long"),
         "contaminated": hit,
     }
     return unpacked(state, *(c.alias(n) for n, c in added.items()), names=list(added))

@@ -224,7 +224,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", th
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("tie"), F.col("text")).alias("t2"))
     stats = written(with_statistics(hashed, ["doc_id", "t1", "t2"]), "quality-statistics")
     sample = sample_labels(labels, label, sample_rows, seed)
-    rows = stats.join(sample, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", *(_PREFIX + s for s in STATISTICS)).toPandas().sort_values("doc_id")
+    # of rows with one id one is learnt from, so the driver gets sample_rows at most
+    single = stats.join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(*(_PREFIX + s for s in STATISTICS))).alias("s"))
+    rows = single.select("doc_id", "y", "s.*").toPandas().sort_values("doc_id")
     model = fit(rows[[_PREFIX + s for s in STATISTICS]].to_numpy(np.float64), rows["y"].to_numpy(np.float64), seed=seed)
     score = model.column()
     return stats.select(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import pieces, shared_path, written
+from .common import pieces, ranges_for, shared_path, written
 
 FILE_SCHEMA = "doc_id long, range int, at long, n_tokens long, ids array<int>"
 OPTIONS = {
@@ -65,7 +65,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     """Write ``docs`` (doc_id, text) as ORC files of ids below ``path``. ``tokenizer``: a file of the tokenizers library, present on every executor."""
     order = [F.col("doc_id").asc_nulls_last(), F.col("_tie").asc()]
     tied = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_tie"))
-    ranged = tied.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    ranged = tied.repartitionByRange(ranges_for(docs), *order).sortWithinPartitions(*order).select("doc_id", "text")
     coded = ranged.mapInArrow(_encode(tokenizer, end_id), FILE_SCHEMA)
     coded.write.options(**OPTIONS).orc(path)
 

@@ -139,7 +139,7 @@ def fit_weights(rows, swapped, y, width: int, ridge: float = 1e-3, fairness: flo
 
 
 def _sampled_texts(docs: DataFrame, sample: dict[int, int], spark: SparkSession) -> DataFrame:
-    """(y, text) of the documents in the sample, written to the shared folder."""
+    """(y, text) of the documents in the sample, one per id, written to the shared folder."""
     sent = spark.sparkContext.broadcast(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,9 +148,11 @@ def _sampled_texts(docs: DataFrame, sample: dict[int, int], spark: SparkSession)
             ids = batch.column("doc_id").to_pylist()
             rows = [k for k, i in enumerate(ids) if i in labels]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([labels[ids[k]] for k in rows], pa.int32()), batch.column("text").take(pa.array(rows))], names=["y", "text"])
+                own = [pa.array([ids[k] for k in rows], pa.int64()), pa.array([labels[ids[k]] for k in rows], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*own, batch.column("text").take(pa.array(rows))], names=["doc_id", "y", "text"])
 
-    return written(docs.select("doc_id", "text").mapInArrow(run, "y int, text string"), "toxicity-sample")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, y int, text string")
+    return written(found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("y", "text"), "toxicity-sample")
 
 
 def _feature_counts(texts: DataFrame) -> DataFrame:

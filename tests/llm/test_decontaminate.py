@@ -59,6 +59,14 @@ def test_blocks_give_the_same(spark, docs):
     assert run(docs, spark, rows, items, size=4, block_bytes=30) == brute(rows, items, 4)
 
 
+def test_items_larger_than_a_block(spark, docs):
+    rng = random.Random(2)
+    item = " ".join(f"w{rng.randint(0, 40)}" for _ in range(300))
+    rows = [(k, " ".join(item.split()[k * 7 : k * 7 + 25])) for k in range(40)] + [(99, "w1 w2")]
+    items = [(1, item), (2, "w1 w2"), (1, "w3 w4 w5")]
+    assert run(docs, spark, rows, items, size=4, block_bytes=64) == brute(rows, items, 4)
+
+
 def test_empty_tables(spark, docs):
     assert run(docs, spark, [], [(1, "a b")]) == []
     assert run(docs, spark, [(1, "a b")], []) == [(1, 2, 0, "", False)]
