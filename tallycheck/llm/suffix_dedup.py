@@ -160,15 +160,15 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFr
     )
     known = judged.select("trigger", "phrase", "n", "sample", F.coalesce("mixed", F.lit(False)).alias("mixed"))
     placed = parse_rows.join(known, ["trigger", "phrase"])
-    certain = placed.filter("n > 1").select(
-        "text1", _text2(F.col("place")).alias("text2"), (_first(F.col("place")) * 1024 + _count(F.col("place")) - 1 + length).alias("span")
+    span = _first(F.col("place")) * 1024 + _count(F.col("place")) - 1 + length
+    open_ = F.struct("trigger", "place", (F.col("n") == 1).alias("uncertain"))
+    by_text = placed.groupBy("text1", _text2(F.col("place")).alias("text2")).agg(
+        F.collect_set(F.when(F.col("n") > 1, span)).alias("certain"),
+        F.collect_set(F.when(F.expr("mixed and (n = 1 or text1 = sample)"), open_)).alias("examine"),
     )
+    by_text = written(by_text, "suffix-texts")
 
-    open_ = placed.filter("mixed and (n = 1 or text1 = sample)")
-    examine = open_.groupBy("text1", _text2(F.col("place")).alias("text2")).agg(
-        F.collect_set(F.struct("trigger", "place", (F.col("n") == 1).alias("uncertain"))).alias("examine")
-    )
-    with_text = texts.join(written(examine, "suffix-examine"), ["text1", "text2"])
+    with_text = texts.join(by_text.filter("size(examine) > 0").drop("certain"), ["text1", "text2"])
     blocks = written(with_text.mapInArrow(_blocks(shape), _BLOCK_SCHEMA), "suffix-blocks")
     shared = blocks.groupBy("trigger", "core").agg(F.count("*").alias("n"), F.max("uncertain").alias("any"))
     shared = written(shared.filter("n > 1 and any").select("trigger", "core"), "suffix-cores")
@@ -179,8 +179,10 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFr
     equal = written(starts.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key), "suffix-equal")
     found = starts.filter("uncertain").join(equal, key).select("text1", "text2", (F.col("start") * 1024 + length).alias("span"))
 
-    spans = certain.unionByName(found).groupBy("text1", "text2").agg(F.collect_set("span").alias("spans"))
-    return written(spans, "suffix-spans")
+    found = written(found.groupBy("text1", "text2").agg(F.collect_set("span").alias("found")), "suffix-found")
+    spans = by_text.drop("examine").join(found, ["text1", "text2"], "left")
+    spans = spans.select("text1", "text2", F.concat("certain", F.coalesce("found", F.array())).alias("spans"))
+    return written(spans.filter("size(spans) > 0"), "suffix-spans")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
