@@ -198,12 +198,13 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 2e-4, **grow) -> RuleEnse
         share = (float(y.sum()) + 1) / (len(y) + 2)
         return RuleEnsemble(float(np.log(share / (1 - share))))
     rules = extract_rules(x, y, **grow)
-    z = np.stack([r.holds(x) for r in rules], 1).astype(np.float64)
-    spread = z.std(axis=0)
-    some = spread > 1e-9
-    rules, z, spread = [r for r, s in zip(rules, some) if s], z[:, some], spread[some]
-    mean = z.mean(axis=0)
-    bias, weights = lasso_logistic((z - mean) / spread, y, penalty)
+    z = np.stack([r.holds(x) for r in rules], 1).astype(np.float32)
+    mean, spread = z.mean(axis=0, dtype=np.float64), z.std(axis=0, dtype=np.float64)
+    some = np.flatnonzero(spread > 1e-9)
+    rules, z, mean, spread = [rules[k] for k in some], z[:, some], mean[some], spread[some]
+    z -= mean
+    z /= spread
+    bias, weights = lasso_logistic(z, y, penalty)
     weights = weights / spread
     kept = [(r, float(w)) for r, w in zip(rules, weights) if abs(w) > 1e-6]
     return RuleEnsemble(bias - float((mean * weights).sum()), kept)
@@ -216,7 +217,7 @@ def sample_labels(labels: DataFrame, label: str, most: int, seed: int) -> DataFr
     return single.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, sample_rows: int = 20_000, seed: int = 5) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, sample_rows: int = 10_000, seed: int = 5) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted and two hashes of the text (t1, t2).
 
     ``sample_rows``: most labelled rows to fit on. Every document is scored on its whole text.
@@ -234,7 +235,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", th
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, sample_rows: int = 20_000, seed: int = 5) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, sample_rows: int = 10_000, seed: int = 5) -> DataFrame:
     """The rows of ``docs`` that are predicted 1, with their own columns."""
     scored = score_quality(docs, labels, label, threshold, sample_rows, seed).filter("predicted = 1")
     good = written(scored.select(F.col("doc_id").alias("id"), "t1", "t2").distinct(), "quality-kept")
