@@ -6,7 +6,7 @@ distinct chunk digests, each with its chunk's length; an insertion moves boundar
 the share of the one's weight (bytes of distinct chunks) whose digests the other has: its containment.
 
 ``edited_neighbours`` compares each document with an edited text and the next document in descending id order. Documents are
-dealt into ranges of (id, hash of the text) whose first rows are known: bounds are quantiles, which are rows of the table. Each range
+dealt into ranges of (id, hash of the text), cut at quantiles over all rows; the first row of each range is looked up. Each range
 gets its successor's first row as well, so ranges are independent and no task needs more than one
 range. An id (or null) that fills several ranges is split by the hash of the text.
 
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, ranges_for
+from .common import pieces, ranges_for, written
 
 #: Bytes that a boundary depends on: one bit of the hash each.
 WINDOW = 16
@@ -109,26 +109,26 @@ def containment(of: dict[bytes, int], other: dict[bytes, int]) -> float:
 
 @dataclass
 class Ranges:
-    """First rows of ranges, in order: keys, and hashes of the text where a key has several ranges (else the least long)."""
+    """Where ranges begin, in order: keys, and hashes of the text within a key."""
 
     key: np.ndarray
     tie: np.ndarray
-    by_tie: np.ndarray
 
     def number(self, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
-        """The range of each row."""
+        """The range of each row: the last that begins at or before it."""
         low = np.searchsorted(self.key, key, "left")
         high = np.searchsorted(self.key, key, "right")
         out = high - 1
-        for k in np.unique(low[high - low > 1]).tolist():
-            last = int(np.searchsorted(self.key, self.key[k], "right"))
-            own = np.flatnonzero(key == self.key[k])
-            out[own] = np.maximum(k + np.searchsorted(self.tie[k:last], tie[own], "right") - 1, k)
+        at_bound = np.flatnonzero(high > low)
+        for k in np.unique(low[at_bound]).tolist():
+            own = at_bound[low[at_bound] == k]
+            out[own] = k + np.searchsorted(self.tie[k : high[own[0]]], tie[own], "right") - 1
         return np.maximum(out, 0)
 
     def begins(self, key: np.ndarray, tie: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """Rows that may be the first of their range."""
-        return (key == self.key[number]) & (~self.by_tie[number] | (tie == self.tie[number]))
+        """Of each range that begins in these rows, one row that it begins with."""
+        first = np.flatnonzero((key == self.key[number]) & (tie == self.tie[number]))
+        return first[np.unique(number[first], return_index=True)[1]]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -137,26 +137,41 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_key": key, "_tie": F.xxhash64("text")})
 
 
-def plan_ranges(keyed: DataFrame, n: int) -> Ranges | None:
-    """About ``n`` ranges of equal row counts, from quantiles over all rows; None for an empty table."""
+def plan_ranges(keys: DataFrame, n: int) -> Ranges | None:
+    """About ``n`` ranges of equal row counts, from quantiles over all rows (_key, _tie), each beginning with a row of the table; None for an empty table."""
     shares = [k / n for k in range(n)]
     accuracy = max(10_000, 10 * n)
-    found = keyed.agg(F.percentile_approx("_key", shares, accuracy).alias("q"), F.min("_key").alias("first")).first()
+    rough = F.col("_key").cast("double")  # as quantiles see it
+    found = keys.agg(F.percentile_approx("_key", shares, accuracy).alias("q"), F.min("_key").alias("first")).first()
     if found.first is None:
         return None
-    keys, many = np.unique(np.array([found.first, *found.q], np.int64), return_counts=True)
-    frequent = {int(k): int(c) for k, c in zip(keys, many) if c > 2}
-    rows = [(int(k), -(1 << 63), False) for k in keys if int(k) not in frequent]
+    cuts, many = np.unique(np.array(found.q, np.int64), return_counts=True)
+    frequent = {float(k): int(c) for k, c in zip(cuts, many) if c > 1}
+    rows = {(int(found.first), -_LAST - 1), *((int(k), -_LAST - 1) for k in cuts)}
     if frequent:
         most = max(frequent.values())
-        ties = keyed.filter(F.col("_key").isin(list(frequent))).groupBy("_key")
-        ties = ties.agg(F.percentile_approx("_tie", [k / most for k in range(most)], accuracy).alias("q"), F.min("_tie").alias("first"))
-        for r in ties.collect():  # one row per frequent id, fewer than n
-            own = np.unique(np.array([r.first, *r.q], np.int64))
-            take = np.unique(np.linspace(0, len(own) - 1, min(len(own), frequent[r._key])).astype(int))
-            rows += [(int(r._key), int(own[k]), True) for k in take]
-    rows.sort()
-    return Ranges(*(np.array(x, t) for x, t in zip(zip(*rows), (np.int64, np.int64, bool))))
+        ties = keys.filter(rough.isin(list(frequent))).groupBy(rough.alias("rough"))
+        quantiles = F.percentile_approx("_tie", [k / most for k in range(most)], accuracy)
+        for r in ties.agg(quantiles.alias("q"), F.min("_key").alias("low"), F.max("_key").alias("high")).collect():  # fewer than n
+            if r.low == r.high:
+                step = max(1, most // frequent[r.rough])
+                rows |= {(r.low, int(t)) for t in r.q[::step]}
+    return _snapped(keys, Ranges(*(np.array(x, np.int64) for x in zip(*sorted(rows)))))
+
+
+def _snapped(keys: DataFrame, rough: Ranges) -> Ranges:
+    """The ranges that have rows, each beginning at its first row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, tie = batch.column("_key").to_numpy(), batch.column("_tie").to_numpy()
+            number = pa.array(rough.number(key, tie))
+            yield pa.RecordBatch.from_arrays([number, batch.column("_key"), batch.column("_tie")], names=["n", "_key", "_tie"])
+
+    numbered = keys.select("_key", "_tie").mapInArrow(run, "n long, _key long, _tie long")
+    first = numbered.groupBy("n").agg(F.min(F.struct("_key", "_tie")).alias("first"))
+    rows = sorted((r["first"]["_key"], r["first"]["_tie"]) for r in first.collect())  # one per range
+    return Ranges(*(np.array(x, np.int64) for x in zip(*rows)))
 
 
 def _deal(ranges: Ranges):
@@ -167,7 +182,7 @@ def _deal(ranges: Ranges):
         for batch in batches:
             key, tie = batch.column("_key").to_numpy(), batch.column("_tie").to_numpy()
             number = ranges.number(key, tie)
-            first = np.flatnonzero(ranges.begins(key, tie, number))
+            first = ranges.begins(key, tie, number)
             marked = batch.take(pa.array(first))
             before = np.where(number[first] == 0, last, number[first] - 1)
             for part, to, mark in ((batch, number, False), (marked, before, True)):
@@ -242,7 +257,7 @@ def edited_neighbours(docs: DataFrame, sizes: Sizes = Sizes(), ranges: int | Non
     spark = docs.sparkSession
     partitions = ranges_for(docs)
     keyed = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    plan = plan_ranges(keyed, ranges or 4 * partitions)
+    plan = plan_ranges(written(keyed.select("_key", "_tie"), "chunk-keys"), ranges or 4 * partitions)
     if plan is None:
         return spark.createDataFrame([], SCHEMA)
     dealt = keyed.mapInArrow(_deal(plan), "doc_id long, text string, _key long, _tie long, _range int, _mark boolean")

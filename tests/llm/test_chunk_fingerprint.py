@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallycheck.llm.chunk_fingerprint import Ranges, Sizes, as_string, containment, edited_neighbours, fingerprints
 
@@ -73,9 +74,15 @@ def test_frequent_ids(spark, docs):
     got = edited_neighbours(docs(rows), ranges=12).collect()
     assert len(got) == len(rows)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars) for r in got) == sorted((i is None, i or 0, len(t)) for i, t in rows)
-    # every row has a next one, each once
-    cut = {hashlib.sha256(t.encode()).hexdigest() for _, t in rows if len(t) < 2}
-    assert cut <= {r.edited_sha256 for r in got}
+    # rows of one id are in the order of their texts' hashes
+    tie = {r.text: r.h for r in docs(rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), tie[r[1]]))
+    want = []
+    for k, (doc_id, text) in enumerate(order):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + order[(k + 1) % len(order)][1][:half]
+        want.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == sorted(want, key=repr)
 
 
 def test_small(spark, docs):
@@ -86,9 +93,14 @@ def test_small(spark, docs):
     assert (row.near_edited, row.near_next, row.fingerprint) == (1.0, 1.0, "")
 
 
+def test_large_ids(spark, docs):
+    rows = [((1 << 62) + k, t) for k, t in enumerate(texts(60))] + [(-(1 << 63) + k, t) for k, t in enumerate(texts(20, 2))]
+    check(rows, edited_neighbours(docs(rows, parts=4), ranges=9).collect())
+
+
 def test_ranges_split_a_frequent_key():
-    r = Ranges(np.array([0, 5, 5, 9]), np.array([0, -10, 10, 0]), np.array([False, True, True, False]))
-    key, tie = np.array([-3, 0, 4, 5, 5, 5, 6, 9, 50]), np.array([1, 1, 1, -10, 3, 10, 0, 7, 7])
+    r = Ranges(np.array([0, 5, 5, 9]), np.array([-5, -10, 10, 7]))
+    key, tie = np.array([0, 0, 4, 5, 5, 5, 5, 6, 9, 9, 50]), np.array([-5, 1, 1, -11, -10, 3, 10, 0, 6, 7, 7])
     number = r.number(key, tie)
-    assert number.tolist() == [0, 0, 0, 1, 1, 2, 2, 3, 3]
-    assert r.begins(key, tie, number).tolist() == [False, True, False, True, False, True, False, True, False]
+    assert number.tolist() == [0, 0, 0, 0, 1, 1, 2, 2, 2, 3, 3]
+    assert r.begins(key, tie, number).tolist() == [0, 4, 6, 9]
