@@ -18,7 +18,7 @@ _ODD_SPACE = re.compile(r"[^\S \n]|\s\s|^\s|\s$")
 #: ASCII marks but the apostrophe, which can begin a piece with letters.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Pieces that one worker remembers; then it starts over.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 def _byte_letters() -> dict[int, int]:
