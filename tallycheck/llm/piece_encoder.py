@@ -2,7 +2,7 @@
 
 Where a single space or line feed stands between two other characters, the pre-tokenizer always
 starts a new piece, so a text is cut there and each distinct piece is encoded once. Text with any
-other white space (or runs of it) goes to the tokenizer whole.
+other white space (or runs of it), or with an added token's content (``<|endoftext|>``), goes to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -74,8 +74,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
+        # pieces and what is cut off them are parts of a text, so one without these contents has none in a piece
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._marks = _Marks(self.whole)
         self._line_feed = self.whole("\n")
         self._first = _Pieces(self._short, self._marks, "")
@@ -92,7 +93,7 @@ class PieceEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of the text, little-endian unsigned 32-bit."""
-        if _ODD_SPACE.search(text):
+        if _ODD_SPACE.search(text) or any(a in text for a in self._added):
             return self.whole(text)
         found = []
         for line in text.split("\n"):

@@ -75,3 +75,19 @@ def test_empty(spark, docs):
     assert tokenize_to_orc(docs([]), tokenizer_file()).count() == 0
     row = tokenize_to_orc(docs([(1, None)]), tokenizer_file()).first()
     assert tuple(row) == (1, 0, 1, zlib.crc32(b"\x02\0\0\0"))
+
+
+def test_added_tokens_as_the_plain_library(spark, docs):
+    t = tokenizers.Tokenizer.from_file(tokenizer_file())
+    own = lambda text: t.encode(text, add_special_tokens=False).ids
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y.", "end|> <|endoftext|>\n<|endoftext|", "a |> b", "<|end oftext|>"]
+    coder = PieceEncoder(tokenizer_file())
+    for text in texts:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == own(text), text
+    assert 50256 in own(texts[0])
+    rows = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in tokenize_to_orc(docs(list(enumerate(texts))), tokenizer_file()).collect()}
+    at = 0
+    for k, text in enumerate(texts):
+        ids = [*own(text), 2]
+        assert rows[k] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
