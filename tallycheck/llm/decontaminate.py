@@ -12,8 +12,9 @@ The benchmark is sent to the tasks in blocks of at most ``block_bytes`` of text,
 has a bound at any benchmark size; there is one pass over the documents for rarity and one to match per block,
 and a checkpoint between blocks. Documents are never shuffled.
 
-Defined results: a null text has no words; an item without words has no windows. Items with a null id are left out, rows with
-the same item id are one item. Each row of the input gives one row, repeated rows included. An
+Defined results: a null text has no words; an item without words has no windows. Rows with the same item id are one item. Windows
+of items with a null id are hits like any other (``n_hit``, ``contaminated``); together they are one item in ``n_items``, null and last
+in ``items``, and not in ``items`` joined to a string. Each row of the input gives one row, repeated rows included. An
 empty benchmark leaves every document clean. Columns of the input that clash with added ones are replaced.
 """
 
@@ -41,6 +42,10 @@ _FOLD = bytes(
 _STATE = "n_words long, runs array<long>, items array<string>"
 
 
+def _order(item_id: str | None) -> tuple[bool, str]:
+    return item_id is None, item_id or ""
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).split()
 
@@ -53,12 +58,12 @@ class Block:
     words: dict[bytes, int]
     windows: np.ndarray
     lengths: np.ndarray
-    items: list[list[str]]
+    items: list[list[str | None]]
 
     @classmethod
-    def of(cls, items: Iterable[tuple[str, bytes | None]], size: int) -> Block:
+    def of(cls, items: Iterable[tuple[str | None, bytes | None]], size: int) -> Block:
         words: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        owners: dict[tuple[int, ...], set[str | None]] = {}
         for item_id, text in items:
             row = [words.setdefault(w, len(words) + 1) for w in words_of(text)]
             take = min(size, len(row))
@@ -69,7 +74,7 @@ class Block:
         for k, window in enumerate(owners):
             windows[k, : len(window)] = window
             lengths[k] = len(window)
-        return cls(words, windows, lengths, [sorted(x) for x in owners.values()])
+        return cls(words, windows, lengths, [sorted(x, key=_order) for x in owners.values()])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.words.get, words, repeat(0)), np.int64, len(words))
@@ -217,7 +222,7 @@ def _scan(sent):
                 np.add.at(cover, before[0::2], 1)
                 np.add.at(cover, before[1::2], -1)
                 runs[t] = _runs_of(np.cumsum(cover)[:-1] > 0)
-                items[t] = items[t] + sorted({i for w in set(window[own].tolist()) for i in block.items[w]})
+                items[t] = items[t] + sorted({i for w in set(window[own].tolist()) for i in block.items[w]}, key=_order)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("own"), pa.array(n), pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
                 names=["own", "n_words", "runs", "items"],
@@ -228,8 +233,8 @@ def _scan(sent):
 
 def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[Block]:
     """Blocks of items, read one item at a time; an item larger than a block goes in overlapping parts that have all its windows."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null")
-    batch: list[tuple[str, bytes]] = []
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    batch: list[tuple[str | None, bytes]] = []
     used = 0
     for row in rows.orderBy("item_id").toLocalIterator():
         for part in _parts((row.text or "").encode(), size, block_bytes):
@@ -253,7 +258,7 @@ def _parts(text: bytes, size: int, block_bytes: int) -> Iterator[bytes]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 1 << 20) -> DataFrame:
     """``docs`` (with text) and, per row, ``n_words``, ``hit_runs`` (starts and ends of runs of hit words, in turn),
-    ``n_hit``, ``items`` (ids of items with an occurring window, sorted as strings), ``n_items`` and ``contaminated``.
+    ``n_hit``, ``items`` (ids of items with an occurring window, sorted as strings, null last), ``n_items`` and ``contaminated``.
 
     A block of ``block_bytes`` of benchmark text has at most that many / 2 words, below the 2^21 that fit.
     """

@@ -83,3 +83,31 @@ def test_keeps_own_columns(spark, docs):
     bench = spark.createDataFrame([(1, "q")], "item_id long, text string")
     row = contaminated(docs([(1, "q r")]), bench).first()
     assert (row.score, row.kept, row["_items"], row["items"]) == (0.5, "mine", "x", ["1"])
+
+
+def test_items_with_a_null_id_as_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tallycheck.llm.queries import ORACLE_SQL, op1_window_decontamination
+
+    passage = [" ".join(f"{p}{k}" for k in range(14)) for p in "uvw"]
+    items = [(None, passage[0]), (None, passage[1]), (3, passage[1]), (20, passage[2]), (None, None), (None, "lone")]
+    rows = [(1, f"x {passage[0]} y"), (2, f"{passage[1]} {passage[2]}"), (3, passage[2]), (4, "A Lone word"), (5, "clean"), (6, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(map(tuple, op1_window_decontamination(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert got == sorted(con.sql(ORACLE_SQL["op1_window_decontamination"]).fetchall())
+    assert [(r[0], r[2], r[3], r[5]) for r in got] == [(1, 14, 1, True), (2, 28, 3, True), (3, 14, 1, True), (4, 1, 1, True), (5, 0, 0, False), (6, 0, 0, False)]
+
+
+@pytest.mark.parametrize("size,kw", [(1, {}), (3, {}), (5, {}), (4, {"block_bytes": 30})])
+def test_items_with_a_null_id_against_brute_force(spark, docs, size, kw):
+    rows, items = corpus(size)
+    df = contaminated(docs(rows), spark.createDataFrame(items, "item_id long, text string"), size=size, **kw)
+    # null is one item, here 999 in the brute force
+    got = [(r.doc_id, r.n_words, r.n_hit, ",".join(sorted(i or "999" for i in r["items"])), r.contaminated, r.n_items) for r in df.collect()]
+    want = [(*w, len(w[3].split(",")) if w[3] else 0) for w in brute(rows, [(999 if i is None else i, t) for i, t in items], size)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
