@@ -6,6 +6,9 @@ outside an article, are summed over sliding windows of ``WINDOW`` lines. A sum t
 a sum of 0 (``WINDOW`` empty lines) is its dive, and the lines between are the text. Where the page marks an
 article (or main part), lines outside it count as empty and any text inside it is a surge, so short paragraphs stay.
 
+Whether an element is emptied is held against the sums: one with as much unlinked text as all that is left outside of it is
+opened if that text has a surge or an article (or main part) begins in it, and the page is read again.
+
 Defined results: a null or empty page gives an empty text. Whole pages are read; unclosed elements end with the page or at the article's start.
 Each row gives one row; repeated rows give equal rows. An empty table gives no rows.
 """
@@ -52,6 +55,11 @@ _BOILERPLATE = frozenset(
 )
 #: Of these, what page layouts also put on wrappers around the article.
 _LAYOUT = frozenset("ad ads banner footer header menu nav navbar notice search sidebar toolbar widget social tags".split())
+#: Elements that show no text of their own; only an article (or main part) that begins inside opens them.
+_UNSEEN = frozenset("head noscript template iframe svg canvas button select option object audio video map datalist".split())
+#: Rounds of opening; after these, class words empty nothing.
+_ROUNDS = 8
+_MARKED = re.compile(r"<(?:article|main)\b", re.I)
 _SELF_CLOSING = frozenset("p li dd dt option tr".split())
 
 
@@ -69,6 +77,7 @@ class _Lines:
         self.text: list[str] = []
         self.linked: list[int] = []
         self.place: list[int] = []  # 2: in an article, 1: in main, 0: neither
+        self.emptied: list[tuple[int, int, int, bool]] = []  # where each emptied element's tag, content and end are; whether it is seen
         self._open: list[str] = []
         self._link_chars = 0
 
@@ -90,10 +99,11 @@ class _Lines:
         self._open, self._link_chars = [], 0
 
 
-def lines_of(page: str) -> _Lines:
+def lines_of(page: str, opened: frozenset[int] = frozenset(), by_words: bool = True) -> _Lines:
+    """``opened``: places of tags whose elements are not emptied. ``by_words``: whether class words empty elements."""
     out = _Lines()
     articles = mains = links = 0
-    skipping, depth, why = "", 0, set()
+    skipping, depth, why, began, seen = "", 0, set(), (0, 0), True
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -114,7 +124,9 @@ def lines_of(page: str) -> _Lines:
         if skipping:
             inside = why and why <= _LAYOUT and tag in ("article", "main") and not closing
             if not inside:
-                if tag == skipping:
+                if skipping == "head" and tag == "body":
+                    depth = 0
+                elif tag == skipping:
                     if closing:
                         depth -= 1
                     elif tag in _SELF_CLOSING:
@@ -128,6 +140,7 @@ def lines_of(page: str) -> _Lines:
                 if depth > 0:
                     continue
                 skipping = ""
+                out.emptied.append((*began, m.start(), seen))
                 out.end(place, empty=True)
                 if closing and tag not in ("article", "main"):
                     continue
@@ -135,14 +148,18 @@ def lines_of(page: str) -> _Lines:
                 skipping = ""
                 out.end(place, empty=True)
         if not closing and tag not in ("html", "body", "main") and tag not in _VOID:
-            named = _marks(attributes)
+            named = _marks(attributes) if by_words else set()
+            if articles or mains:
+                named = named - {"header"}  # as the element of that name: the title's
             if tag == "article" and named <= _LAYOUT:
                 named = set()
             never = tag in _NEVER or tag == "header" and not articles and not mains
-            if never or named or _HIDDEN.search(attributes):
+            hidden = bool(_HIDDEN.search(attributes))
+            if (never or named or hidden) and m.start() not in opened:
                 out.end(place)
                 if not attributes.endswith("/"):
                     skipping, depth, why = tag, 1, named if not never else set()
+                    began, seen = (m.start(), m.end()), not hidden and tag not in _UNSEEN
                 continue
         if tag in _BLOCKS:
             out.end(place)
@@ -154,10 +171,53 @@ def lines_of(page: str) -> _Lines:
             articles = max(0, articles + (-1 if closing else 1))
         elif tag == "main":
             mains = max(0, mains + (-1 if closing else 1))
+    if skipping:
+        out.emptied.append((*began, end, seen))
     out.end(2 if articles else 1 if mains else 0)
     return out
 
 
+def _sizes(lines: _Lines) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Sizes of the lines, which lines can be text, and whether the page marks them."""
+    length = np.array([len(x) for x in lines.text], np.int64)
+    place = np.array(lines.place, np.int64)
+    in_article, in_main = int(length[place == 2].sum()), int(length[place >= 1].sum())
+    if in_main:
+        inside = place == 2 if 2 * in_article >= in_main else place >= 1
+        return np.where(inside, length, 0), inside, True
+    return np.maximum(length - 2 * np.array(lines.linked, np.int64), 0), np.ones(len(length), bool), False
+
+
+def _most(sizes: np.ndarray, window: int) -> int:
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    return max((int(total[min(k + window, len(sizes))] - total[k]) for k in range(len(sizes))), default=0)
+
+
+def _read(page: str, window: int, surge: int) -> _Lines:
+    """The page's lines, with elements opened that hold as much unlinked text as is left outside of them."""
+    opened: frozenset[int] = frozenset()
+    for _ in range(_ROUNDS):
+        lines = lines_of(page, opened)
+        outside = int(_sizes(lines)[0].sum())
+        more = set()
+        for tag, start, end, seen in lines.emptied:
+            if end - start < max(1, outside):
+                continue
+            part = page[start:end]
+            marked = _MARKED.search(part)
+            if marked:
+                part = part[marked.start() :]
+            elif not seen or end - start < surge:
+                continue
+            sizes = _sizes(lines_of(part, by_words=False))[0]
+            if int(sizes.sum()) >= max(1, outside) and (marked or _most(sizes, window) >= surge):
+                more.add(tag)
+        if not more:
+            return lines
+        opened |= more
+    return lines_of(page, opened, by_words=False)
+
+
 def stretches(sizes: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray:
     """Which lines lie between a surge and the next dive of the windows' sums."""
     total = np.concatenate([[0], np.cumsum(sizes)])
@@ -172,20 +232,16 @@ def stretches(sizes: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     if not page:
         return ""
-    lines = lines_of(page)
-    length = np.array([len(x) for x in lines.text], np.int64)
-    place = np.array(lines.place, np.int64)
-    in_article, in_main = int(length[place == 2].sum()), int(length[place >= 1].sum())
-    if in_main:
-        inside = place == 2 if 2 * in_article >= in_main else place >= 1
-        sizes, level = np.where(inside, length, 0), 1
-    else:
-        sizes = np.maximum(length - 2 * np.array(lines.linked, np.int64), 0)
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        most = max((int(total[min(k + window, len(sizes))] - total[k]) for k in range(len(sizes))), default=0)
-        level = max(1, min(surge, most))
-    keep = stretches(sizes, level, window) & (sizes > 0)
-    return "\n".join(x for x, k in zip(lines.text, keep) if k and x)
+    lines = _read(page, window, surge)
+    sizes, inside, marked = _sizes(lines)
+    level = 1 if marked else max(1, min(surge, _most(sizes, window)))
+    kept, begun = [], False
+    for text, between, usable, size in zip(lines.text, stretches(sizes, level, window).tolist(), inside.tolist(), sizes.tolist()):
+        # a stretch begins at its first line with a size: the windows look ahead
+        begun = between and (begun or size > 0)
+        if begun and usable and text:
+            kept.append(text)
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame, window: int = WINDOW, surge: int = SURGE) -> DataFrame:

@@ -56,3 +56,27 @@ def test_table(spark):
     got = sorted((r.page_id or 0, r.n_chars) for r in df.collect())
     assert got == [(0, 0), (1, 18), (1, 18), (3, 0), (4, 999_999)]
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+MENU = "<nav><a href=/>Home</a> <a href=/x>More</a>"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<div class='page has-sidebar'><div class='content'><p>{LONG}</p></div><div class='sidebar'><p>Side</p></div></div>", LONG.strip()),
+        (f"<article class='post comments-open'><h1>Title</h1><p>{LONG}</p></article>", f"Title\n{LONG.strip()}"),
+        (f"<article><div class='article-header'><h1>Title</h1></div><p>{LONG}</p></article>", f"Title\n{LONG.strip()}"),
+        (f"<form id='aspnetForm'>{MENU}</nav><article><p>{LONG}</p></article></form>", LONG.strip()),
+        (f"<form id='aspnetForm'><div><p>{LONG}</p></div></form>", LONG.strip()),
+        (f"<div>{MENU}<div><main><p>Short.</p></main></div>", "Short."),
+        ("<div class='comments-on'><article><p>Short.</p></article></div>", "Short."),
+        (f"<head><meta name=a><body><p>{LONG}</p></body>", LONG.strip()),
+        (f"<p>{LONG}</p><p><a href=/s>See the other page</a></p><p>{LONG}</p>", f"{LONG.strip()}\nSee the other page\n{LONG.strip()}"),
+        (f"<article><p>{LONG * 2}</p></article><aside class='related'><article><p>{LONG}</p></article></aside>", (LONG * 2).strip()),
+        (f"<article><p>{LONG * 2}</p></article><section id='comments'><article class='comment'><p>{LONG}</p></article></section>", (LONG * 2).strip()),
+        ("<div class='ad'>" * 30 + f"<p>{LONG}</p>", LONG.strip()),
+    ],
+)
+def test_elements_around_the_text(page, text):
+    assert main_text(page) == text
