@@ -88,29 +88,35 @@ def expected_rows(
 
 def _compare(actual: DataFrame, expected: DataFrame) -> DataFrame:
     # A table with a repeated column name keeps the first position and the
-    # last type for it.
+    # last type for it; rows of one position are types of one column.
     act = actual.groupBy("table_name", "column_name").agg(
-        F.min("ordinal").alias("a_ord"), F.max_by("data_type", "ordinal").alias("a_type")
+        F.min("ordinal").alias("a_ord"),
+        F.max("ordinal").alias("a_last"),
+        F.collect_set(F.when(F.col("data_type").isNotNull(), F.struct("ordinal", "data_type"))).alias("a_seen"),
     )
     exp = expected.select(
         "table_name", "column_name", F.col("ordinal").alias("e_ord"), F.col("data_type").alias("e_type")
     )
     both = exp.join(act, ["table_name", "column_name"], "full_outer")
     name = F.col("column_name")
-    missing = F.col("a_type").isNull()
+    missing = F.col("a_ord").isNull()
     unexpected = F.col("e_type").isNull()
-    retyped = F.col("e_type") != F.col("a_type")
+    retyped = F.filter("a_seen", lambda s: (s["ordinal"] == F.col("a_last")) & (s["data_type"] != F.col("e_type")))
+    messages = (
+        F.when(missing, F.array(fill(MSG_MISSING_COLUMN, column=name)))
+        .when(unexpected, F.array(fill(MSG_UNEXPECTED_COLUMN, column=name)))
+        .otherwise(
+            F.transform(
+                retyped,
+                lambda s: fill(MSG_TYPE_MISMATCH, column=name, expected=F.col("e_type"), actual=s["data_type"]),
+            )
+        )
+    )
     return both.select(
         "table_name",
         F.when(unexpected, F.lit(1)).otherwise(F.lit(0)).alias("section"),
         F.when(unexpected, F.col("a_ord")).otherwise(F.col("e_ord")).alias("ordinal"),
-        F.when(missing, fill(MSG_MISSING_COLUMN, column=name))
-        .when(unexpected, fill(MSG_UNEXPECTED_COLUMN, column=name))
-        .when(
-            retyped,
-            fill(MSG_TYPE_MISMATCH, column=name, expected=F.col("e_type"), actual=F.col("a_type")),
-        )
-        .alias("mismatch"),
+        F.explode_outer(messages).alias("mismatch"),
     )
 
 
@@ -197,15 +203,18 @@ def schema_compare(
 def observed_rows(df: DataFrame, json_column: str, table_name: str) -> DataFrame:
     """Catalog rows of the keys seen in a JSON column, over all rows.
 
-    ``ordinal`` is the key's place by name, and the type is that of its
-    values (``schema_of_variant``), the greatest if they differ. Values
+    ``ordinal`` is the key's place by name; each type of its values
+    (``schema_of_variant``) is a row. JSON nulls fit any type and count as
+    none: a key with nothing else is one row with a null type. Values
     combine map-side; only distinct (key, type) pairs cross the shuffle.
     """
     fields = df.select(F.explode(F.from_json(F.col(json_column), "map<string,variant>")))
-    types = fields.groupBy(F.col("key").alias("column_name")).agg(F.max(F.lower(F.schema_of_variant("value"))).alias("data_type"))
-    keys = types.agg(F.array_sort(F.collect_list(F.struct("column_name", "data_type"))).alias("k"))
+    kind = F.nullif(F.lower(F.schema_of_variant("value")), F.lit("void"))
+    pairs = fields.select(F.col("key").alias("column_name"), kind.alias("data_type")).distinct()
+    types = pairs.groupBy("column_name").agg(F.array_sort(F.collect_set("data_type")).alias("data_types"))
+    keys = types.agg(F.array_sort(F.collect_list(F.struct("column_name", "data_types"))).alias("k"))
     return keys.select(F.posexplode("k").alias("ordinal", "c")).select(
-        F.lit(table_name).alias("table_name"), "ordinal", "c.column_name", "c.data_type"
+        F.lit(table_name).alias("table_name"), "ordinal", "c.column_name", F.explode_outer("c.data_types").alias("data_type")
     )
 
 
