@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole tables, and their DuckDB SQL."""
+"""The registered queries of the operators, each over its whole tables, and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -98,6 +98,24 @@ def op10_token_orc(spark, sf_dir):
     return tokenize_to_orc(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op11_jaccard_tiles(spark, sf_dir):
+    from .jaccard_tiles import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+def op12_pivotal_spelling(spark, sf_dir):
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"), min_length=7, min_count=2, ratio=10)
+
+
+def op13_source_divergence(spark, sf_dir):
+    from .source_divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_window_decontamination": op1_window_decontamination,
     "op2_source_mix": op2_source_mix,
@@ -109,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
     "op9_line_blocks": op9_line_blocks,
     "op10_token_orc": op10_token_orc,
+    "op11_jaccard_tiles": op11_jaccard_tiles,
+    "op12_pivotal_spelling": op12_pivotal_spelling,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -173,4 +194,49 @@ k AS (
 SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN k USING (doc_id)""",
+    "op11_jaccard_tiles": rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[p : p + least(3, len(w)) - 1], ' ') AS g
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - least(3, len(w)) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+o AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+l AS (SELECT x, y FROM o JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * k >= 90 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach(r, t) AS (SELECT r, r FROM w UNION SELECT reach.r, e.y FROM reach JOIN e ON reach.t = e.x),
+c AS (SELECT reach.r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = reach.t GROUP BY reach.r)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM w JOIN c USING (r) LEFT JOIN n USING (r)""",
+    "op13_source_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+o AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*)::BIGINT AS total FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*)::BIGINT AS v, sum(total)::BIGINT AS size FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::BIGINT AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT x.lang, x.source, coalesce(max(v), 0)::BIGINT AS v, coalesce(max(v.size), 0)::BIGINT AS lang_size, coalesce(max(s.size), 0)::BIGINT AS size
+  FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n)::BIGINT AS size FROM c GROUP BY lang, source) s ON s.lang = x.lang AND s.source = x.source
+  GROUP BY x.lang, x.source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.size + 2 * g.v))::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (k.total + 2) // (g.lang_size + 2 * g.v))::BIGINT AS q
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 10""",
 }
