@@ -72,13 +72,19 @@ class _Block:
 
     def run(self, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
         """The postings in order of language, term and source."""
-        found = sorted(
-            (lang, term, source, n, documents[term]) for (lang, source), (occurrences, documents) in self._groups.items() for term, n in occurrences.items()
-        )
-        for at in range(0, len(found), rows):
-            lang, term, source, n, docs = zip(*found[at : at + rows])
-            columns = [pa.array(lang), pa.array(term, pa.binary()).cast(pa.string()), pa.array(source), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "term", "source", "n", "docs"])
+        tables = []
+        for (lang, source), (occurrences, documents) in self._groups.items():
+            terms = list(occurrences)
+            columns = [
+                pa.repeat(pa.scalar(lang, pa.string()), len(terms)),
+                pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                pa.array(list(occurrences.values()), pa.int64()),
+                pa.array(list(map(documents.__getitem__, terms)), pa.int64()),
+            ]
+            tables.append(pa.table(columns, names=["lang", "term", "source", "n", "docs"]))
+        if tables:
+            yield from pa.concat_tables(tables).sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches(max_chunksize=rows)
 
 
 def spilled_runs(rows: DataFrame, block_postings: int) -> DataFrame:
@@ -157,7 +163,7 @@ def _merge(min_docs: int):
     return run
 
 
-def term_frequencies(docs: DataFrame, min_docs: int = 10, block_postings: int = 300_000) -> DataFrame:
+def term_frequencies(docs: DataFrame, min_docs: int = 10, block_postings: int = 500_000) -> DataFrame:
     """(lang, term, source, n, total) of terms that ``min_docs`` documents of their language have: occurrences in the source and in
     the language. Written to the shared folder in order of language and term within each file."""
     runs = spilled_runs(docs, block_postings)
@@ -233,7 +239,7 @@ def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sums(open_)
 
 
-def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, block_postings: int = 300_000) -> DataFrame:
+def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, block_postings: int = 500_000) -> DataFrame:
     """Per (lang, source) of ``docs`` (text, lang, source): lang, source, part, item, value, rank.
 
     Part ``pair``: each other source of the language, by how far it is apart. Part ``term``: the ``top`` terms that the source has and
