@@ -37,12 +37,7 @@ from tallycheck.operators import (  # noqa: E402
 )
 from tallycheck.operators.coverage import check_coverage  # noqa: E402
 from tallycheck.operators.duplicates import check_duplicates  # noqa: E402
-from tallycheck.operators.schema_drift import (  # noqa: E402
-    expected_rows,
-    observed_rows,
-    schema_mismatches,
-    schema_result,
-)
+from tallycheck.operators.type_drift import check_json_schema, observed_schema, type_profile  # noqa: E402
 from tallycheck.plans import DQConfig, failing_keys, ingest, run_checks  # noqa: E402
 from tallycheck.sources import bindings as B  # noqa: E402
 from tallycheck.sources.bronze import with_lineage  # noqa: E402
@@ -52,6 +47,16 @@ RUN_ID = "run_1"
 RUN_AT = dt.datetime(2026, 1, 31, tzinfo=dt.timezone.utc)
 START, END = B.BINDING_START, B.BINDING_END
 PROPS_SCHEMA = {"k": "string", "missing": "bigint"}
+DRIFT_SCHEMA = {
+    "id": "bigint",
+    "amount": "double",
+    "label": "string",
+    "ratio": "bigint",
+    "flag": "boolean",
+    "pos": "struct<x:smallint,y:double>",
+    "vals": "array<decimal(12,2)>",
+    "gone": "string",
+}
 
 
 # --------------------------------------------------------------------------
@@ -171,18 +176,33 @@ def q_duplicate_keys_lineitem(spark, sf_dir):
     return check_duplicates(lineitem, keys=("l_orderkey", "l_linenumber")).failing
 
 
-def _schema_sides(spark, sf_dir):
+def _props_check(spark, sf_dir):
     # types seen in all rows of a JSON column against what they should be
-    observed = observed_rows(_events(spark, sf_dir), "props", "events.props")
-    return observed, expected_rows(spark, PROPS_SCHEMA, "events.props")
+    return check_json_schema(_events(spark, sf_dir), "props", PROPS_SCHEMA, "events.props")
 
 
 def q_props_mismatches(spark, sf_dir):
-    return schema_mismatches(*_schema_sides(spark, sf_dir))
+    return _props_check(spark, sf_dir).failing
 
 
 def q_props_schema_result(spark, sf_dir):
-    return schema_result(*_schema_sides(spark, sf_dir))
+    return _props_check(spark, sf_dir).result
+
+
+def _drift_check(spark, sf_dir):
+    return check_json_schema(B.drifting_props(_events(spark, sf_dir)), "props", DRIFT_SCHEMA, "events.drift")
+
+
+def q_drift_mismatches(spark, sf_dir):
+    return _drift_check(spark, sf_dir).failing
+
+
+def q_drift_result(spark, sf_dir):
+    return _drift_check(spark, sf_dir).result
+
+
+def q_drift_schema(spark, sf_dir):
+    return observed_schema(spark, type_profile(B.drifting_props(_events(spark, sf_dir)), "props", DRIFT_SCHEMA))
 
 
 def q_dq_results(spark, sf_dir):
@@ -255,6 +275,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys_lineitem": q_duplicate_keys_lineitem,
     "props_mismatches": q_props_mismatches,
     "props_schema_result": q_props_schema_result,
+    "drift_mismatches": q_drift_mismatches,
+    "drift_result": q_drift_result,
+    "drift_schema": q_drift_schema,
     "dq_results": q_dq_results,
     "failing_keys": q_failing_keys,
     "audit_history": q_audit_history,
@@ -338,20 +361,77 @@ _CTES = {"R": _R, "D": _D, "G": _G, "M": _M, "U": _U, "A": _A, "AC": _AC, "H": _
 _DEPS = {"G": ["R", "D"], "M": ["G", "R"], "U": ["R"], "AC": ["A"]}
 _RUN_AT_SQL = "timestamp '2026-01-31 00:00:00'"
 _URL_PREFIX = "https://wikimedia.org/api/rest_v1/metrics/pageviews/per-article/en.wikipedia.org/all-access/user/"
-# Types seen in props, in Spark's names, against PROPS_SCHEMA.
-_PROPS = (
-    "(select e.name, e.ordinal, o.kind, e.kind as want from (values ('k', 0, 'string'), ('missing', 1, 'bigint')) e(name, ordinal, kind) "
-    "left join (select name, max(case kind when 'UBIGINT' then 'bigint' when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string' "
-    "when 'DOUBLE' then 'double' else lower(kind) end) as kind from (select name, json_type(props, '$.' || name) as kind "
-    "from (select props, unnest(json_keys(props)) as name from events)) group by name) o on o.name = e.name)"
+# The texts of bindings.drifting_props.
+_N2 = "cast(cast(value as decimal(12,2)) as varchar)"
+_FLOOR = "cast(cast(floor(value) as bigint) as varchar)"
+_BODY = (
+    f"""'{{"id":' || event_id || ',"amount":' || case event_id % 4 when 0 then {_FLOOR} when 1 then {_N2} || 'e0' else {_N2} end || """
+    f"""',"label":' || case when event_id % 5 = 0 then cast(user_id as varchar) else '"' || event_type || '"' end || ',"ratio":' || {_N2} || """
+    """case event_id % 3 when 0 then ',"flag":true' when 1 then ',"flag":null' else '' end || """
+    f"""',"pos":{{"x":' || user_id || ',"y":' || case when event_id % 7 = 0 then '"n/a"' else {_N2} end || ',"z":1}}' || """
+    f"""',"vals":[' || {_N2} || ',' || {_FLOOR} || case when event_id % 11 = 0 then ',false' else '' end || ']' || """
+    """case when event_id % 13 = 0 then ',"new_' || event_id % 3 || '":0' else '' end"""
 )
-_PROPS_MSGS = (
-    "(select 'events.props' as table_name, 0 as section, ordinal, case when kind is null then 'Missing column: ' || name "
-    "when kind <> want then 'Type mismatch on ' || name || ': expected ' || want || ', got ' || kind end as mismatch "
-    f"from {_PROPS} union all select 'events.props', 1, row_number() over (order by name) - 1, "
-    "case when name not in ('k', 'missing') then 'Unexpected column: ' || name end "
-    "from (select distinct unnest(json_keys(props)) as name from events))"
+_DRIFTING = f"(select case when event_id % 97 = 0 then 'gateway timeout' when event_id % 89 = 0 then {_BODY} else {_BODY} || '}}' end as props from events)"
+_DRIFT_DECLARED = (
+    "(0, 'id', null, 'bigint'), (1, 'amount', null, 'double'), (2, 'label', null, 'string'), (3, 'ratio', null, 'bigint'), (4, 'flag', null, 'boolean'), "
+    "(5, 'pos', null, 'struct<x:smallint,y:double>'), (6, 'pos.x', 'pos', 'smallint'), (7, 'pos.y', 'pos', 'double'), "
+    "(8, 'vals', null, 'array<decimal(12,2)>'), (9, 'vals[]', 'vals', 'decimal(12,2)'), (10, 'gone', null, 'string')"
 )
+
+
+def _json_profile(rows: str) -> str:
+    """CTEs up to ``prof``: per path and family of a JSON column, its rows and the least type."""
+    return (
+        f"src as {rows}, ok as (select props from src where json_type(case when json_valid(props) then props end) = 'OBJECT'), "
+        """top as (select k as path, json_extract(props, '$."' || k || '"') as v from (select props, unnest(json_keys(props)) as k from ok)), """
+        """sub as (select 'pos.' || k as path, json_extract(v, '$."' || k || '"') as v from (select v, unnest(json_keys(v)) as k from top """
+        "where path = 'pos' and json_type(v) = 'OBJECT')), "
+        "el as (select 'vals[]' as path, unnest(json_extract(v, '$[*]')) as v from top where path = 'vals' and json_type(v) = 'ARRAY'), "
+        "vals as (select path, v, json_type(v) as t, ltrim(cast(v as varchar), '-') as s from (select * from top union all select * from sub union all select * from el)), "
+        "prof as (select path, family, count(*) as rows, "
+        "case when family <> 'number' then family when bool_and(t <> 'DOUBLE') then 'bigint' when bool_or(exponent) then 'double' "
+        "else 'decimal(' || (max(length(split_part(s, '.', 1))) + max(length(split_part(s, '.', 2)))) || ',' || max(length(split_part(s, '.', 2))) || ')' end as data_type, "
+        "max(length(split_part(s, '.', 1))) as before, max(length(split_part(s, '.', 2))) as after, max(try_cast(s as bigint)) as hi from "
+        "(select *, path = 'amount' as exponent, case t when 'NULL' then 'null' when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' "
+        "when 'OBJECT' then 'object' else 'number' end as family from vals) group by 1, 2)"
+    )
+
+
+def _json_failing(rows: str, declared: str) -> str:
+    """CTEs up to ``bad``: what is wrong with a JSON column."""
+    fits = (
+        "(family = 'null' or family = want or want = 'double' and family = 'number' or want = 'bigint' and data_type = 'bigint' "
+        "or want = 'smallint' and data_type = 'bigint' and hi <= 32767 or want = 'decimal(12,2)' and family = 'number' and before <= 10 and after <= 2 "
+        "or want like 'struct%' and family = 'object' or want like 'array%' and family = 'array')"
+    )
+    return (
+        f"with {_json_profile(rows)}, want(ordinal, path, parent, want) as (values {declared}), "
+        "bad as (select 0 as section, ordinal, path, 'Type mismatch on ' || path || ': expected ' || want || ', got ' || data_type as mismatch, rows "
+        f"from prof join want using (path) where not {fits} "
+        "union all select 0, ordinal, path, 'Missing column: ' || path, 0 from want w where path not in (select path from prof) and path not like '%[]' "
+        "and (parent is null or exists (select 1 from prof p where p.path = w.parent and family in ('object', 'array'))) "
+        "union all select 1, null, path, 'Unexpected column: ' || path, sum(rows) from prof where path not in (select path from want) group by path "
+        "union all select 2, null, null, 'Unparsable rows: ' || count(*), count(*) from src where props is not null and "
+        "coalesce(json_type(case when json_valid(props) then props end), '') <> 'OBJECT' having count(*) > 0)"
+    )
+
+
+_BAD_ROWS = "select section, ordinal, path, mismatch, cast(rows as bigint) as rows from bad"
+
+
+def _bad_result(table: str) -> str:
+    listed = "string_agg(mismatch, '; ' order by ordinal, mismatch) filter (where section = 0)"
+    return (
+        f"select '{table}' as table_name, 'schema_check' as check_name, case when count(*) = 0 then 'PASS' else 'WARN' end as status, "
+        "count(*) as mismatch_count, cast(coalesce(sum(rows) filter (where section = 2), 0) as bigint) as unparsable_rows, "
+        f"nullif(concat_ws('; ', {listed}, case when count(*) filter (where section = 1) > 0 then 'Unexpected columns: ' || count(*) filter (where section = 1) end, "
+        "case when sum(rows) filter (where section = 2) > 0 then 'Unparsable rows: ' || cast(sum(rows) filter (where section = 2) as bigint) end), '') as details from bad"
+    )
+
+
+_PROPS_SQL = _json_failing("(select props from events)", "(0, 'k', null, 'string'), (1, 'missing', null, 'bigint')")
+_DRIFT_SQL = _json_failing(_DRIFTING, _DRIFT_DECLARED)
 # What the file says of the two columns that dq_results takes as they are.
 _DRIFT = (
     "(select 1 as o, 'Type mismatch on views: expected bigint, got ' || lower(column_type) as m from (describe events) "
@@ -450,11 +530,13 @@ def _own_sql() -> dict[str, str]:
             'select l_orderkey, l_linenumber, count(*) as "count" from lineitem '
             "group by 1, 2 having count(*) > 1"
         ),
-        "props_mismatches": f"select * from {_PROPS_MSGS} where mismatch is not null",
-        "props_schema_result": (
-            "select 'events.props' as table_name, 'schema_check' as check_name, "
-            "case when count(mismatch) = 0 then 'PASS' else 'WARN' end as status, count(mismatch) as mismatch_count, "
-            f"string_agg(mismatch, '; ' order by section, ordinal) as details from {_PROPS_MSGS}"
+        "props_mismatches": f"{_PROPS_SQL} {_BAD_ROWS}",
+        "props_schema_result": f"{_PROPS_SQL} {_bad_result('events.props')}",
+        "drift_mismatches": f"{_DRIFT_SQL} {_BAD_ROWS}",
+        "drift_result": f"{_DRIFT_SQL} {_bad_result('events.drift')}",
+        "drift_schema": (
+            f"with {_json_profile(_DRIFTING)} select path, case when count(*) = 1 then max(data_type) else 'variant' end as data_type, cast(sum(rows) as bigint) as rows "
+            "from prof where family <> 'null' group by path"
         ),
         "failing_keys": _with(
             f"select '{RUN_ID}' as check_run_id, 'source_coverage' as check_name, article, \"timestamp\", "

@@ -200,24 +200,6 @@ def schema_compare(
     return sides.select("table_name", F.filter(messages, lambda m: m.isNotNull()).alias("mismatches"))
 
 
-def observed_rows(df: DataFrame, json_column: str, table_name: str) -> DataFrame:
-    """Catalog rows of the keys seen in a JSON column, over all rows.
-
-    ``ordinal`` is the key's place by name; each type of its values
-    (``schema_of_variant``) is a row. JSON nulls fit any type and count as
-    none: a key with nothing else is one row with a null type. Values
-    combine map-side; only distinct (key, type) pairs cross the shuffle.
-    """
-    fields = df.select(F.explode(F.from_json(F.col(json_column), "map<string,variant>")))
-    kind = F.nullif(F.lower(F.schema_of_variant("value")), F.lit("void"))
-    pairs = fields.select(F.col("key").alias("column_name"), kind.alias("data_type")).distinct()
-    types = pairs.groupBy("column_name").agg(F.array_sort(F.collect_set("data_type")).alias("data_types"))
-    keys = types.agg(F.array_sort(F.collect_list(F.struct("column_name", "data_types"))).alias("k"))
-    return keys.select(F.posexplode("k").alias("ordinal", "c")).select(
-        F.lit(table_name).alias("table_name"), "ordinal", "c.column_name", F.explode_outer("c.data_types").alias("data_type")
-    )
-
-
 def check_schema(
     df: DataFrame,
     expected: Mapping[str, str] | Iterable[tuple[str, str]],

@@ -150,6 +150,24 @@ def landed_attempts(events: DataFrame) -> DataFrame:
     return landed.hint("rebalance")
 
 
+def drifting_props(events: DataFrame) -> DataFrame:
+    """(props): a JSON object per event whose values change their types from row to row, as feeds do.
+
+    ``amount`` is a whole number, a decimal, or a number with an exponent; ``label`` a text or a number, ``ratio`` a decimal,
+    ``flag`` a boolean, null or absent; ``pos`` an object with fields of its own, ``vals`` a list. Some rows have a name of their own, some are cut off
+    or no JSON.
+    """
+    number, event = F.col("value").cast("decimal(12,2)").cast("string"), F.col("event_id")
+    amount = F.when(event % 4 == 0, F.floor("value").cast("string")).when(event % 4 == 1, F.concat(number, F.lit("e0"))).otherwise(number)
+    label = F.when(event % 5 == 0, F.col("user_id").cast("string")).otherwise(F.concat(F.lit('"'), F.col("event_type"), F.lit('"')))
+    flag = F.when(event % 3 == 0, F.lit(',"flag":true')).when(event % 3 == 1, F.lit(',"flag":null')).otherwise(F.lit(""))
+    pos = F.concat(F.lit(',"pos":{"x":'), F.col("user_id").cast("string"), F.lit(',"y":'), F.when(event % 7 == 0, F.lit('"n/a"')).otherwise(number), F.lit(',"z":1}'))
+    vals = F.concat(F.lit(',"vals":['), number, F.lit(","), F.floor("value").cast("string"), F.when(event % 11 == 0, F.lit(",false")).otherwise(F.lit("")), F.lit("]"))
+    extra = F.when(event % 13 == 0, F.concat(F.lit(',"new_'), (event % 3).cast("string"), F.lit('":0'))).otherwise(F.lit(""))
+    body = F.concat(F.lit('{"id":'), event.cast("string"), F.lit(',"amount":'), amount, F.lit(',"label":'), label, F.lit(',"ratio":'), number, flag, pos, vals, extra)
+    return events.select(F.when(event % 97 == 0, F.lit("gateway timeout")).when(event % 89 == 0, body).otherwise(F.concat(body, F.lit("}"))).alias("props"))
+
+
 def audit_history(events: DataFrame) -> DataFrame:
     """A 9-column audit history: run = day, check = event type, status by count."""
     per = events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,6 @@ from tallycheck.operators.schema_drift import (
     check_schema,
     column_rows,
     expected_rows,
-    observed_rows,
     schema_compare,
     schema_mismatches,
     schema_result,
@@ -107,30 +106,3 @@ def test_check_schema_on_a_dataframe(spark):
     r = out.result.collect()[0]
     assert (r["table_name"], r["check_name"], r["status"], r["mismatch_count"]) == ("bronze", "schema_check", "WARN", 1)
     assert [m["mismatch"] for m in out.failing.collect()] == ["Type mismatch on views: expected bigint, got string"]
-
-
-def test_types_observed_in_rows(spark):
-    df = spark.createDataFrame([('{"k": 1, "s": "x"}',), ('{"k": 2}',), ("junk",), (None,)], "props string")
-    got = sorted(tuple(r) for r in observed_rows(df, "props", "t").collect())
-    assert got == [("t", 0, "k", "bigint"), ("t", 1, "s", "string")]
-    assert observed_rows(df.limit(0), "props", "t").count() == 0
-    msgs = schema_mismatches(observed_rows(df, "props", "t"), expected_rows(spark, {"k": "string"}, "t"))
-    assert sorted(r["mismatch"] for r in msgs.collect()) == [
-        "Type mismatch on k: expected string, got bigint", "Unexpected column: s"]
-
-
-def test_each_type_of_a_key_is_held_against_the_expected_one(spark):
-    rows = ['{"k": "a", "n": 1}', '{"k": 3, "n": null, "z": null, "u": 1}', '{"k": "b", "n": 2, "u": "x"}', '{"k": true}']
-    df = spark.createDataFrame([(r,) for r in rows], "props string")
-    seen = observed_rows(df, "props", "t")
-    assert sorted((r["ordinal"], r["column_name"], r["data_type"] or "") for r in seen.collect()) == [
-        (0, "k", "bigint"), (0, "k", "boolean"), (0, "k", "string"), (1, "n", "bigint"), (2, "u", "bigint"), (2, "u", "string"), (3, "z", "")]
-    expected = expected_rows(spark, {"k": "string", "n": "bigint", "z": "string"}, "t")
-    want = [
-        "Type mismatch on k: expected string, got bigint", "Type mismatch on k: expected string, got boolean", "Unexpected column: u"]
-    assert sorted(r["mismatch"] for r in schema_mismatches(seen, expected).collect()) == want
-    result = schema_result(seen, expected).first()
-    assert (result["mismatch_count"], result["details"], result["status"]) == (3, "; ".join(want), "WARN")
-    # nulls only: neither missing nor a mismatch, but seen
-    only = schema_mismatches(seen, expected_rows(spark, {"k": "string", "n": "bigint", "u": "string"}, "t"))
-    assert "Unexpected column: z" in [r["mismatch"] for r in only.collect()]
