@@ -12,6 +12,8 @@ so it runs where the responses are, with no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +39,11 @@ def _is_object(item: Column) -> Column:
     return item.startswith("{")
 
 
-def flatten_responses(responses: DataFrame, body: str = "body") -> DataFrame:
-    """One record per object among the items of every response body (RECORD_SCHEMA)."""
-    items = responses.select(F.explode(parse_body(body)["items"]).alias("item"))
-    parsed = items.filter(_is_object(F.col("item"))).select(parse_item(F.col("item")).alias("item"))
-    return parsed.select(*[F.col("item")[c].alias(c) for c in RECORD_COLUMNS])
+def flatten_responses(responses: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """One record per object among the items of every response body (RECORD_SCHEMA), then the columns ``keep`` of its response."""
+    items = responses.select(*keep, F.explode(parse_body(body)["items"]).alias("item"))
+    parsed = items.filter(_is_object(F.col("item"))).select(*keep, parse_item(F.col("item")).alias("item"))
+    return parsed.select(*[F.col("item")[c].alias(c) for c in RECORD_COLUMNS], *keep)
 
 
 def quarantine_items(responses: DataFrame, body: str = "body") -> DataFrame:

@@ -19,8 +19,8 @@ def timestamp_literal(value: dt.datetime | None) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-def with_lineage(records: DataFrame, run_id: str, ingested_at: dt.datetime | None = None) -> DataFrame:
-    """Records plus ``_ingested_at`` and ``_ingestion_job_run_id``, in BRONZE_SCHEMA order.
+def with_lineage(records: DataFrame, run_id: str, ingested_at: dt.datetime | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records plus ``_ingested_at`` and ``_ingestion_job_run_id``, in BRONZE_SCHEMA order, then the columns ``keep``.
 
     Both values are fixed once per run on the driver, so every row of a run
     carries the same stamp and id (SQL ``uuid()`` would differ per row, and
@@ -32,6 +32,7 @@ def with_lineage(records: DataFrame, run_id: str, ingested_at: dt.datetime | Non
         *[F.col(c).cast(BRONZE_SCHEMA[c].dataType) for c in RECORD_COLUMNS],
         timestamp_literal(ingested_at).alias("_ingested_at"),
         F.lit(run_id).alias("_ingestion_job_run_id"),
+        *keep,
     )
 
 
