@@ -125,8 +125,9 @@ def key_presence(
     start: str,
     end: str,
     keys: Sequence[str] = BUSINESS_KEYS,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Per key: ``_expected`` (grid weight) and ``_rows`` (Bronze rows).
+    """Per key: ``_expected`` (grid weight) and ``_rows`` (Bronze rows; with ``weight``, the sum of that column).
 
     Bronze rows and weighted grid keys are tagged, unioned and summed in one
     ``groupBy(keys)``: both sides combine map-side (a hot key leaves each map
@@ -137,7 +138,7 @@ def key_presence(
     """
     title_key, day_key = keys
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    rows = bronze.select(*keys, zero.alias("_g"), one.alias("_b"))
+    rows = bronze.select(*keys, zero.alias("_g"), (F.col(weight) if weight else one).alias("_b"))
     grid = weighted_grid(titles, start, end, keys).select(
         *keys, F.col("_mult").alias("_g"), zero.alias("_b")
     )
@@ -179,13 +180,14 @@ def run_tally(
     start: str,
     end: str,
     keys: Sequence[str] = BUSINESS_KEYS,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row with ``expected_count``, ``missing_count`` and ``duplicate_count``.
 
     Coverage and duplicates from one pass over Bronze: one scan, one
     exchange, hash aggregates only.
     """
-    return key_presence(bronze, titles, start, end, keys).agg(*_tally_columns(True))
+    return key_presence(bronze, titles, start, end, keys, weight).agg(*_tally_columns(True))
 
 
 def coverage_result(missing_count_frame: DataFrame, severity: str = WARN) -> DataFrame:

@@ -85,14 +85,20 @@ def run_checks(
     run_id: str,
     checked_at: dt.datetime | None = None,
     config: DQConfig | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Audit rows (AUDIT_SCHEMA order) for coverage, duplicates and schema."""
+    """Audit rows (AUDIT_SCHEMA order) for coverage, duplicates and schema.
+
+    ``counted`` (the keys and ``_rows``) stands for Bronze's rows in the first two, where keys are
+    already counted; a key may have several such rows.
+    """
     cfg = config or DQConfig()
     keys = cfg.keys
     at = timestamp_literal(checked_at)
 
     titles = titles_frame(spark, cfg.titles, keys[0])
-    tally = run_tally(bronze, titles, cfg.start_date, cfg.end_date, keys)
+    rows, weight = (bronze, None) if counted is None else (counted, "_rows")
+    tally = run_tally(rows, titles, cfg.start_date, cfg.end_date, keys, weight)
 
     # Coverage: expected_value = grid size, actual_value = missing count.
     # Duplicates: expected "0", actual = number of repeated keys.
