@@ -74,7 +74,6 @@ def test_pipeline(spark):
     assert stages[3] == mixed
 
     t = tokenizers.Tokenizer.from_file(tokenizer_file())
-    t.encode_special_tokens = True
     at, rows = 0, []
     for k in mixed:
         ids = [*t.encode(docs[k].text or "", add_special_tokens=False).ids, 2]

@@ -1,8 +1,10 @@
+import os
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyarrow import orc
 from pyspark.sql import functions as F
 
 from tallycheck.llm.common import shared_path
@@ -16,7 +18,6 @@ tokenizers = pytest.importorskip("tokenizers")
 @pytest.fixture(scope="module")
 def plain():
     t = tokenizers.Tokenizer.from_file(tokenizer_file())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -91,3 +92,25 @@ def test_added_tokens_as_the_plain_library(spark, docs):
         ids = [*own(text), 2]
         assert rows[k] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_files_hold_row_indexes(spark, docs):
+    path = shared_path(spark, "test-orc")
+    write_tokens(docs([(k * 7, "some words here") for k in range(30_000)], parts=2), path, tokenizer_file())
+    folder = path.replace("file:", "")
+    files = [os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".orc")]
+    strides = {meta.row_index_stride for meta in map(orc.ORCFile, files) if meta.nrows}
+    assert strides == {10_000}
+    row = read_tokens(spark, path).filter("doc_id = 70007").collect()
+    assert [r.doc_id for r in row] == [70_007]
+
+
+def test_a_worker_forgets_and_still_gives_the_same_ids(plain, monkeypatch):
+    from tallycheck.llm import piece_encoder
+
+    monkeypatch.setattr(piece_encoder, "REMEMBERED", 8)
+    coder = PieceEncoder(tokenizer_file())
+    rng = random.Random(5)
+    for _ in range(200):
+        text = " ".join(rng.choice(["one", "two,", "three.", "four", "fünf!", "six", "seven", "eight", "nine"]) for _ in range(12))
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain(text)
