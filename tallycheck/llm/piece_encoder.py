@@ -8,13 +8,10 @@ other white space (or runs of it), or with an added token's content (``<|endofte
 from __future__ import annotations
 
 import os
-import re
 import sys
 from array import array
 from functools import lru_cache
 
-#: White space other than lone spaces and line feeds inside the text.
-_ODD_SPACE = re.compile(r"[^\S \n]|\s\s|^\s|\s$")
 #: ASCII marks but the apostrophe, which can begin a piece with letters.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Pieces that one worker remembers; then it starts over.
@@ -31,6 +28,11 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 
 
+def _odd(text: str) -> bool:
+    """Whether a text has white space other than lone spaces and line feeds inside it."""
+    return " ".join(text.split()) != text.replace("\n", " ")
+
+
 def _packed(ids) -> bytes:
     out = array("I", ids)
     if sys.byteorder == "big":
@@ -44,15 +46,21 @@ class _Pieces(dict):
     def __init__(self, short, marks: dict[str, bytes], lead: str):
         super().__init__()
         self._short, self._marks, self._lead = short, marks, lead
+        self._before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         # the tokenizer takes letters and a run of marks after them as separate pieces
         base = piece.rstrip(_MARKS)
         if base and base != piece and (base[-1].isalpha() or base[-1].isdecimal()):
             return self[base] + self._marks[piece[len(base) :]]
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED // 2:
+            # what was met lately is looked up here before it is encoded again
+            self._before = dict(self)
             self.clear()
-        found = self[piece] = self._short(self._lead + piece)
+        found = self._before.get(piece)
+        if found is None:
+            found = self._short(self._lead + piece)
+        self[piece] = found
         return found
 
 
@@ -93,7 +101,7 @@ class PieceEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of the text, little-endian unsigned 32-bit."""
-        if _ODD_SPACE.search(text) or any(a in text for a in self._added):
+        if _odd(text) or any(a in text for a in self._added):
             return self.whole(text)
         found = []
         for line in text.split("\n"):
