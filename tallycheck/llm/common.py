@@ -8,6 +8,7 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,18 @@ def ranges_for(docs: DataFrame, rows: int = 100_000) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // rows))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Within it, what is run hands Python batches of ``size`` bytes at most (and the rows of a batch that Spark sets anyway)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()

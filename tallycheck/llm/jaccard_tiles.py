@@ -9,7 +9,7 @@ Within a tile, the bits by which two parity bitmaps of ``BITS`` hashed bits diff
 they bound the overlap from above; pairs below the overlap that their sizes require leave. The others are verified by
 the exact intersection of their sorted arrays.
 
-Classes are first held against one leader per prefix shingle, and linked ones join. The tiles then take only pairs that are not yet joined, so a large group of near copies
+Classes are first held against two leaders per prefix shingle in turn, and linked ones join. The tiles then take only pairs that are not yet joined, so a large group of near copies
 does not give all its pairs, and no link between different groups is missed.
 
 Defined results: a null text is empty; documents without words are linked with nothing, not even with each other. With fewer words than a
@@ -23,23 +23,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, expand, pieces, text_bytes, written
+from .common import LOWER, arrow_batches, expand, pieces, text_bytes, written
 from .components import components
 from .phrases import Hashed
 
 #: Bits of a signature.
-BITS = 1024
+BITS = 2048
 #: Cells in which shingles are counted, for the order by rarity.
 _CELLS = 1 << 16
 #: Members of a block of a large tile, about.
 BLOCK = 512
+#: Bits that mark wanted texts.
+_MARKS = 1 << 22
+#: Texts that a task remembers to leave copies out.
+_SEEN = 100_000
 #: Pairs whose bits are counted at once.
-_PAIRS = 1 << 17
+_PAIRS = 1 << 15
 #: White space that ends words as a space, A-Z lower-cased.
 _FOLD = bytes(32 if c in b" \t\n\x0b\x0c\r" else LOWER[c] for c in range(256))
+#: Bytes of text whose shingles are hashed at once.
+_RUN = 1 << 20
 _SETS = "n int, band int, s1 long, s2 long"
 
 
@@ -84,7 +90,7 @@ def cell_counts(docs: DataFrame, shingle: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CELLS, np.int64)
-        for batch in pieces(batches):
+        for batch in pieces(batches, _RUN):
             for own in shingle_sets(text_bytes(batch, "text"), shingle):
                 np.add.at(total, (own >> np.uint64(48)).astype(np.int64), 1)
         seen = np.flatnonzero(total)
@@ -129,7 +135,7 @@ def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     bands = size_bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, _RUN):
             sets = shingle_sets(text_bytes(batch, "text"), shingle)
             sizes = np.fromiter(map(len, sets), np.int32, len(sets))
             names = [_identity(own) for own in sets]
@@ -157,24 +163,44 @@ def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return written(rows.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, {_SETS}, prefix array<long>, bitmap binary"), "jaccard-prints")
 
 
-def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(cid, items: the sorted hashes as bytes) of the ``wanted`` classes, read again from one text of each."""
-    texts = classes.join(wanted, "cid").select("cid", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2"))
-    rows = docs.select("text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("tie"), F.col("text")).alias("t2"))
+def _marked(texts: DataFrame) -> np.ndarray:
+    """A bitmap of ``_MARKS`` bits in which ``t1`` of ``texts`` set theirs; 64-bit words of it reach the driver, and it is as large for any input."""
+    at = F.pmod("t1", F.lit(_MARKS))
+    words = texts.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(t1, {_MARKS}) % 64 as int))")).alias("bits"))
+    marks = np.zeros(_MARKS // 64, np.int64)
+    for row in words.collect():
+        marks[row.word] = row.bits
+    return marks.view(np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            items = [x.tobytes() for x in shingle_sets(text_bytes(batch, "text"), shingle)]
-            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(items, pa.binary())], names=["cid", "items"])
 
-    found = rows.join(texts, ["t1", "t2"]).select("cid", "text").mapInArrow(run, "cid long, items binary")
-    # copies of the text give the same rows
-    return written(found.groupBy("cid").agg(F.max("items").alias("items")), "jaccard-sets")
+def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """(cid, items: the sorted hashes as bytes) of the classes in ``pairs`` (a, b), read again from one text of each.
 
+    Texts that the bitmap of wanted ones does not mark leave where they are read; so no text is shuffled, only the sets that stay.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    texts = written(classes.select("cid", "t").join(wanted, "cid").select("cid", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2")), "jaccard-texts")
+    sent = docs.sparkSession.sparkContext.broadcast(_marked(texts))
+    rows = docs.select("text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("tie"), F.col("text")).alias("t2"))
 
-def _bits_apart(a: Column, b: Column) -> Column:
-    """Bits by which two bitmaps (arrays of longs) differ."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, seen = sent.value, set()
+        for batch in batches:
+            at = batch.column("t1").to_numpy() % _MARKS
+            hit = (marks[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            for part in pieces([batch.filter(pa.array(hit.astype(bool)))], _RUN):
+                # a copy that this task has had already is left out
+                keys = list(zip(part.column("t1").to_pylist(), part.column("t2").to_pylist()))
+                fresh = [k for k, key in enumerate(keys) if key not in seen and not seen.add(key)]
+                if len(seen) > _SEEN:
+                    seen.clear()
+                part = part.take(pa.array(fresh, pa.int64()))
+                items = [x.tobytes() for x in shingle_sets(text_bytes(part, "text"), shingle)]
+                yield pa.RecordBatch.from_arrays([part.column("t1"), part.column("t2"), pa.array(items, pa.binary())], names=["t1", "t2", "items"])
+
+    found = rows.mapInArrow(run, "t1 long, t2 long, items binary")
+    # copies of the text give the same rows
+    return written(found.join(texts, ["t1", "t2"]).groupBy("cid").agg(F.max("items").alias("items")), "jaccard-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -259,21 +285,23 @@ def near_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int
     # the smallest sets that differ and are linked: size n and n + 1
     least = next(n for n in range(1, 202) if 100 * n >= percent * (n + 1)) if percent < 100 else 1 << 31
     posted = classes.filter(F.col("n") >= least).select("cid", "n", "band", F.explode("prefix").alias("token"))
-    posted = written(posted, "jaccard-postings")
     # shingles in prefixes of two classes or more, each with a leader
-    shared = posted.groupBy("token").agg(F.count("*").alias("members"), F.min("cid").alias("leader")).filter("members > 1")
-    members = written(posted.join(shared.select("token", "leader"), "token"), "jaccard-members")
-    involved = written(members.select("cid").distinct(), "jaccard-involved")
-    sets = class_sets(docs, classes, involved, shingle)
-    led = members.filter("cid <> leader").select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
-    known = classes.select("cid", "n", "bitmap").join(involved, "cid")
-    known = written(known, "jaccard-bitmaps")
-    found = written(verified(_hopeful(led, known, percent), sets, percent), "jaccard-led")
-    joined = components(found)
-
-    labels = known.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "bitmap", F.coalesce("root", "cid").alias("label"))
+    shared = posted.groupBy("token").agg(F.count("*").alias("members"), F.min("cid").alias("first"), F.max_by("cid", F.xxhash64("cid")).alias("second")).filter("members > 1")
+    members = written(posted.join(shared.select("token", "first", "second"), "token"), "jaccard-members")
+    known = classes.select("cid", "n", "bitmap")
+    found, labels = None, classes.select("cid", F.col("cid").alias("label"))
+    for leader in ("first", "second"):
+        led = members.filter(F.col("cid") != F.col(leader)).select(F.least("cid", leader).alias("a"), F.greatest("cid", leader).alias("b")).distinct()
+        if found is not None:
+            led = _apart(led, labels)
+        led = written(_hopeful(led, known, percent), "jaccard-led")
+        new = verified(led, class_sets(docs, classes, led, shingle), percent)
+        found = written(new if found is None else found.unionByName(new), "jaccard-led-links")
+        joined = components(found).withColumnRenamed("node", "cid")
+        labels = written(classes.select("cid").join(joined, "cid", "left").select("cid", F.coalesce("root", "cid").alias("label")), "jaccard-labels")
+
     homes = F.array(F.struct(F.lit(0).alias("up"), F.lit(True).alias("home")), F.struct(F.lit(1).alias("up"), F.lit(False).alias("home")))
-    placed = members.join(labels.select("cid", "label"), "cid").select("token", "cid", "n", "label", F.inline(homes), F.col("band").alias("own_band"))
+    placed = members.join(labels, "cid").select("token", "cid", "n", "label", F.inline(homes), F.col("band").alias("own_band"))
     placed = placed.select("token", (F.col("own_band") + F.col("up")).alias("band"), "home", "cid", "n", "label")
     # tiles of one label have no pairs left
     tiles = placed.groupBy("token", "band").agg(
@@ -284,14 +312,22 @@ def near_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "own").alias("block_1"), F.greatest(k, "own").alias("block_2")))
     cut = cut.select("token", "band", "home", "cid", "n", "label", "own", F.inline(others))
     key = ["token", "band", "block_1", "block_2"]
-    seen = cut.join(labels.select("cid", "bitmap"), "cid").select(*key, "home", "cid", "n", "label", "own", "bitmap")
+    seen = cut.join(known.select("cid", "bitmap"), "cid").select(*key, "home", "cid", "n", "label", "own", "bitmap")
     dealt = seen.repartition(*key).sortWithinPartitions(*key)
     pairs = written(dealt.mapInArrow(_tile_pairs(percent), "a long, b long").distinct(), "jaccard-pairs")
-    later = verified(pairs, sets, percent)
+    later = verified(pairs, class_sets(docs, classes, pairs, shingle), percent)
     more = written(found.unionByName(later), "jaccard-links")
     return components(more)
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) whose classes have different labels."""
+    sides = pairs
+    for side in "ab":
+        sides = sides.join(labels.select(F.col("cid").alias(side), F.col("label").alias(f"label_{side}")), side)
+    return sides.filter("label_a <> label_b").select("a", "b")
+
+
 def _hopeful(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) whose sizes and bitmaps allow the overlap they need."""
 
@@ -314,7 +350,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the least id reachable by links)."""
     if not 1 <= percent <= 100:
         raise ValueError("percent must be between 1 and 100")
-    docs = docs.select("doc_id", "text")
+    with arrow_batches(docs.sparkSession, "8m"):
+        return _components(docs.select("doc_id", "text"), shingle, percent)
+
+
+def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     rows = prints(docs, shingle, percent)
     same = ["s1", "s2", "n"]
     classes = rows.filter("n > 0").groupBy(*same).agg(
