@@ -37,6 +37,7 @@ from tallycheck.operators import (  # noqa: E402
 )
 from tallycheck.operators.coverage import check_coverage  # noqa: E402
 from tallycheck.operators.duplicates import check_duplicates  # noqa: E402
+from tallycheck.operators.ranges import bitmap_tally, missing_ranges  # noqa: E402
 from tallycheck.operators.type_drift import check_json_schema, observed_schema, type_profile  # noqa: E402
 from tallycheck.plans import DQConfig, failing_keys, ingest, run_checks  # noqa: E402
 from tallycheck.sources import bindings as B  # noqa: E402
@@ -158,6 +159,15 @@ def q_missing_by_article(spark, sf_dir):
     return missing_by_article(_missing(spark, sf_dir))
 
 
+def q_missing_ranges(spark, sf_dir):
+    return missing_ranges(_missing(spark, sf_dir))
+
+
+def q_coverage_bitmap(spark, sf_dir):
+    recs = _records(spark, sf_dir)
+    return bitmap_tally(recs, _titles(recs), START, END)
+
+
 def q_coverage_result(spark, sf_dir):
     recs = _records(spark, sf_dir)
     return check_coverage(recs, _titles(recs), START, END).result
@@ -269,6 +279,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_counts": q_key_counts,
     "missing_coverage": q_missing_coverage,
     "missing_by_article": q_missing_by_article,
+    "missing_ranges": q_missing_ranges,
+    "coverage_bitmap": q_coverage_bitmap,
     "coverage_result": q_coverage_result,
     "duplicate_keys": q_duplicate_keys,
     "duplicate_result": q_duplicate_result,
@@ -513,6 +525,13 @@ def _own_sql() -> dict[str, str]:
             "from (select distinct article, \"timestamp\" from M) group by 1",
             "M",
         ),
+        "missing_ranges": _with(
+            "select article, strftime(min(d), '%Y%m%d00') as first_day, strftime(max(d), '%Y%m%d00') as last_day, count(*) as days from "
+            "(select article, d, d - cast(row_number() over (partition by article order by d) as integer) as run from "
+            "(select distinct article, cast(strptime(\"timestamp\", '%Y%m%d00') as date) as d from M)) group by article, run",
+            "M",
+        ),
+        "coverage_bitmap": _with("select (select count(*) from G) as expected_count, count(*) as missing_count from M", "M"),
         "coverage_result": _with(
             "select 'source_coverage' as check_name, "
             "case when count(*) = 0 then 'PASS' else 'WARN' end as status, "

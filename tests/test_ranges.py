@@ -1,0 +1,63 @@
+"""Coverage by bitmaps and missing days as ranges."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+
+from tallycheck.operators.coverage import check_coverage, coverage_tally
+from tallycheck.operators.ranges import bitmap_tally, missing_ranges
+from tests.conftest import rows
+
+
+def stamps(start, days):
+    return [(start + timedelta(days=k)).strftime("%Y%m%d00") for k in range(days)]
+
+
+def bronze(spark, keys, parts=4):
+    return spark.createDataFrame(keys, "article string, timestamp string").repartition(parts)
+
+
+@pytest.mark.parametrize("days", [1, 31, 64, 65, 400])
+def test_bitmaps_count_as_the_grid(spark, days):
+    rng = random.Random(days)
+    start = date(2025, 12, 20)
+    own = stamps(start, days)
+    odd = ["2025122001", "x", "20251399", None, "2024010100", "2030010100", "2025-12-20"]
+    keys = [(rng.choice(["A", "A", "B", "D", None]), rng.choice(own + odd)) for _ in range(200)]
+    titles = spark.createDataFrame([("A",), ("B",), ("C",), ("B",), (None,)], "t string")
+    lo, hi = own[0][:8], own[-1][:8]
+    frame = bronze(spark, keys)
+    assert bitmap_tally(frame, titles, lo, hi).first() == coverage_tally(frame, titles, lo, hi).first()
+
+
+def test_one_row_per_title_in_the_shuffle(spark):
+    frame = bronze(spark, [("A", s) for s in stamps(date(2026, 1, 1), 31)] * 5, 1)
+    titles = spark.createDataFrame([("A",), ("B",)], "t string").coalesce(1)
+    plan = bitmap_tally(frame, titles, "20260101", "20260131")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_empty_titles_are_refused(spark):
+    with pytest.raises(Exception, match="title list is empty"):
+        bitmap_tally(bronze(spark, [("A", "2026010100")]), spark.createDataFrame([], "t string"), "20260101", "20260102").collect()
+
+
+def test_ranges(spark):
+    days = [("A", "2026010100"), ("A", "2026010200"), ("A", "2026010200"), ("A", "2026010500"), ("B", "2025123100"), ("B", "2026010100"), (None, "2026010100"), ("A", "x")]
+    got = rows(missing_ranges(bronze(spark, days)))
+    assert got == sorted(
+        [("A", "2026010100", "2026010200", 2), ("A", "2026010500", "2026010500", 1), ("B", "2025123100", "2026010100", 2), (None, "2026010100", "2026010100", 1)], key=repr
+    )
+    assert missing_ranges(bronze(spark, [])).count() == 0
+
+
+def test_ranges_hold_every_missing_day(spark):
+    rng = random.Random(3)
+    own = stamps(date(2026, 1, 1), 60)
+    frame = bronze(spark, [(t, s) for t in "AB" for s in own if rng.random() < 0.7])
+    failing = check_coverage(frame, ["A", "B", "C"], own[0][:8], own[-1][:8]).failing
+    runs = missing_ranges(failing).collect()
+    assert sum(r.days for r in runs) == failing.count()
+    held = {(r.article, s) for r in runs for s in own if r.first_day <= s <= r.last_day}
+    assert held == {tuple(r) for r in failing.collect()}
