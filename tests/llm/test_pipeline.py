@@ -24,7 +24,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 def test_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) == set(QUERIES) and "pipeline" in E.queries()
     assert set(ORACLE_SQL) <= set(E.oracle_sql())
     assert [n.split()[0] for n, _ in C.STAGES] == ["quality", "SimHash", "benchmark", "mixing", "token-ID"]
