@@ -1,15 +1,19 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines, one per block element; elements that are never article text (menus, page headers and
-footers, sidebars, adverts, notices, forms, scripts, styles, comments) leave empty lines. Text lengths, without link text
-outside an article, are summed over sliding windows of ``WINDOW`` lines. A sum that reaches the surge level opens a stretch,
-a sum of 0 (``WINDOW`` empty lines) is its dive, and the lines between are the text. Where the page marks an
-article (or main part), lines outside it count as empty and any text inside it is a surge, so short paragraphs stay.
-
-Whether an element is emptied is held against the sums: one with as much unlinked text as all that is left outside of it is
-opened if that text has a surge or an article (or main part) begins in it, and the page is read again.
-
-Defined results: a null or empty page gives an empty text. Whole pages are read; unclosed elements end with the page or at the article's start.
+Markup is stripped to lines, one per block element, in one pass over the page. Text lengths, without link text outside an
+article, are summed over sliding windows of ``WINDOW`` lines. A sum that reaches the surge level opens a stretch, a sum of 0
+(``WINDOW`` empty lines) is its dive, and the lines between are the text. Where the page marks an article (or main part),
+lines outside it count as empty and any text inside it is a surge, so short paragraphs stay.
+
+Elements that may be something else than text are *doubtful*: menus, page headers and footers, sidebars, forms and other such tags; what
+is hidden; what a class, id or role names in full as an advert, notice or reader comments. Their text counts as empty. Names that
+articles use as well (``reply``, ``search``, ``tags`` ...) empty an element outside an article; inside one only if half of the element's
+text or more is links. Where all articles, or without articles more unlinked text than is left (and a surge of it), stand in doubtful
+elements, these are wrappers: the elements around the largest such text count as not doubtful. Reader comments and hidden
+elements never do, however long.
+
+Defined results: a null or empty page gives an empty text. Whole pages are read, in time linear in their length. An unclosed element ends
+with the one around it, an unclosed comment with the page, a tag with an unclosed quote at its next ``>``. Without any ``>`` after it, ``<`` is text.
 Each row gives one row; repeated rows give equal rows. An empty table gives no rows.
 """
 
@@ -18,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +35,10 @@ WINDOW = 3
 #: Characters in a window that open a stretch on pages that mark no article.
 SURGE = 80
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+_PLAIN = re.compile(r"[^>\"']*")
+_NAMED = re.compile(r"(?<![\w-])(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -41,189 +47,316 @@ _RAW = frozenset("script style textarea title xmp noembed noframes".split())
 _NEVER = frozenset(
     "nav aside form footer head noscript template iframe svg canvas button select option dialog menu object audio video map datalist fieldset".split()
 )
+#: Elements that show no text of their own.
+_UNSEEN = frozenset("head noscript template iframe svg canvas button select option object audio video map datalist".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead caption tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words of a class, id or role that mark what is not article text.
-_BOILERPLATE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-    "footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination paywall popup "
-    "promo promotion recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe subscription "
-    "tags toolbar widget complementary contentinfo alert disclaimer".split()
+_IN_HEAD = frozenset("base link meta noscript script style template title html head".split())
+#: Tags that an opening tag closes, if no tag of the second set was opened after them.
+_CLOSES = {
+    "li": ("li", ("ul", "ol", "menu", "dir")),
+    "dd": ("dd dt", ("dl",)),
+    "dt": ("dd dt", ("dl",)),
+    "option": ("option", ("select", "datalist")),
+    "tr": ("td th tr", ("table",)),
+    "td": ("td th", ("table", "tr")),
+    "th": ("td th", ("table", "tr")),
+}
+#: An end tag does not reach beyond these.
+_WALLS = ("td", "th", "caption", "table", "article", "main")
+
+#: Names of reader comments.
+_COMMENTS = frozenset("comment comments disqus respond".split())
+#: Names of what an article never is, wherever it stands.
+_STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adsbygoogle breadcrumb breadcrumbs consent cookie cookies footer gdpr "
+    "login masthead nav navbar navigation newsletter pagination pager paywall popup promo promotion sidebar signup sponsor sponsored "
+    "subscribe subscription complementary contentinfo".split()
 )
-#: Of these, what page layouts also put on wrappers around the article.
-_LAYOUT = frozenset("ad ads banner footer header menu nav navbar notice search sidebar toolbar widget social tags".split())
-#: Elements that show no text of their own; only an article (or main part) that begins inside opens them.
-_UNSEEN = frozenset("head noscript template iframe svg canvas button select option object audio video map datalist".split())
-#: Rounds of opening; after these, class words empty nothing.
-_ROUNDS = 8
-_MARKED = re.compile(r"<(?:article|main)\b", re.I)
-_SELF_CLOSING = frozenset("p li dd dt option tr".split())
+#: Names that articles use as well.
+_WEAK = frozenset(
+    "alert banner disclaimer header menu modal notice notices notification recommended related replies reply search share sharing social "
+    "tags toolbar widget".split()
+)
+#: Words that may stand beside those in a name.
+_BESIDE = frozenset("area bar block box container content form inner item items left links list main bottom right section site page slot thread top wrap wrapper".split())
+
+_SOFT, _HARD, _COMMENT, _GONE = 1, 2, 3, 4
 
 
-def _marks(attributes: str) -> set[str]:
-    found: set[str] = set()
+def _kind_of_names(attributes: str) -> int:
+    """The firmest kind among the names in a tag: each name counts only if all of its words do."""
+    kind = 0
     for m in _NAMED.finditer(attributes):
-        found.update(_WORD.findall(_CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower()))
-    return found & _BOILERPLATE
+        for name in (m[1] or m[2] or m[3] or "").split():
+            words = set(_WORD.findall(_CAMEL.sub(" ", name).lower())) - _BESIDE
+            if words and words <= _COMMENTS | _STRONG | _WEAK:
+                kind = max(kind, _COMMENT if words & _COMMENTS else _HARD if words & _STRONG else _SOFT)
+    return kind
+
 
+@dataclass
+class _Doubt:
+    """A doubtful element."""
 
-class _Lines:
-    """Lines of a page: text, text in links, and whether an article or main element is open."""
+    kind: int
+    above: int  # the doubtful element around it, or -1
+    in_article: bool
+    seen: bool
+    chars: int = 0
+    linked: int = 0
+    unlinked_own: int = 0
+
+
+@dataclass
+class _Page:
+    """Lines of a page, as pieces of text: (line, doubt, place, in a link, text). A place is 2 in an article, 1 in main, 0 elsewhere."""
+
+    parts: list[tuple[int, int, int, bool, str]] = field(default_factory=list)
+    doubts: list[_Doubt] = field(default_factory=list)
+    n_lines: int = 0
+
+
+class _Open:
+    """Elements that are open, and where each tag stands among them."""
 
     def __init__(self):
-        self.text: list[str] = []
-        self.linked: list[int] = []
-        self.place: list[int] = []  # 2: in an article, 1: in main, 0: neither
-        self.emptied: list[tuple[int, int, int, bool]] = []  # where each emptied element's tag, content and end are; whether it is seen
-        self._open: list[str] = []
-        self._link_chars = 0
-
-    def add(self, raw: str, in_link: bool) -> None:
-        if raw:
-            self._open.append(raw)
-            if in_link:
-                self._link_chars += len(raw.strip())
-
-    def space(self) -> None:
-        self._open.append(" ")
-
-    def end(self, place: int, empty: bool = False) -> None:
-        text = " ".join(entities.unescape("".join(self._open)).split()) if self._open else ""
-        if text or empty:
-            self.text.append(text)
-            self.linked.append(self._link_chars)
-            self.place.append(place)
-        self._open, self._link_chars = [], 0
-
-
-def lines_of(page: str, opened: frozenset[int] = frozenset(), by_words: bool = True) -> _Lines:
-    """``opened``: places of tags whose elements are not emptied. ``by_words``: whether class words empty elements."""
-    out = _Lines()
-    articles = mains = links = 0
-    skipping, depth, why, began, seen = "", 0, set(), (0, 0), True
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        place = 2 if articles else 1 if mains else 0
-        if not skipping:
-            out.add(page[at : m.start() if m else end], links > 0)
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
+        self.stack: list[tuple[str, int]] = []  # tag, its doubt or -1
+        self.where: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.doubts: list[int] = []
+
+    def last(self, tag: str) -> int:
+        found = self.where.get(tag)
+        return found[-1] if found else -1
+
+    def push(self, tag: str, doubt: int) -> None:
+        self.where.setdefault(tag, []).append(len(self.stack))
+        if tag in _BLOCKS:
+            self.blocks.append(len(self.stack))
+        if doubt >= 0:
+            self.doubts.append(doubt)
+        self.stack.append((tag, doubt))
+
+    def cut(self, height: int) -> None:
+        while len(self.stack) > height:
+            tag, doubt = self.stack.pop()
+            self.where[tag].pop()
+            if tag in _BLOCKS:
+                self.blocks.pop()
+            if doubt >= 0:
+                self.doubts.pop()
+
+    def begin(self, tag: str) -> None:
+        """Close what the opening of ``tag`` closes."""
+        if tag not in _IN_HEAD and self.last("head") >= 0:
+            self.cut(self.last("head"))
+        if tag in _BLOCKS and (at := self.last("p")) >= 0 and self.blocks[-1] == at:
+            self.cut(at)
+        if tag in _CLOSES:
+            closed, within = _CLOSES[tag]
+            at = min((k for k in map(self.last, closed.split()) if k > max(map(self.last, within))), default=-1)
+            if at >= 0:
+                self.cut(at)
+
+    def end(self, tag: str) -> None:
+        at = self.last(tag)
+        if at < 0 or at < max((self.last(w) for w in _WALLS if w != tag), default=-1) and tag not in ("article", "main", "table"):
+            return
+        if tag not in _BLOCKS and self.blocks and self.blocks[-1] > at:
+            return  # it ends with the block around it
+        self.cut(at)
+
+
+class _Scanner:
+    """Tags of a page, each character looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.last_end = page.rfind(">")
+        self.last_cdata = page.rfind("]]>")
+        self.quotes = True  # whether quotes in tags are heeded
+
+    def tag_end(self, at: int) -> int:
+        """The place of the ``>`` that ends a tag whose attributes begin at ``at``; there is one."""
+        page, k = self.page, at
+        while self.quotes:
+            k = _PLAIN.match(page, k).end()
+            if k >= self.size:
+                self.quotes = False  # quotes hide every end that is left
+                break
+            if page[k] == ">":
+                return k
+            close = page.find(page[k], k + 1)
+            inside = page.find(">", k + 1, close if close >= 0 else self.size)
+            if inside >= 0:
+                follows = page[close + 1 : close + 2]
+                if close < 0 or page[close - 1] == "=" or follows and not follows.isspace() and follows not in "/>":
+                    return inside  # the quote is not closed
+            elif close < 0:
+                self.quotes = False
+                break
+            k = close + 1
+        return page.find(">", at)
+
+    def after(self, at: int) -> tuple[int, int, str, str, bool]:
+        """The next tag from ``at``: where it begins and ends, its name ('' for comments and such), attributes, whether it is an end tag.
+        At the end of the page it begins there."""
+        page = self.page
+        k = at
+        while True:
+            k = page.find("<", k)
+            if k >= 0 and page.startswith("<!--", k):
+                end = page.find("-->", k + 2)
+                return k, end + 3 if end >= 0 else self.size, "", "", False
+            if k < 0 or k >= self.last_end:
+                return self.size, self.size, "", "", False
+            mark = page[k + 1]
+            if mark == "!" or mark == "?":
+                if page.startswith("<![CDATA[", k) and k < self.last_cdata:
+                    return k, page.find("]]>", k) + 3, "", "", False
+                return k, page.find(">", k) + 1, "", "", False
+            closing = mark == "/"
+            name = _NAME.match(page, k + 1 + closing)
+            if name:
+                end = self.tag_end(name.end())
+                return k, end + 1, name[0].lower(), page[name.end() : end], closing
+            k += 1
+
+    def raw_end(self, tag: str, at: int) -> int:
+        close = re.compile(rf"</{tag}(?![a-zA-Z0-9:-])[^>]*>", re.I).search(self.page, at) if at < self.last_end else None
+        return close.end() if close else self.size
+
+
+def read_page(page: str) -> _Page:
+    out, scan, opened = _Page(), _Scanner(page), _Open()
+    at = links = 0
+    while at < scan.size:
+        start, after, tag, attributes, closing = scan.after(at)
+        place = 2 if opened.last("article") >= 0 else 1 if opened.last("main") >= 0 else 0
+        doubt = opened.doubts[-1] if opened.doubts else -1
+        if start > at:
+            _add(out, doubt, place, links > 0, page[at:start])
+        at = after
+        if not tag:
             continue
-        closing, tag = bool(m[1]), m[2].lower()
-        attributes = m[3] or ""
-        if tag in _RAW and not closing:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+        if tag in _RAW:
+            at = scan.raw_end(tag, at) if not closing else at
             continue
-        if skipping:
-            inside = why and why <= _LAYOUT and tag in ("article", "main") and not closing
-            if not inside:
-                if skipping == "head" and tag == "body":
-                    depth = 0
-                elif tag == skipping:
-                    if closing:
-                        depth -= 1
-                    elif tag in _SELF_CLOSING:
-                        depth = 0  # the next one begins
-                    elif not attributes.endswith("/"):
-                        depth += 1
-                elif skipping in _SELF_CLOSING and tag in _BLOCKS:
-                    depth = 0
-                elif closing and tag in ("body", "html") or closing and tag in ("article", "main") and place:
-                    depth = 0
-                if depth > 0:
-                    continue
-                skipping = ""
-                out.emptied.append((*began, m.start(), seen))
-                out.end(place, empty=True)
-                if closing and tag not in ("article", "main"):
-                    continue
-            else:
-                skipping = ""
-                out.end(place, empty=True)
-        if not closing and tag not in ("html", "body", "main") and tag not in _VOID:
-            named = _marks(attributes) if by_words else set()
-            if articles or mains:
-                named = named - {"header"}  # as the element of that name: the title's
-            if tag == "article" and named <= _LAYOUT:
-                named = set()
-            never = tag in _NEVER or tag == "header" and not articles and not mains
-            hidden = bool(_HIDDEN.search(attributes))
-            if (never or named or hidden) and m.start() not in opened:
-                out.end(place)
-                if not attributes.endswith("/"):
-                    skipping, depth, why = tag, 1, named if not never else set()
-                    began, seen = (m.start(), m.end()), not hidden and tag not in _UNSEEN
-                continue
         if tag in _BLOCKS:
-            out.end(place)
+            out.n_lines += 1
         elif tag in ("br", "td", "th"):
-            out.space()
+            out.parts.append((out.n_lines, doubt, place, False, " "))
         if tag == "a":
-            links = max(0, links + (-1 if closing else 1))
-        elif tag == "article":
-            articles = max(0, articles + (-1 if closing else 1))
-        elif tag == "main":
-            mains = max(0, mains + (-1 if closing else 1))
-    if skipping:
-        out.emptied.append((*began, end, seen))
-    out.end(2 if articles else 1 if mains else 0)
+            links = 0 if closing else 1
+        if tag in _VOID:
+            continue
+        if closing:
+            opened.end(tag)
+            continue
+        opened.begin(tag)
+        if attributes.endswith("/") and tag not in _BLOCKS:
+            continue
+        opened.push(tag, _new_doubt(out, opened, tag, attributes))
+    out.n_lines += 1
     return out
 
 
-def _sizes(lines: _Lines) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Sizes of the lines, which lines can be text, and whether the page marks them."""
-    length = np.array([len(x) for x in lines.text], np.int64)
-    place = np.array(lines.place, np.int64)
-    in_article, in_main = int(length[place == 2].sum()), int(length[place >= 1].sum())
-    if in_main:
-        inside = place == 2 if 2 * in_article >= in_main else place >= 1
-        return np.where(inside, length, 0), inside, True
-    return np.maximum(length - 2 * np.array(lines.linked, np.int64), 0), np.ones(len(length), bool), False
+def _new_doubt(out: _Page, opened: _Open, tag: str, attributes: str) -> int:
+    if tag in ("html", "body", "main"):
+        return -1
+    inside = opened.last("article") >= 0 or opened.last("main") >= 0
+    kind = _kind_of_names(attributes) if attributes else 0
+    if tag in _NEVER or tag == "header" and not inside:
+        kind = max(kind, _HARD)
+    if tag == "article" and kind == _SOFT:
+        kind = 0
+    if attributes and _HIDDEN.search(attributes):
+        kind = _GONE
+    if not kind:
+        return -1
+    out.doubts.append(_Doubt(kind, opened.doubts[-1] if opened.doubts else -1, inside, tag not in _UNSEEN))
+    return len(out.doubts) - 1
+
+
+def _add(out: _Page, doubt: int, place: int, linked: bool, raw: str) -> None:
+    text = entities.unescape(raw) if "&" in raw else raw
+    out.parts.append((out.n_lines, doubt, place, linked, text))
+    if doubt >= 0:
+        n, d = len(text.strip()), out.doubts[doubt]
+        d.chars += n
+        d.linked += n if linked else 0
+        d.unlinked_own += 0 if linked else n
+
+
+def _standing(page: _Page, window: int, surge: int) -> tuple[list[bool], int]:
+    """Of each doubtful element whether its text counts after all, and the least place whose text counts."""
+    doubts = page.doubts
+    for d in reversed(doubts):  # what is inside comes later
+        if d.above >= 0:
+            doubts[d.above].chars += d.chars
+            doubts[d.above].linked += d.linked
+    never, owners = [], []  # whether one never opens; the innermost element from it outwards that empties it, or -1
+    for k, d in enumerate(doubts):
+        soft = d.kind == _SOFT and d.in_article and 2 * d.linked < d.chars
+        never.append(d.kind >= _COMMENT or d.above >= 0 and never[d.above])
+        owners.append(k if not soft else owners[d.above] if d.above >= 0 else -1)
+    held: dict[tuple[int, int], int] = {}  # characters by place and first element that is not clear
+    lines: dict[int, dict[int, int]] = {}  # of doubtful elements: unlinked characters by line
+    outside: dict[int, int] = {}
+    for line, doubt, place, linked, text in page.parts:
+        n = len(text.strip())
+        if not n:
+            continue
+        owner = owners[doubt] if doubt >= 0 else -1
+        held[place, owner] = held.get((place, owner), 0) + n
+        if not linked:
+            own = lines.setdefault(owner, {}) if owner >= 0 else outside
+            own[line] = own.get(line, 0) + n
+    article, main = held.get((2, -1), 0), held.get((1, -1), 0)
+    best = -1
+    if not article and not main:
+        for p in (2, 1):
+            marked = {o: n for (q, o), n in held.items() if q == p and o >= 0 and not never[o]}
+            if marked:
+                best = max(marked, key=lambda o: (marked[o], -o))
+                article, main = (marked[best], 0) if p == 2 else (0, marked[best])
+                break
+        else:
+            left = sum(outside.values())
+            for o, own in sorted(lines.items()):
+                size = sum(own.values())
+                if not never[o] and doubts[o].seen and size >= max(1, left) and _most_of(own, window) >= surge:
+                    best, left = o, size + 1
+    opened = {-1}
+    while best >= 0:
+        opened.add(best)
+        best = doubts[best].above
+    return [o in opened for o in owners], 0 if not article and not main else 2 if article >= main else 1
+
+
+def _most_of(own: dict[int, int], window: int) -> int:
+    """The greatest sum of a window over lines given by number; lines without text of the element are left out."""
+    return _most(np.array([own[k] for k in sorted(own)], np.int64), window)
 
 
 def _most(sizes: np.ndarray, window: int) -> int:
+    return int(_ahead(sizes, window).max(initial=0))
+
+
+def _ahead(sizes: np.ndarray, window: int) -> np.ndarray:
+    """The sum of the window that begins at each line."""
     total = np.concatenate([[0], np.cumsum(sizes)])
-    return max((int(total[min(k + window, len(sizes))] - total[k]) for k in range(len(sizes))), default=0)
-
-
-def _read(page: str, window: int, surge: int) -> _Lines:
-    """The page's lines, with elements opened that hold as much unlinked text as is left outside of them."""
-    opened: frozenset[int] = frozenset()
-    for _ in range(_ROUNDS):
-        lines = lines_of(page, opened)
-        outside = int(_sizes(lines)[0].sum())
-        more = set()
-        for tag, start, end, seen in lines.emptied:
-            if end - start < max(1, outside):
-                continue
-            part = page[start:end]
-            marked = _MARKED.search(part)
-            if marked:
-                part = part[marked.start() :]
-            elif not seen or end - start < surge:
-                continue
-            sizes = _sizes(lines_of(part, by_words=False))[0]
-            if int(sizes.sum()) >= max(1, outside) and (marked or _most(sizes, window) >= surge):
-                more.add(tag)
-        if not more:
-            return lines
-        opened |= more
-    return lines_of(page, opened, by_words=False)
+    return total[np.minimum(np.arange(len(sizes)) + window, len(sizes))] - total[:-1]
 
 
 def stretches(sizes: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray:
     """Which lines lie between a surge and the next dive of the windows' sums."""
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    ahead = total[np.minimum(np.arange(len(sizes)) + window, len(sizes))] - total[:-1]
     inside, keep = False, np.zeros(len(sizes), bool)
-    for k, mass in enumerate(ahead.tolist()):
+    for k, mass in enumerate(_ahead(sizes, window).tolist()):
         inside = mass >= surge or inside and mass > 0
         keep[k] = inside
     return keep
@@ -232,15 +365,29 @@ def stretches(sizes: np.ndarray, surge: int, window: int = WINDOW) -> np.ndarray
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     if not page:
         return ""
-    lines = _read(page, window, surge)
-    sizes, inside, marked = _sizes(lines)
-    level = 1 if marked else max(1, min(surge, _most(sizes, window)))
+    read = read_page(page)
+    clear, least = _standing(read, window, surge)
+    raw: dict[int, list[str]] = {}
+    unlinked: dict[int, int] = {}
+    empty: set[int] = set()  # lines where a doubtful element's text went
+    for line, doubt, place, linked, text in read.parts:
+        if doubt >= 0 and not clear[doubt] or place < least:
+            if text.strip():
+                empty.add(line)
+            continue
+        raw.setdefault(line, []).append(text)
+        if not linked or least:
+            unlinked[line] = unlinked.get(line, 0) + len(text.strip())
+    texts = {k: x for k, v in raw.items() if (x := " ".join("".join(v).split()))}
+    order = sorted(texts.keys() | empty)
+    sizes = np.array([unlinked.get(k, 0) if k in texts else 0 for k in order], np.int64)
+    level = 1 if least else max(1, min(surge, _most(sizes, window)))
     kept, begun = [], False
-    for text, between, usable, size in zip(lines.text, stretches(sizes, level, window).tolist(), inside.tolist(), sizes.tolist()):
+    for k, between, size in zip(order, stretches(sizes, level, window).tolist(), sizes.tolist()):
         # a stretch begins at its first line with a size: the windows look ahead
         begun = between and (begun or size > 0)
-        if begun and usable and text:
-            kept.append(text)
+        if begun and k in texts:
+            kept.append(texts[k])
     return "\n".join(kept)
 
 

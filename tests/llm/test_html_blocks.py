@@ -1,3 +1,6 @@
+import random
+import time
+
 import numpy as np
 import pytest
 
@@ -80,3 +83,68 @@ MENU = "<nav><a href=/>Home</a> <a href=/x>More</a>"
 )
 def test_elements_around_the_text(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><p>One</p><p class='reply'>Two</p></article>", "One\nTwo"),
+        ("<article><p>One</p><section id='search'><p>Two</p></section></article>", "One\nTwo"),
+        ("<article><p>One</p><p class='social-history'>Two</p></article>", "One\nTwo"),
+        ("<article><p>One</p><div class='tags-note'>Two</div></article>", "One\nTwo"),
+        ("<article><p>One</p><ul class='tags'><li><a href=/a>a</a><li><a href=/b>b</a></ul><p>Two</p></article>", "One\nTwo"),
+        ("<form><article><p>One</p><p class='reply'>Two</p></article></form>", "One\nTwo"),
+        (f"<article><p title=\"x>{LONG}</p><p>Two <a href=\"/y\">y</a></p></article>", f"{LONG.strip()}\nTwo y"),
+        ("<article><p title='a > b'>One</p><p data-x=\"<b>x</b>\">Two</p></article>", "One\nTwo"),
+        ("<article><p>One<![CDATA[ hid > den ]]></p></article>", "One"),
+        (f"<article><p>Short.</p></article><div id='comments'><p>{LONG * 9}</p></div>", "Short."),
+        (f"<article><p>Short.</p></article><section class='comments'><article class='comment'>{LONG * 9}</article></section>", "Short."),
+        (f"<div><p>{LONG}</p></div><div class='comment-list'><p>{LONG * 9}</p></div>", LONG.strip()),
+        ("<article><p>One</p>" + "<div class='related'>" * 12 + "<a href=/x>Read this</a>" + "</div>" * 12 + "</article>", "One"),
+        (f"<p>{LONG}</p>" + "<div class='related'>" * 12 + "Read this" + "</div>" * 12, LONG.strip()),
+        ("<article><p>a <span class='ad'>Buy</span> b</p></article>", "a b"),
+        ("<article><ul><li>one<ul><li>two<li>three</ul><li>four</ul></article>", "one\ntwo\nthree\nfour"),
+        ("<article><div><nav>Home</div><p>One</p></article>", "One"),
+        ("<article><p>One <b>two<p>three</b> four</article>", "One two\nthree four"),
+        ("<article><p>a < b <3 </3 c</p></article>", "a < b <3 </3 c"),
+        ("<article>x</article><p>1 <b and", "x"),
+        ("<!-- <article>no</article> --><article>yes<!-- open", "yes"),
+        ("<head><title>T</title><p>" + LONG, LONG.strip()),
+    ],
+)
+def test_what_counts_as_text(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<a b=\"", "<a b='>", "<a b=\"'>", "<a b=\"\" x=\">\" ", "<!-- x", "<![CDATA[ x>", "<", "</", "<p class=ad>", "<nav><b>", "<li><span>", "&amp", "<a b"])
+def test_a_megabyte_of_broken_markup(unit):
+    began = time.perf_counter()
+    main_text("<article><p>text</p>" + unit * (1_000_000 // len(unit)) + ">")
+    assert time.perf_counter() - began < 8
+
+
+def plain_stretches(sizes, surge, window):
+    """Line blocks as said: a line is kept from a window that reaches the surge until the first empty window."""
+    keep, on = [], False
+    for k in range(len(sizes)):
+        block = sum(sizes[k : k + window])
+        if block >= surge:
+            on = True
+        elif block == 0:
+            on = False
+        keep.append(on)
+    return keep
+
+
+def test_line_blocks_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(300):
+        lines = [rng.choice([0, 0, 0, 3, 12, 45, 90]) for _ in range(rng.randint(0, 25))]
+        window, surge = rng.randint(1, 5), rng.choice([1, 40, 80])
+        assert stretches(np.array(lines, np.int64), surge, window).tolist() == plain_stretches(lines, surge, window)
+        # as a page without marks: an advert is an empty line, link text has no size
+        page = "".join(f"<p>{'x' * n}</p>" if n else "<div class='ad'>y</div>" for n in lines)
+        level = max(1, min(surge, max((sum(lines[k : k + window]) for k in range(len(lines))), default=0)))
+        want = ["x" * n for n, on in zip(lines, plain_stretches(lines, level, window)) if on and n]
+        if any(lines):
+            assert main_text(page, window, surge) == "\n".join(want)
