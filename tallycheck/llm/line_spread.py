@@ -1,9 +1,9 @@
 """Remove lines that stand on many sites: HyperLogLog sketches of sites per line, exact counts near the limit.
 
-A line is a text between line feeds; it is known by two 64-bit hashes. Lines seen with one site only
-leave by a plain aggregate (least and greatest site). For the others a HyperLogLog sketch of
-sites is merged per line. Estimates far below or above the limit decide; those within ``band`` of it
-get an exact distinct count. Lines on ``min_sites`` sites or more are removed wherever they stand.
+A line is a text between line feeds; it is known by two 64-bit hashes. A HyperLogLog sketch of sites is built for every line straight
+from the texts, one per task and line, and merged by aggregation. Estimates far below or above the limit decide; only lines within
+``band`` and one site of it have their distinct sites counted exactly, in a second pass. Lines on ``min_sites`` sites or more are removed
+wherever they stand.
 
 Defined results: a null text has no lines; an empty text has one empty line. Lines of white space only
 are never removed. A null source is a site of its own. Rows with equal texts give equal results; each
@@ -38,22 +38,20 @@ def _lines(docs: DataFrame) -> DataFrame:
 def spread_lines(docs: DataFrame, min_sites: int = 5, band: float = 0.1) -> DataFrame:
     """Lines (line1, line2: hashes) of ``docs`` (text, source) on ``min_sites`` sites or more, written to the shared folder.
 
-    ``band``: share of ``min_sites`` by which an estimate may be off before it decides; over six
-    standard errors of the sketch.
+    ``band``: share of ``min_sites`` by which an estimate, less one site, may be off before it decides; over six standard errors of
+    the sketch. An estimate of one site always decides (two sites look like one with a chance of 2 to the power of -26).
     """
     if min_sites < 2:
         raise ValueError("min_sites must be 2 or more")
     key = ["line1", "line2"]
     lines = _lines(docs)
-    # one row per line and task: sketches are built only for lines of two sites or more
-    pairs = written(lines.groupBy(*key, "site").agg(F.count("*").alias("n")), "line-sites")
-    several = pairs.groupBy(*key).agg(F.min("site").alias("lo"), F.max("site").alias("hi")).filter("lo <> hi").select(*key)
-    shared = pairs.join(several, key, "left_semi")
-    sketches = shared.groupBy(*key).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_BUCKETS))).alias("estimate"))
-    judged = written(sketches.filter(F.col("estimate") >= min_sites * (1 - band) - 1), "line-estimates")
-    sure = judged.filter(F.col("estimate") > min_sites * (1 + band) + 1).select(*key)
-    near = judged.filter(F.col("estimate") <= min_sites * (1 + band) + 1).select(*key)
-    exact = pairs.join(near, key, "left_semi").groupBy(*key).agg(F.count("*").alias("sites")).filter(F.col("sites") >= min_sites).select(*key)
+    sketches = lines.groupBy(*key).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_BUCKETS))).alias("estimate"))
+    low, high = max(min_sites * (1 - band) - 1, 1.5), min_sites * (1 + band) + 1
+    judged = written(sketches.filter(F.col("estimate") >= low), "line-estimates")
+    sure = judged.filter(F.col("estimate") > high).select(*key)
+    near = judged.filter(F.col("estimate") <= high).select(*key)
+    sites = lines.join(near, key, "left_semi").distinct().groupBy(*key).agg(F.count("*").alias("sites"))
+    exact = sites.filter(F.col("sites") >= min_sites).select(*key)
     return written(sure.unionByName(exact), "line-spread")
 
 

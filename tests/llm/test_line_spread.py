@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallycheck.llm import line_spread
+from tallycheck.llm.common import written
 from tallycheck.llm.line_spread import remove_spread_lines
 
 
@@ -44,3 +46,21 @@ def test_many_sites_by_sketch(spark, docs):
 
 def test_empty(spark, docs):
     assert remove_spread_lines(docs([])).count() == 0
+
+
+def test_sketches_come_straight_from_the_lines(spark, docs, monkeypatch):
+    """No aggregate or exchange stands under the sketches' but their own; exact pairs are those of lines near the limit."""
+    plans = {}
+
+    def kept(df, label):
+        plans[label] = df
+        return written(df, label)
+
+    monkeypatch.setattr(line_spread, "written", kept)
+    rows = [(k, "far above\nonce %d\n%s" % (k, "near" if k < 10 else "below" if k < 14 else "x"), f"site{k}") for k in range(60)]
+    found = line_spread.spread_lines(docs(rows), min_sites=10)
+    assert found.count() == 3  # far above, near, x
+    plan = plans["line-estimates"]._jdf.queryExecution().executedPlan().toString()
+    initial = plan[plan.rfind("Initial Plan") :] if "Initial Plan" in plan else plan
+    assert initial.count("Exchange hashpartitioning(") == 1 and initial.count("Aggregate(") == 2
+    assert plans["line-estimates"].filter("estimate <= 12").count() == 1  # of 64 lines, "near" alone is counted exactly
