@@ -2,7 +2,8 @@
 
 Where a single space or line feed stands between two other characters, the pre-tokenizer always
 starts a new piece, so a text is cut there and each distinct piece is encoded once. Text with any
-other white space (or runs of it), or with an added token's content (``<|endoftext|>``), goes to the tokenizer whole.
+other white space (or runs of it), or with an added token's content (``<|endoftext|>``), goes to the tokenizer whole:
+a piece is looked through for white space when it is first met, and none that is empty or holds any is remembered.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import lru_cache
 #: ASCII marks but the apostrophe, which can begin a piece with letters.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Pieces that one worker remembers; then it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 def _byte_letters() -> dict[int, int]:
@@ -26,11 +27,11 @@ def _byte_letters() -> dict[int, int]:
 
 
 _LETTERS = _byte_letters()
+_SPACE = chr(_LETTERS[0x20])
 
 
-def _odd(text: str) -> bool:
-    """Whether a text has white space other than lone spaces and line feeds inside it."""
-    return " ".join(text.split()) != text.replace("\n", " ")
+class _Odd(Exception):
+    """A piece that a text cannot be cut at."""
 
 
 def _packed(ids) -> bytes:
@@ -53,6 +54,8 @@ class _Pieces(dict):
         base = piece.rstrip(_MARKS)
         if base and base != piece and (base[-1].isalpha() or base[-1].isdecimal()):
             return self[base] + self._marks[piece[len(base) :]]
+        if piece.split() != [piece]:
+            raise _Odd
         if len(self) >= REMEMBERED // 2:
             # what was met lately is looked up here before it is encoded again
             self._before = dict(self)
@@ -95,21 +98,26 @@ class PieceEncoder:
 
     def _short(self, piece: str) -> bytes:
         if piece.lstrip(" ").isalpha():  # one piece: straight to the model
-            written = piece.encode().decode("latin-1").translate(_LETTERS)
+            if piece.isascii():
+                written = piece.replace(" ", _SPACE)
+            else:
+                written = piece.encode().decode("latin-1").translate(_LETTERS)
             return _packed([token.id for token in self._model.tokenize(written)])
         return self.whole(piece)
 
     def encode(self, text: str) -> bytes:
         """Ids of the text, little-endian unsigned 32-bit."""
-        if _odd(text) or any(a in text for a in self._added):
+        if not text or any(a in text for a in self._added):
             return self.whole(text)
         found = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            if head:
+        try:
+            for line in text.split("\n"):
+                head, *rest = line.split(" ")
                 found.append(self._first[head])
-            found.extend(map(self._after_space.__getitem__, rest))
-            found.append(self._line_feed)
+                found.extend(map(self._after_space.__getitem__, rest))
+                found.append(self._line_feed)
+        except _Odd:
+            return self.whole(text)
         found.pop()
         return b"".join(found)
 

@@ -75,7 +75,7 @@ def _checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = batch.column("ids")
         values = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
         bounds = lists.offsets.to_numpy()
-        sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:])]
+        sums = [zlib.crc32(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
         n = np.diff(bounds).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("range"), batch.column("at"), pa.array(n), pa.array(sums, pa.int64())],
