@@ -40,10 +40,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one of this process only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset a temporary one, in local mode only."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
