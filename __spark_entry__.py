@@ -38,6 +38,7 @@ from tallycheck.operators import (  # noqa: E402
 from tallycheck.operators.coverage import check_coverage  # noqa: E402
 from tallycheck.operators.duplicates import check_duplicates  # noqa: E402
 from tallycheck.operators.ranges import bitmap_tally, missing_ranges  # noqa: E402
+from tallycheck.operators.windows import merged_windows, rejected_windows, requested_tally, window_plan  # noqa: E402
 from tallycheck.operators.type_drift import check_json_schema, observed_schema, type_profile  # noqa: E402
 from tallycheck.plans import DQConfig, failing_keys, ingest, run_checks  # noqa: E402
 from tallycheck.sources import bindings as B  # noqa: E402
@@ -168,6 +169,19 @@ def q_coverage_bitmap(spark, sf_dir):
     return bitmap_tally(recs, _titles(recs), START, END)
 
 
+def q_rejected_windows(spark, sf_dir):
+    return rejected_windows(B.requests_from_events(_events(spark, sf_dir)))
+
+
+def q_window_plan(spark, sf_dir):
+    return window_plan(merged_windows(B.requests_from_events(_events(spark, sf_dir))))
+
+
+def q_window_coverage(spark, sf_dir):
+    windows = merged_windows(B.requests_from_events(_events(spark, sf_dir)))
+    return requested_tally(_records(spark, sf_dir), windows)
+
+
 def q_coverage_result(spark, sf_dir):
     recs = _records(spark, sf_dir)
     return check_coverage(recs, _titles(recs), START, END).result
@@ -281,6 +295,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_by_article": q_missing_by_article,
     "missing_ranges": q_missing_ranges,
     "coverage_bitmap": q_coverage_bitmap,
+    "rejected_windows": q_rejected_windows,
+    "window_plan": q_window_plan,
+    "window_coverage": q_window_coverage,
     "coverage_result": q_coverage_result,
     "duplicate_keys": q_duplicate_keys,
     "duplicate_result": q_duplicate_result,
@@ -369,8 +386,20 @@ _H = (
     "cast(day as timestamp) as checked_at "
     "from (select cast(ts as date) as day, event_type, count(*) as n from events group by 1, 2)"
 )
-_CTES = {"R": _R, "D": _D, "G": _G, "M": _M, "U": _U, "A": _A, "AC": _AC, "H": _H}
-_DEPS = {"G": ["R", "D"], "M": ["G", "R"], "U": ["R"], "AC": ["A"]}
+_Q = (
+    "select event_id, 'user_' || user_id as title, "
+    "case when event_id % 17 = 0 then strftime(ts, '%Y-%m-%d') when event_id % 29 = 0 then '20240231' else strftime(ts, '%Y%m%d') end as start_date, "
+    "case when event_id % 23 <> 0 then strftime(cast(ts as date) + case when event_id % 19 = 0 then -3 else cast(event_id % 5 as integer) end, '%Y%m%d') end as end_date "
+    "from events"
+)
+_QP = (
+    "select *, case when regexp_full_match(start_date, '[0-9]{8}') then cast(try_strptime(start_date, '%Y%m%d') as date) end as lo, "
+    "case when regexp_full_match(end_date, '[0-9]{8}') then cast(try_strptime(end_date, '%Y%m%d') as date) end as hi from Q"
+)
+# every requested day once, whatever the windows
+_W = "select distinct title, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as day from QP where lo <= hi"
+_CTES = {"Q": _Q, "QP": _QP, "W": _W, "R": _R, "D": _D, "G": _G, "M": _M, "U": _U, "A": _A, "AC": _AC, "H": _H}
+_DEPS = {"QP": ["Q"], "W": ["QP"], "G": ["R", "D"], "M": ["G", "R"], "U": ["R"], "AC": ["A"]}
 _RUN_AT_SQL = "timestamp '2026-01-31 00:00:00'"
 _URL_PREFIX = "https://wikimedia.org/api/rest_v1/metrics/pageviews/per-article/en.wikipedia.org/all-access/user/"
 # The texts of bindings.drifting_props.
@@ -525,6 +554,25 @@ def _own_sql() -> dict[str, str]:
             "from (select distinct article, \"timestamp\" from M) group by 1",
             "M",
         ),
+        "rejected_windows": _with(
+            "select event_id, title, start_date, end_date, case when lo is null then 'start_date is not a YYYYMMDD day' "
+            "when hi is null then 'end_date is not a YYYYMMDD day' else 'start_date is after end_date' end as reason "
+            "from QP where lo is null or hi is null or lo > hi",
+            "QP",
+        ),
+        "window_plan": _with(
+            "select title, strftime(min(day), '%Y%m%d') as start_date, strftime(max(day), '%Y%m%d') as end_date, "
+            f"'{_URL_PREFIX}' || title || '/daily/' || strftime(min(day), '%Y%m%d') || '/' || strftime(max(day), '%Y%m%d') as request_url "
+            "from (select title, day, day - cast(row_number() over (partition by title order by day) as integer) as run from W) group by title, run",
+            "W",
+        ),
+        "window_coverage": _with(
+            "select count(w.title) as expected_count, count(*) filter (w.title is not null and r.article is null) as missing_count, "
+            "count(*) filter (w.title is null) as unrequested_count from W w full join "
+            "(select distinct article, \"timestamp\" as s from R) r on w.title = r.article and strftime(w.day, '%Y%m%d00') = r.s",
+            "W",
+            "R",
+        ),
         "missing_ranges": _with(
             "select article, strftime(min(d), '%Y%m%d00') as first_day, strftime(max(d), '%Y%m%d00') as last_day, count(*) as days from "
             "(select article, d, d - cast(row_number() over (partition by article order by d) as integer) as run from "

@@ -5,6 +5,7 @@ from tallycheck.functions.dates import (
     check_range,
     day_spine,
     day_stamp,
+    parse_bound,
     stamp_range,
 )
 from tallycheck.functions.status import severity_of, status_from_count
@@ -15,6 +16,7 @@ __all__ = [
     "check_range",
     "day_spine",
     "day_stamp",
+    "parse_bound",
     "stamp_range",
     "severity_of",
     "status_from_count",

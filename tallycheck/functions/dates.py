@@ -27,6 +27,12 @@ def check_bound(value: str, name: str = "date") -> dt.date:
         raise ValueError(f"{name} is not a calendar day: {value!r}") from exc
 
 
+def parse_bound(col: Column | str) -> Column:
+    """Column form of :func:`check_bound`: the DATE of exactly eight digits that are a real day, else NULL."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.rlike("^(?!0000)[0-9]{8}$") & ~c.contains("\n"), F.try_to_date(c, "yyyyMMdd"))
+
+
 def check_range(start: str, end: str) -> tuple[dt.date, dt.date]:
     """Validate an inclusive range of run parameters; start must not pass end."""
     s = check_bound(start, "start_date")

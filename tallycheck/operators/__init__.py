@@ -40,6 +40,7 @@ from tallycheck.operators.schema_drift import (
     schema_result,
     schema_tally,
 )
+from tallycheck.operators.windows import merged_windows, read_windows, rejected_windows, requested_grid, requested_tally, window_plan
 
 __all__ = [
     "CheckOutput",
@@ -80,4 +81,10 @@ __all__ = [
     "schema_mismatches",
     "schema_result",
     "schema_tally",
+    "merged_windows",
+    "read_windows",
+    "rejected_windows",
+    "requested_grid",
+    "requested_tally",
+    "window_plan",
 ]

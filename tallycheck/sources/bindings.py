@@ -52,6 +52,19 @@ def records_from_events(events: DataFrame, carry: tuple[str, ...] = ()) -> DataF
     return events.select(*cols, *carry)
 
 
+def requests_from_events(events: DataFrame) -> DataFrame:
+    """A request per event: from its day on, up to four days more; by event id some bounds are dashed, no day, reversed or NULL."""
+    day, form = F.to_date("ts"), F.col("event_id")
+    start = (
+        F.when(form % 17 == 0, F.date_format(day, "yyyy-MM-dd"))
+        .when(form % 29 == 0, F.lit("20240231"))
+        .otherwise(F.date_format(day, "yyyyMMdd"))
+    )
+    last = F.when(form % 19 == 0, F.date_sub(day, 3)).otherwise(F.date_add(day, (form % 5).cast("int")))
+    end = F.when(form % 23 != 0, F.date_format(last, "yyyyMMdd"))
+    return events.select("event_id", _article(events).alias("title"), start.alias("start_date"), end.alias("end_date"))
+
+
 def attempts_from_events(events: DataFrame) -> DataFrame:
     """Fetch attempts: event_type 'error' or a user id divisible by 7 fails with 500.
 
