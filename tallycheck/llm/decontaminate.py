@@ -5,12 +5,15 @@ is ``size`` consecutive words of an item, or a whole shorter item. A window is a
 shingles of ``_GRAM`` words (fewer for shorter windows). Shingles are ordered by rarity, counted over all
 documents; to contain a window whole, a text must have the window's rarest shingle, so that one is its
 necessary prefix, and a window with a shingle that no document has leaves at once. Where a document
-has a prefix shingle, its position fixes where the window would start; windows that would begin before
-the document or end after it are passed over (positional and length bounds), and the others are compared word by word.
+has a prefix shingle, its position fixes where the window would start: the words around it are joined with the windows of that
+prefix, a place outside the document matches nothing (positional and length bounds), and the rest is compared word by word.
 
-The benchmark is sent to the tasks in blocks of at most ``block_bytes`` of text, so what is broadcast
-has a bound at any benchmark size; there is one pass over the documents for rarity and one to match per block,
-and a checkpoint between blocks. Documents are never shuffled.
+The benchmark is a table like any other: its windows, their shingles and prefixes are grouped and joined by Spark and never pass through the
+driver. Whatever its size there is one pass over the documents for rarity, one for candidates, and two that give the rows back (those without and those
+with a hit). All that is broadcast are bitmaps of at most ``filter_bits`` bits, by which tasks leave out shingles that no window has and
+texts without a hit; a full bitmap costs time, never a result. Of the documents only texts with a hit (and few others) are shuffled.
+
+A word is known by a 64-bit hash, a text and a window by two.
 
 Defined results: a null text has no words; an item without words has no windows. Rows with the same item id are one item. Windows
 of items with a null id are hits like any other (``n_hit``, ``contaminated``); together they are one item in ``n_items``, null and last
@@ -20,269 +23,247 @@ empty benchmark leaves every document clean. Columns of the input that clash wit
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from itertools import repeat
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import LOWER, expand, own_schema, own_text, packed, pieces, text_bytes, unpacked, written
+from .common import LOWER, own_schema, own_text, packed, pieces, text_bytes, unpacked, written
+from .phrases import Hashed
 
 #: Words of a shingle.
 _GRAM = 3
-#: Distinct words of a block stay below this, so that three fit in 63 bits.
-_WORDS = 1 << 21
 #: Lower-cased word bytes as they are, any other byte as a space.
 _FOLD = bytes(
     LOWER[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_STATE = "n_words long, runs array<long>, items array<string>"
+#: Bytes of text whose words are hashed at once.
+_RUN = 1 << 20
+#: Windows or candidates of a batch.
+_ROWS = 1 << 14
+
+
+def _runs(joined: bytes) -> Iterator[bytes]:
+    """``joined`` in runs of about ``_RUN`` bytes, cut at spaces."""
+    at = 0
+    while at < len(joined):
+        end = joined.find(b" ", at + _RUN)
+        end = len(joined) if end < 0 else end
+        yield joined[at:end]
+        at = end
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (never 0) of the words of all texts in turn, and the number of words of each text."""
+    folded = [(x or b"").translate(_FOLD) for x in texts]
+    hashes, ends, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    for run in _runs(b" ".join(folded)):
+        inside = np.frombuffer(run, np.uint8) != 32
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+        hashes.append(Hashed([run]).spans(edge[0::2], edge[1::2]))
+        ends.append(edge[1::2] + at)
+        at += len(run)
+    flat = np.concatenate(hashes)
+    flat[flat == 0] = 1
+    text_end = np.cumsum(np.fromiter(map(len, folded), np.int64, len(folded)) + 1) - 1
+    upto = np.searchsorted(np.concatenate(ends), text_end, "right")
+    return flat, np.diff(upto, prepend=0)
+
+
+def _shingle_keys(flat: np.ndarray, gram: int) -> np.ndarray:
+    """A hash per run of ``gram`` words, whatever text they are in."""
+    n = max(0, len(flat) - gram + 1)
+    key = np.full(n, gram, np.uint64)
+    for k in range(gram):
+        key = (key ^ flat[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
 
 
-def _order(item_id: str | None) -> tuple[bool, str]:
-    return item_id is None, item_id or ""
+def _lists(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    n, width = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(np.ascontiguousarray(rows).reshape(-1)))
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(_FOLD).split()
+def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
+    """A row per window of an item: item_id (string), words (hashes), gram, keys (its shingles), and w1, w2, its own hashes; written."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, _RUN):
+            for k, text in enumerate(text_bytes(batch, "text")):
+                flat, _ = word_hashes([text])
+                take = min(size, len(flat))
+                if not take:
+                    continue
+                gram = min(_GRAM, take)
+                keys = _shingle_keys(flat, gram)
+                starts = np.arange(len(flat) - take + 1)
+                for part in np.array_split(starts, -(-len(starts) // _ROWS)):
+                    words = flat[part[:, None] + np.arange(take)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([batch.column("item_id")[k].as_py()] * len(part), pa.string()),
+                            _lists(words),
+                            pa.array(np.full(len(part), gram, np.int32)),
+                            _lists(keys[part[:, None] + np.arange(take - gram + 1)]),
+                        ],
+                        names=["item_id", "words", "gram", "keys"],
+                    )
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    rows = items.mapInArrow(run, "item_id string, words array<long>, gram int, keys array<long>")
+    return written(rows.withColumns({"w1": F.xxhash64("words"), "w2": F.xxhash64(F.lit("tie"), F.col("words"))}), "windows")
+
+
+def bitmap(values: DataFrame, filter_bits: int) -> np.ndarray:
+    """The one long column of ``values`` as a bitmap of a power of two bits, 16 or more a row, at most ``filter_bits``.
+
+    64-bit words of it reach the driver, as Arrow, so what it takes is bounded by ``filter_bits``.
+    """
+    name = values.columns[0]
+    bits = 64
+    while bits < min(filter_bits, 16 * max(values.count(), 1)):
+        bits *= 2
+    at = F.pmod(F.col(name), F.lit(bits))
+    words = values.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({name}, {bits}) % 64 as int))")).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & np.int64(len(bits) * 64 - 1)
+    return ((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def _places(batch_texts: list[bytes | None], grams: list[int], bits: np.ndarray) -> Iterator[tuple]:
+    """Per length of shingle: words of all texts, their number per text, and text, place (in all words) and key of each marked shingle."""
+    flat, n = word_hashes(batch_texts)
+    ends = np.cumsum(n)
+    for gram in grams:
+        keys = _shingle_keys(flat, gram)
+        at = np.flatnonzero(_marked(bits, keys))
+        text = np.searchsorted(ends, at, "right")
+        inside = at + gram <= ends[text]
+        yield gram, flat, n, text[inside], at[inside], keys[at[inside]]
+
+
+def shingle_counts(docs: DataFrame, grams: list[int], bits: np.ndarray) -> DataFrame:
+    """(key, n): how often the marked shingles stand in all documents."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
 
-@dataclass
-class Block:
-    """Some items' windows over a small vocabulary: ``words`` (numbers from 1; 0: any other word), the windows' words
-    (rows of ``windows``, 0 after the end), lengths, and the ids of the items that have each window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            for *_, keys in _places(text_bytes(batch, "text"), grams, sent.value):
+                key, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
-    words: dict[bytes, int]
-    windows: np.ndarray
-    lengths: np.ndarray
-    items: list[list[str | None]]
+    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
-    @classmethod
-    def of(cls, items: Iterable[tuple[str | None, bytes | None]], size: int) -> Block:
-        words: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str | None]] = {}
-        for item_id, text in items:
-            row = [words.setdefault(w, len(words) + 1) for w in words_of(text)]
-            take = min(size, len(row))
-            for at in range(len(row) - take + 1 if row else 0):
-                owners.setdefault(tuple(row[at : at + take]), set()).add(item_id)
-        windows = np.zeros((len(owners), size), np.int64)
-        lengths = np.zeros(len(owners), np.int64)
-        for k, window in enumerate(owners):
-            windows[k, : len(window)] = window
-            lengths[k] = len(window)
-        return cls(words, windows, lengths, [sorted(x, key=_order) for x in owners.values()])
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.words.get, words, repeat(0)), np.int64, len(words))
+def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per window whose shingles all occur: key, at (its rarest shingle and the place in the window), w1, w2 and words; written."""
+    each = windows.select("w1", "w2", F.size("keys").alias("n_keys"), F.posexplode("keys").alias("at", "key"))
+    heads = each.join(counts, "key").groupBy("w1", "w2").agg(
+        F.min(F.struct("n", "key", "at")).alias("head"), F.count(F.lit(1)).alias("have"), F.max("n_keys").alias("n_keys")
+    )
+    rare = heads.filter("have = n_keys").select("w1", "w2", "head.key", "head.at")
+    return written(rare.join(windows.select("w1", "w2", "words"), ["w1", "w2"]), "prefixes")
 
 
-def _keys(numbers: np.ndarray, gram: int) -> np.ndarray:
-    """One number per run of ``gram`` words; -1 if one of them is not in the vocabulary."""
-    n = len(numbers) - gram + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    key, known = np.zeros(n, np.int64), np.ones(n, bool)
-    for k in range(gram):
-        part = numbers[k : k + n]
-        key = key * _WORDS + part
-        known &= part > 0
-    return np.where(known, key, -1)
-
-
-def _shingles(block: Block) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """By length of shingle: (length, window, offset in the window, key)."""
-    out = []
-    gram = np.minimum(block.lengths, _GRAM)
-    for g in range(1, _GRAM + 1):
-        window = np.flatnonzero(gram == g)
-        if len(window):
-            owner, offset = expand(np.zeros(len(window), np.int64), block.lengths[window] - g + 1)
-            rows = block.windows[window[owner]]
-            key = np.zeros(len(owner), np.int64)
-            for k in range(g):
-                key = key * _WORDS + rows[np.arange(len(owner)), offset + k]
-            out.append((g, window[owner], offset, key))
-    return out
-
-
-def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where ``keys`` are among ``sorted_keys``: (place in ``keys``, place in ``sorted_keys``)."""
-    if not len(sorted_keys) or not len(keys):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    here = np.flatnonzero(sorted_keys[at] == keys)
-    return here, at[here]
-
-
-def _numbered(block: Block, raw: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts in one row, with one 0 after each text; starts and lengths of the texts."""
-    texts = [words_of(x) for x in raw]
-    n = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = np.zeros(int(n.sum()) + len(n), np.int64)
-    starts = np.cumsum(n + 1) - (n + 1)
-    for at, words in zip(starts.tolist(), texts):
-        flat[at : at + len(words)] = block.numbers(words)
-    return flat, starts, n
-
-
-def shingle_counts(docs: DataFrame, block: Block) -> dict[tuple[int, int], int]:
-    """How often each of the block's shingles stands in all documents; a row per shingle reaches the driver."""
-    wanted = {g: np.unique(key) for g, _, _, key in _shingles(block)}
-    sent = docs.sparkSession.sparkContext.broadcast((block, wanted))
+def candidates(docs: DataFrame, grams: list[int], bits: np.ndarray, size: int) -> DataFrame:
+    """A row per marked shingle of a text: t1, t2 (the text), key, place, and around: the hashes of the ``size`` - 1 words before it, and of as many
+    from its first on as a window has; 0 outside the text."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    reach = np.arange(1 - size, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, keys = sent.value
-        totals = {g: np.zeros(len(k), np.int64) for g, k in keys.items()}
-        for batch in pieces(batches):
-            flat, _, _ = _numbered(own, text_bytes(batch, "text"))
-            for g, k in keys.items():
-                totals[g] += np.bincount(_found(k, _keys(flat, g))[1], minlength=len(k))
-        for g, total in totals.items():
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), g, np.int32)), pa.array(keys[g][some]), pa.array(total[some])], names=["g", "key", "n"]
-            )
-
-    rows = docs.select("text").mapInArrow(run, "g int, key long, n long")
-    return {(r.g, r.key): r.n for r in rows.groupBy("g", "key").agg(F.sum("n").alias("n")).toLocalIterator()}
-
-
-@dataclass
-class Probe:
-    """Prefix shingles of one length, sorted; of each, a run of windows with the shingle's offset in them."""
-
-    gram: int
-    keys: np.ndarray
-    first: np.ndarray
-    count: np.ndarray
-    window: np.ndarray
-    offset: np.ndarray
-
-
-def probes(block: Block, counts: dict[tuple[int, int], int]) -> list[Probe]:
-    """Each window's rarest shingle, windows with an absent one left out."""
-    out = []
-    for g, window, offset, key in _shingles(block):
-        n = np.fromiter((counts.get((g, k), 0) for k in key.tolist()), np.int64, len(key))
-        order = np.lexsort((offset, key, n, window))
-        head = order[np.unique(window[order], return_index=True)[1]]
-        head = head[n[head] > 0]
-        head = head[np.argsort(key[head], kind="stable")]
-        keys, first, count = np.unique(key[head], return_index=True, return_counts=True)
-        out.append(Probe(g, keys, first, count, window[head], offset[head]))
-    return out
-
-
-def _matches(block: Block, prefixes: list[Probe], flat: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start in the row of words, window) of every occurrence of a window."""
-    found = []
-    for p in prefixes:
-        at, k = _found(p.keys, _keys(flat, p.gram))
-        for part in np.array_split(np.arange(len(at)), max(1, int(p.count[k].sum()) >> 20)):
-            owner, row = expand(p.first[k[part]], p.count[k[part]])
-            window = p.window[row]
-            start, length = at[part][owner] - p.offset[row], block.lengths[window]
-            text = np.searchsorted(starts, at[part][owner], "right") - 1
-            ok = (start >= starts[text]) & (start + length <= starts[text] + n[text])
-            text, start, window, length = text[ok], start[ok], window[ok], length[ok]
-            same = np.ones(len(start), bool)
-            for word in range(block.windows.shape[1]):
-                inside = np.flatnonzero(same & (word < length))
-                same[inside] = flat[start[inside] + word] == block.windows[window[inside], word]
-            found.append((text[same], start[same], window[same]))
-    if not found:
-        return (np.empty(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def _runs_of(covered: np.ndarray) -> list[int]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-    return edge.tolist()
-
-
-def _scan(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, prefixes = sent.value
         for batch in pieces(batches):
-            flat, starts, n = _numbered(block, own_text(batch))
-            text, start, window = _matches(block, prefixes, flat, starts, n)
-            runs = batch.column("runs").to_pylist()
-            items = batch.column("items").to_pylist()
-            order = np.argsort(text, kind="stable")
-            hit, first = np.unique(text[order], return_index=True)
-            for t, own in zip(hit.tolist(), np.split(order, first[1:])):
-                cover = np.zeros(int(n[t]) + 1, np.int64)
-                np.add.at(cover, start[own] - starts[t], 1)
-                np.add.at(cover, start[own] - starts[t] + block.lengths[window[own]], -1)
-                before = np.array(runs[t], np.int64)
-                np.add.at(cover, before[0::2], 1)
-                np.add.at(cover, before[1::2], -1)
-                runs[t] = _runs_of(np.cumsum(cover)[:-1] > 0)
-                items[t] = items[t] + sorted({i for w in set(window[own].tolist()) for i in block.items[w]}, key=_order)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("own"), pa.array(n), pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                names=["own", "n_words", "runs", "items"],
-            )
-
-    return run
-
-
-def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[Block]:
-    """Blocks of items, read one item at a time; an item larger than a block goes in overlapping parts that have all its windows."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    batch: list[tuple[str | None, bytes]] = []
-    used = 0
-    for row in rows.orderBy("item_id").toLocalIterator():
-        for part in _parts((row.text or "").encode(), size, block_bytes):
-            if batch and used + len(part) > block_bytes:
-                yield Block.of(batch, size)
-                batch, used = [], 0
-            batch.append((row.item_id, part))
-            used += len(part)
-    if batch:
-        yield Block.of(batch, size)
-
-
-def _parts(text: bytes, size: int, block_bytes: int) -> Iterator[bytes]:
-    if len(text) <= block_bytes:
-        yield text
-        return
-    words, step = words_of(text), max(1, block_bytes // 16)
-    for at in range(0, max(1, len(words) - size + 1), step):
-        yield b" ".join(words[at : at + step + size - 1])
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 1 << 20) -> DataFrame:
+            t1, t2 = (batch.column(c).to_numpy() for c in ("t1", "t2"))
+            for _, flat, n, text, at, keys in _places(text_bytes(batch, "text"), grams, sent.value):
+                last = np.cumsum(n)
+                first = last - n
+                for part in np.array_split(np.arange(len(at)), -(-len(at) // _ROWS)) if len(at) else ():
+                    own, place = text[part], at[part][:, None] + reach
+                    inside = (place >= first[own][:, None]) & (place < last[own][:, None])
+                    around = np.where(inside, flat[np.clip(place, 0, len(flat) - 1)], np.uint64(0)).view(np.int64)
+                    columns = [pa.array(t1[own]), pa.array(t2[own]), pa.array(keys[part]), pa.array(at[part] - first[own]), _lists(around)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["t1", "t2", "key", "place", "around"])
+
+    return _named(docs.select("text")).mapInArrow(run, "t1 long, t2 long, key long, place long, around array<long>")
+
+
+def _named(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the two hashes of its texts."""
+    return docs.withColumns({"t1": F.xxhash64(text), "t2": F.xxhash64(F.lit("tie"), F.col(text))})
+
+
+def hits(found: DataFrame, prefixes: DataFrame, size: int) -> DataFrame:
+    """(t1, t2, start, length, w1, w2): where a text has a window, word by word; each once, written."""
+    pairs = found.join(prefixes, "key")
+    length = F.size("words")
+    same = pairs.filter(F.slice("around", F.lit(size) - F.col("at"), length) == F.col("words"))
+    return written(same.select("t1", "t2", (F.col("place") - F.col("at")).alias("start"), length.alias("length"), "w1", "w2").distinct(), "hits")
+
+
+def marked_texts(hits: DataFrame, windows: DataFrame) -> DataFrame:
+    """Per text with a hit: t1, t2, runs (starts and ends of runs of hit words, in turn), n_hit and items; written."""
+    text = ["t1", "t2"]
+    reach = hits.groupBy(*text, "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
+    order = Window.partitionBy(*text).orderBy("start")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = reach.withColumn("opens", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)).withColumn("run", F.sum("opens").over(order))
+    runs = opened.groupBy(*text, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = runs.groupBy(*text).agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda x: F.array(x["start"], x["end"]))).alias("runs"),
+        F.sum(F.col("end") - F.col("start")).alias("n_hit"),
+    )
+    owners = windows.select("w1", "w2", "item_id").distinct()
+    own = hits.select(*text, "w1", "w2").distinct().join(owners, ["w1", "w2"]).select(*text, "item_id").distinct()
+    named = own.groupBy(*text).agg(F.array_sort(F.collect_list("item_id")).alias("named"), F.bool_or(F.col("item_id").isNull()).alias("lone"))
+    items = F.when(F.col("lone"), F.concat("named", F.array(F.lit(None).cast("string")))).otherwise(F.col("named"))
+    return written(spans.join(named.select(*text, items.alias("items")), text), "marked")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, filter_bits: int = 1 << 29) -> DataFrame:
     """``docs`` (with text) and, per row, ``n_words``, ``hit_runs`` (starts and ends of runs of hit words, in turn),
-    ``n_hit``, ``items`` (ids of items with an occurring window, sorted as strings, null last), ``n_items`` and ``contaminated``.
-
-    A block of ``block_bytes`` of benchmark text has at most that many / 2 words, below the 2^21 that fit.
-    """
-    if block_bytes > _WORDS or size < 1:
-        raise ValueError(f"block_bytes is at most {_WORDS} and size at least 1")
-    state = packed(docs).withColumns({"n_words": F.lit(0).cast("long"), "runs": F.array().cast("array<long>"), "items": F.array().cast("array<string>")})
-    schema = own_schema(state, _STATE)
-    blocks = _blocks(benchmark, size, block_bytes)
-    block = next(blocks, None) or Block.of([], size)
-    while block is not None:
-        following = next(blocks, None)
-        sent = docs.sparkSession.sparkContext.broadcast((block, probes(block, shingle_counts(docs, block))))
-        state = state.mapInArrow(_scan(sent), schema)
-        if following is not None:
-            state = written(state, "decontaminate")
-        block = following
-    size = F.aggregate(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), F.lit(0).cast("long"), lambda a, k: a + F.col("runs")[2 * k + 1] - F.col("runs")[2 * k])
-    hit = F.size("runs") > 0
+    ``n_hit``, ``items`` (ids of items with an occurring window, sorted as strings, null last), ``n_items`` and ``contaminated``."""
+    if size < 1:
+        raise ValueError("size is at least 1")
+    windows = item_windows(benchmark, size)
+    grams = sorted(r.gram for r in windows.select("gram").distinct().collect())  # at most _GRAM rows
+    distinct = windows.dropDuplicates(["w1", "w2"])
+    counts = shingle_counts(docs, grams, bitmap(distinct.select(F.explode("keys").alias("key")).distinct(), filter_bits))
+    rare = prefixes(distinct, counts)
+    found = candidates(docs, grams, bitmap(rare.select("key").distinct(), filter_bits), size)
+    marked = marked_texts(hits(found, rare, size), windows)
+
+    state = _named(packed(docs), "own.text")
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(marked.select("t1"), filter_bits))
+
+    def counted(keep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches):
+                part = batch.filter(pa.array(_marked(sent.value, batch.column("t1").to_numpy()) == keep))
+                _, n = word_hashes(own_text(part))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("own", "t1", "t2")), pa.array(n)], names=["own", "t1", "t2", "n_words"])
+
+        return state.mapInArrow(run, own_schema(state, "t1 long, t2 long, n_words long"))
+
+    nothing = {"runs": F.array().cast("array<long>"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>")}
+    joined = counted(True).join(marked, ["t1", "t2"], "left")
+    every = counted(False).withColumns(nothing).unionByName(joined.withColumns({c: F.coalesce(c, x) for c, x in nothing.items()}))
     added = {
         "n_words": F.col("n_words"),
         "hit_runs": F.col("runs"),
-        "n_hit": F.when(hit, size).otherwise(F.lit(0).cast("long")),
-        "items": F.array_sort(F.array_distinct("items")),
-        "n_items": F.size(F.array_distinct("items")).cast("long"),
-        "contaminated": hit,
+        "n_hit": F.col("n_hit"),
+        "items": F.col("items"),
+        "n_items": F.size("items").cast("long"),
+        "contaminated": F.col("n_hit") > 0,
     }
-    return unpacked(state, *(c.alias(n) for n, c in added.items()), names=list(added))
+    return unpacked(every, *(c.alias(n) for n, c in added.items()), names=list(added))

@@ -1,4 +1,4 @@
-"""Windows against a brute force, odd rows, and blocks."""
+"""Windows against a brute force, odd rows, full bitmaps, and passes over the documents."""
 
 import random
 import re
@@ -55,17 +55,17 @@ def test_against_brute_force(spark, docs, size):
     assert run(docs, spark, rows, items, size=size) == brute(rows, items, size)
 
 
-def test_blocks_give_the_same(spark, docs):
+def test_full_bitmaps_give_the_same(spark, docs):
     rows, items = corpus(9, n_docs=20, n_items=6)
-    assert run(docs, spark, rows, items, size=4, block_bytes=30) == brute(rows, items, 4)
+    assert run(docs, spark, rows, items, size=4, filter_bits=64) == brute(rows, items, 4)
 
 
-def test_items_larger_than_a_block(spark, docs):
+def test_items_of_many_windows(spark, docs):
     rng = random.Random(2)
     item = " ".join(f"w{rng.randint(0, 40)}" for _ in range(300))
     rows = [(k, " ".join(item.split()[k * 7 : k * 7 + 25])) for k in range(40)] + [(99, "w1 w2")]
     items = [(1, item), (2, "w1 w2"), (1, "w3 w4 w5")]
-    assert run(docs, spark, rows, items, size=4, block_bytes=64) == brute(rows, items, 4)
+    assert run(docs, spark, rows, items, size=4, filter_bits=128) == brute(rows, items, 4)
 
 
 def test_empty_tables(spark, docs):
@@ -104,7 +104,7 @@ def test_items_with_a_null_id_as_the_sql(spark, tmp_path):
     assert [(r[0], r[2], r[3], r[5]) for r in got] == [(1, 14, 1, True), (2, 28, 3, True), (3, 14, 1, True), (4, 1, 1, True), (5, 0, 0, False), (6, 0, 0, False)]
 
 
-@pytest.mark.parametrize("size,kw", [(1, {}), (3, {}), (5, {}), (4, {"block_bytes": 30})])
+@pytest.mark.parametrize("size,kw", [(1, {}), (3, {}), (5, {}), (4, {"filter_bits": 64})])
 def test_items_with_a_null_id_against_brute_force(spark, docs, size, kw):
     rows, items = corpus(size)
     df = contaminated(docs(rows), spark.createDataFrame(items, "item_id long, text string"), size=size, **kw)
@@ -112,3 +112,36 @@ def test_items_with_a_null_id_against_brute_force(spark, docs, size, kw):
     got = [(r.doc_id, r.n_words, r.n_hit, ",".join(sorted(i or "999" for i in r["items"])), r.contaminated, r.n_items) for r in df.collect()]
     want = [(*w, len(w[3].split(",")) if w[3] else 0) for w in brute(rows, [(999 if i is None else i, t) for i, t in items], size)]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_passes_do_not_grow_with_the_benchmark(spark, docs, monkeypatch):
+    """Counts how often the documents are handed to tasks: as often for 3 items as for 3,000 with 1.5 MB of text."""
+    rng = random.Random(4)
+    big = [(k, " ".join(f"v{rng.randint(0, 50_000)}" for _ in range(75))) for k in range(3_000)]
+    rows = [(k, f"before {big[k * 7][1]} after") for k in range(20)] + [(50, "clean words only")]
+    kind = type(docs(rows))
+    passes, plain = [], kind.mapInArrow
+
+    def noted(self, func, schema, *args, **kw):
+        passes.append("item_id" not in self.columns)
+        return plain(self, func, schema, *args, **kw)
+
+    monkeypatch.setattr(kind, "mapInArrow", noted)
+    runs = []
+    for items in (big[:3], big):
+        passes.clear()
+        got = contaminated(docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+        runs.append(sum(passes))
+    assert runs == [4, 4]
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in got} == {**{k: (75, [str(k * 7)]) for k in range(20)}, 50: (0, [])}
+
+
+def test_word_hashes_across_runs(monkeypatch):
+    from tallycheck.llm import decontaminate
+
+    texts = [b"one two  three", None, b"", b"..", b"Four five-six " * 20, "é".encode() * 40, b" one"]
+    flat, n = decontaminate.word_hashes(texts)
+    assert n.tolist() == [len(words((x or b"").decode())) for x in texts]
+    monkeypatch.setattr(decontaminate, "_RUN", 7)
+    again, m = decontaminate.word_hashes(texts)
+    assert (flat == again).all() and (n == m).all() and flat[0] == flat[-1] and len(set(flat.tolist())) == 7
