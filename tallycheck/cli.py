@@ -15,7 +15,7 @@ from tallycheck.operators.gate import GateError
 from tallycheck.operators.report import latest_run
 from tallycheck.plans import DQConfig, run_bronze_dq, run_ingest
 from tallycheck.session import build_session
-from tallycheck.sources.audit import read_audit
+from tallycheck.sources.audit import read_audit, read_latest_day
 from tallycheck.sources.responses import read_responses
 
 
@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     d = sub.add_parser("dq", help="run the Bronze checks, record them, apply the gate")
     d.add_argument("--bronze-table", required=True)
     d.add_argument("--audit-table", required=True)
+    d.add_argument("--audit-by-day", action="store_true", help="partition a new audit table by run day")
     src = d.add_mutually_exclusive_group()
     src.add_argument("--title", action="append", help="an expected title; repeat it (default: the built-in list)")
     src.add_argument("--titles-table", help="table whose first column holds the titles")
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         )
         try:
             run_id = run_bronze_dq(spark, args.bronze_table, args.audit_table, cfg, run_id=args.run_id,
-                                   failing_table=args.failing_table)
+                                   failing_table=args.failing_table, audit_by_day=args.audit_by_day)
         except GateError as err:
             print(str(err), file=sys.stderr)
             return 2
@@ -93,7 +94,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     # report: every row of one run, streamed to the terminal
-    report = latest_run(read_audit(spark, args.audit_table), by=args.by)
+    read = read_latest_day if args.by == "checked_at" else read_audit
+    report = latest_run(read(spark, args.audit_table), by=args.by)
     print("\t".join(report.columns))
     for row in report.toLocalIterator():
         print("\t".join("" if v is None else str(v) for v in row))

@@ -172,20 +172,21 @@ def run_bronze_dq(
     checked_at: dt.datetime | None = None,
     fmt: str = "parquet",
     failing_table: str | None = None,
+    audit_by_day: bool = False,
 ) -> str:
     """Check a Bronze table, append the results, then apply the gate.
 
     With ``failing_table`` every missing and repeated key is written there
     too (partitioned by run id; a repeated run id replaces its own), before
-    the gate. Returns the run id. Raises :class:`~tallycheck.operators.gate.GateError`
+    the gate. ``audit_by_day`` partitions a new audit table by run day. Returns the run id. Raises :class:`~tallycheck.operators.gate.GateError`
     after the write when a check failed hard, so the failed run is recorded.
     """
     run_id = run_id or str(uuid.uuid4())
     checked_at = checked_at or dt.datetime.now(dt.timezone.utc)
     results = run_checks(spark, spark.table(bronze_table), bronze_table, run_id, checked_at, config)
-    write_audit(results, audit_table, fmt)
+    write_audit(results, audit_table, fmt, audit_by_day)
     if failing_table:
         rows = failing_keys(spark, spark.table(bronze_table), run_id, config)
         write_by_run(rows, failing_table, run_id, fmt, ("check_run_id",), "check_run_id")
-    enforce_gate(read_audit(spark, audit_table), run_id)
+    enforce_gate(read_audit(spark, audit_table, checked_at), run_id)
     return run_id

@@ -118,5 +118,5 @@ def run_incremental_dq(
     run_id = run_id or str(uuid.uuid4())
     checked_at = checked_at or dt.datetime.now(dt.timezone.utc)
     write_audit(incremental_checks(spark, bronze_table, tally_table, run_id, checked_at, config), audit_table, fmt)
-    enforce_gate(read_audit(spark, audit_table), run_id)
+    enforce_gate(read_audit(spark, audit_table, checked_at), run_id)
     return run_id

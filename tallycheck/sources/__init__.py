@@ -1,6 +1,6 @@
 """Sources and sinks: landed responses, Bronze, audit, test-table bindings."""
 
-from tallycheck.sources.audit import create_audit_table, guard_not_null, read_audit, write_audit
+from tallycheck.sources.audit import create_audit_table, guard_not_null, read_audit, read_latest_day, write_audit
 from tallycheck.sources.bronze import (
     read_bronze,
     table_exists,
@@ -14,6 +14,7 @@ __all__ = [
     "create_audit_table",
     "guard_not_null",
     "read_audit",
+    "read_latest_day",
     "write_audit",
     "read_bronze",
     "table_exists",

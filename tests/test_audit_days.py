@@ -1,0 +1,98 @@
+"""Audit tables partitioned by run day: report and gate read one day."""
+
+import datetime as dt
+import glob
+import os
+import uuid
+from urllib.parse import urlparse
+
+import pytest
+
+from tallycheck.cli import main
+from tallycheck.operators.gate import GateError
+from tallycheck.operators.report import latest_run
+from tallycheck.plans import DQConfig, run_bronze_dq
+from tallycheck.schemas import AUDIT_COLUMNS
+from tallycheck.sources.audit import create_audit_table, is_by_day, read_audit, read_latest_day, write_audit
+
+UTC = dt.timezone.utc
+
+
+def name(kind):
+    return f"{kind}_{uuid.uuid4().hex[:8]}"
+
+
+@pytest.fixture
+def bronze(spark):
+    table = name("day_bronze")
+    spark.createDataFrame([("A", "2026010100", 1)], "article string, timestamp string, views long").write.saveAsTable(table)
+    return table
+
+
+def folder(spark, table):
+    row = spark.sql(f"describe formatted {table}").filter("col_name = 'Location'").first()
+    return urlparse(row.data_type).path
+
+
+def history(spark, bronze, audit, by_day=True):
+    cfg = DQConfig(titles=["A", "B"], start_date="20260101", end_date="20260101")
+    for k, at in enumerate([(1, 9), (2, 9), (2, 23), (3, 1), (3, 0)]):
+        run_bronze_dq(spark, bronze, audit, cfg, run_id=f"r{k}", checked_at=dt.datetime(2026, 1, *at, tzinfo=UTC), audit_by_day=by_day)
+
+
+def spoil_but(spark, table, day):
+    """Makes every file of other days unreadable."""
+    for path in glob.glob(os.path.join(folder(spark, table), "run_date=*", "*.parquet")):
+        if f"run_date={day}" not in path:
+            with open(path, "wb") as out:
+                out.write(b"not parquet")
+
+
+def test_same_report_as_without_days(spark, bronze):
+    one, two = name("day_audit"), name("plain_audit")
+    history(spark, bronze, one)
+    history(spark, bronze, two, by_day=False)
+    assert is_by_day(spark, one) and not is_by_day(spark, two)
+    assert read_audit(spark, one).columns == read_audit(spark, two).columns == list(AUDIT_COLUMNS)
+    reports = [latest_run(read_latest_day(spark, t)).collect() for t in (one, two)]
+    assert reports[0] == reports[1] and {r.check_run_id for r in reports[0]} == {"r3"} and len(reports[0]) == 3
+    assert read_audit(spark, one).count() == read_audit(spark, two).count() == 15
+
+
+def test_report_and_gate_open_no_older_file(spark, bronze, capsys):
+    audit = name("day_audit")
+    history(spark, bronze, audit)
+    spoil_but(spark, audit, "2026-01-03")
+    assert {r.check_run_id for r in latest_run(read_latest_day(spark, audit)).collect()} == {"r3"}
+    with pytest.raises(Exception, match="(?i)parquet"):
+        latest_run(read_audit(spark, audit)).collect()
+    strict = DQConfig(titles=["A", "B"], start_date="20260101", end_date="20260101", policy={"source_coverage": "FAIL"})
+    with pytest.raises(GateError):
+        run_bronze_dq(spark, bronze, audit, strict, run_id="bad", checked_at=dt.datetime(2026, 1, 4, tzinfo=UTC))
+    assert main(["report", "--audit-table", audit]) == 0
+    assert capsys.readouterr().out.count("bad\t") == 3
+
+
+def test_days_are_utc_in_any_session(spark, bronze):
+    audit, before = name("day_audit"), spark.conf.get("spark.sql.session.timeZone")
+    cfg = DQConfig(titles=["A"], start_date="20260101", end_date="20260101")
+    try:
+        for zone, hour in (("Asia/Tokyo", 22), ("America/New_York", 23)):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            at = dt.datetime(2026, 1, 5, hour, tzinfo=UTC)
+            run_bronze_dq(spark, bronze, audit, cfg, run_id=zone, checked_at=at, audit_by_day=True)
+            assert read_audit(spark, audit, at).filter(f"check_run_id = '{zone}'").count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.partition for r in spark.sql(f"show partitions {audit}").collect()] == ["run_date=2026-01-05"]
+    assert {r.check_run_id for r in latest_run(read_latest_day(spark, audit)).collect()} == {"America/New_York"}
+
+
+def test_empty_table_and_null_guard(spark):
+    audit = name("day_audit")
+    create_audit_table(spark, audit, by_day=True)
+    assert latest_run(read_latest_day(spark, audit)).count() == 0
+    bad = spark.sql("select 'r' check_run_id, 'l' layer, 't' table_name, 'c' check_name, 'PASS' check_status, '' expected_value, '' actual_value, '' details, cast(null as timestamp) checked_at")
+    with pytest.raises(Exception, match="must not be NULL"):
+        write_audit(bad, audit)
+    assert read_audit(spark, audit).count() == 0
