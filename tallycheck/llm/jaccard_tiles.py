@@ -3,11 +3,12 @@
 Documents with equal sets are one class. Sizes fall into bands so wide that linked classes are in one band or in neighbouring
 ones. Shingles are ordered by rarity (counts of 65,536 hashed cells over all documents); linked classes share a shingle of their prefixes, the rarest ones, so
 a tile is a band and a prefix shingle, with the members of the band and those of the band below. A tile of many members is cut into blocks, and pairs of
-blocks are tiles of their own, so that no task holds a tile whole.
+blocks are tiles of their own, so that no task holds a tile whole. The first shingle that two linked classes share, in that order, lies in the
+first half of the smaller one's prefix, about (``short``), so shingles that are short for no class make no tile.
 
-Within a tile, the bits by which two parity bitmaps of ``BITS`` hashed bits differ are never more than the shingles that only one of both has, so
+Within a tile, the bits by which two parity bitmaps of hashed bits differ are never more than the shingles that only one of both has, so
 they bound the overlap from above; pairs below the overlap that their sizes require leave. The others are verified by
-the exact intersection of their sorted arrays.
+the exact intersection of their sorted arrays. A bitmap has as many bits as its set's size asks for, ``BITS`` at most; of two the wider is folded.
 
 Classes are first held against two leaders per prefix shingle in turn, and linked ones join. The tiles then take only pairs that are not yet joined, so a large group of near copies
 does not give all its pairs, and no link between different groups is missed.
@@ -30,8 +31,9 @@ from .common import LOWER, arrow_batches, expand, pieces, text_bytes, written
 from .components import components
 from .phrases import Hashed
 
-#: Bits of a signature.
+#: Bits of a signature: the most, and the fewest.
 BITS = 2048
+_LEAST_BITS = 256
 #: Cells in which shingles are counted, for the order by rarity.
 _CELLS = 1 << 16
 #: Members of a block of a large tile, about.
@@ -121,14 +123,49 @@ def size_bands(percent: int) -> np.ndarray:
     return np.array(bands)
 
 
-def signature(own: np.ndarray) -> bytes:
-    """Bits that are 1 where an odd number of shingles falls."""
-    bits = np.bincount((_mix(own, 3) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+def signature(own: np.ndarray, width: int = BITS) -> bytes:
+    """``width`` bits that are 1 where an odd number of shingles falls."""
+    bits = np.bincount((_mix(own, 3) % np.uint64(width)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def signature_bits(n: int, percent: int) -> int:
+    """Bits for a set of ``n``: five times those by which linked sets of this size differ; unrelated sets differ in half of the bits."""
+    width = _LEAST_BITS
+    while width < BITS and width * (100 + percent) < 10 * n * (100 - percent):
+        width *= 2
+    return width
+
+
+def folded(bitmaps: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """The widths in bytes, and of each width the bitmaps that are as wide or, folded, were wider (for narrower ones zeros)."""
+    widths = np.fromiter(map(len, bitmaps), np.int64, len(bitmaps))
+    flat = np.frombuffer(b"".join(bitmaps), np.uint64)
+    starts = (np.cumsum(widths) - widths) // 8
+    found = np.unique(widths).tolist()
+    of_width = {w: np.zeros((len(bitmaps), w // 8), np.uint64) for w in found}
+    for wide in found:
+        at = np.flatnonzero(widths == wide)
+        words = flat[starts[at][:, None] + np.arange(wide // 8)]
+        for w in found:
+            if w <= wide:
+                of_width[w][at] = np.bitwise_xor.reduce(words.reshape(len(at), wide // w, w // 8), axis=1)
+    return widths, of_width
+
+
+def bits_apart(bitmaps: tuple[np.ndarray, dict[int, np.ndarray]], one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """By how many bits those at ``one`` differ from those at ``two``, at the width of the narrower."""
+    widths, of_width = bitmaps
+    least = np.minimum(widths[one], widths[two])
+    apart = np.empty(len(one), np.int64)
+    for w in np.unique(least).tolist():
+        at = np.flatnonzero(least == w)
+        apart[at] = np.bitwise_count(of_width[w][one[at]] ^ of_width[w][two[at]]).sum(axis=1, dtype=np.int64)
+    return apart
+
+
 def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n, s1, s2 (the set's size and hashes), t1, t2 (the text's hashes), prefix and bitmap, written."""
+    """Per row of ``docs`` (doc_id, text): doc_id, n, s1, s2 (the set's size and hashes), t1, t2 (the text's hashes), prefix (rarest first) and bitmap, written."""
     counts = cell_counts(docs, shingle)
     order = np.empty(_CELLS, np.uint64)
     order[np.argsort(counts, kind="stable")] = np.arange(_CELLS, dtype=np.uint64)
@@ -145,7 +182,7 @@ def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 take = prefix_size(len(own), percent) if len(own) else 0
                 rank = order[own >> np.uint64(48)] << np.uint64(48) | own & np.uint64((1 << 48) - 1)
                 rarest = np.argpartition(rank, take - 1)[:take] if 0 < take < len(own) else np.arange(len(own))
-                prefixes.append(own[rarest].view(np.int64))
+                prefixes.append(own[rarest[np.argsort(rank[rarest])]].view(np.int64))
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in prefixes])]).astype(np.int32)
             columns = [
                 *(batch.column(c) for c in ("doc_id", "t1", "t2")),
@@ -154,7 +191,7 @@ def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 pa.array([x for x, _ in names], pa.int64()),
                 pa.array([x for _, x in names], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, np.int64))),
-                pa.array([signature(x) for x in sets], pa.binary()),
+                pa.array([signature(x, signature_bits(len(x), percent)) for x in sets], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "n", "band", "s1", "s2", "prefix", "bitmap"])
 
@@ -238,12 +275,13 @@ def _tile_pairs(percent: int):
             # members of the band, or one of it and one of the band below; of different blocks, where there are two
             meet = (rows["home"][one] | rows["home"][two]) & (rows["label"][one] != rows["label"][two])
             meet &= (rows["block_1"][one] == rows["block_2"][one]) | (rows["own"][one] != rows["own"][two])
+            meet &= np.where(rows["n"][one] <= rows["n"][two], rows["short"][one], rows["short"][two])
             one, two = one[meet], two[meet]
             x, y = rows["n"][one], rows["n"][two]
             least = required(x, y, percent)
             fits = np.minimum(x, y) >= least
             one, two, least = one[fits], two[fits], least[fits]
-            apart = np.bitwise_count(rows["bitmap"][one] ^ rows["bitmap"][two]).sum(axis=1, dtype=np.int64)
+            apart = bits_apart(rows["bitmap"], one, two)
             near = (rows["n"][one] + rows["n"][two] - apart) // 2 >= least
             a, b = rows["cid"][one[near]], rows["cid"][two[near]]
             if len(a):
@@ -253,9 +291,8 @@ def _tile_pairs(percent: int):
     names = ["token", "band", "block_1", "block_2"]
 
     def arrays(table: pa.Table) -> dict[str, np.ndarray]:
-        out = {c: table.column(c).to_numpy() for c in (*names, "cid", "n", "home", "own", "label")}
-        raw = b"".join(table.column("bitmap").to_pylist())
-        out["bitmap"] = np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)
+        out = {c: table.column(c).to_numpy() for c in (*names, "cid", "n", "home", "short", "own", "label")}
+        out["bitmap"] = folded(table.column("bitmap").to_pylist())
         out["n"] = out["n"].astype(np.int64)
         return out
 
@@ -284,12 +321,15 @@ def near_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int
     """(node, root) of the classes (cid) that are linked with another."""
     # the smallest sets that differ and are linked: size n and n + 1
     least = next(n for n in range(1, 202) if 100 * n >= percent * (n + 1)) if percent < 100 else 1 << 31
-    posted = classes.filter(F.col("n") >= least).select("cid", "n", "band", F.explode("prefix").alias("token"))
-    # shingles in prefixes of two classes or more, each with a leader
-    shared = posted.groupBy("token").agg(F.count("*").alias("members"), F.min("cid").alias("first"), F.max_by("cid", F.xxhash64("cid")).alias("second")).filter("members > 1")
+    posted = classes.filter(F.col("n") >= least).select("cid", "n", F.posexplode("prefix").alias("pos", "token"))
+    # of the smaller of two linked sets, where the first shared shingle can be: what is left from there on is the least overlap or more
+    posted = posted.select("token", "cid", (F.col("pos").cast("long") * (100 + percent) <= F.col("n").cast("long") * (100 - percent)).alias("short"))
+    # shingles in prefixes of two classes or more, each with leaders; cids tell nothing of the sets, so the least and the greatest are as good as any
+    leads = F.when(F.col("short"), F.col("cid"))
+    shared = posted.groupBy("token").agg(F.count("*").alias("members"), F.min(leads).alias("first"), F.max(leads).alias("second")).filter("members > 1 and first is not null")
     members = written(posted.join(shared.select("token", "first", "second"), "token"), "jaccard-members")
     known = classes.select("cid", "n", "bitmap")
-    found, labels = None, classes.select("cid", F.col("cid").alias("label"))
+    found, labels = None, None
     for leader in ("first", "second"):
         led = members.filter(F.col("cid") != F.col(leader)).select(F.least("cid", leader).alias("a"), F.greatest("cid", leader).alias("b")).distinct()
         if found is not None:
@@ -298,21 +338,22 @@ def near_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int
         new = verified(led, class_sets(docs, classes, led, shingle), percent)
         found = written(new if found is None else found.unionByName(new), "jaccard-led-links")
         joined = components(found).withColumnRenamed("node", "cid")
-        labels = written(classes.select("cid").join(joined, "cid", "left").select("cid", F.coalesce("root", "cid").alias("label")), "jaccard-labels")
+        labels = written(classes.select("cid", "n", "band").join(joined, "cid", "left").select("cid", "n", "band", F.coalesce("root", "cid").alias("label")), "jaccard-labels")
 
     homes = F.array(F.struct(F.lit(0).alias("up"), F.lit(True).alias("home")), F.struct(F.lit(1).alias("up"), F.lit(False).alias("home")))
-    placed = members.join(labels, "cid").select("token", "cid", "n", "label", F.inline(homes), F.col("band").alias("own_band"))
-    placed = placed.select("token", (F.col("own_band") + F.col("up")).alias("band"), "home", "cid", "n", "label")
+    placed = members.join(labels, "cid").select("token", "cid", "n", "label", "short", F.inline(homes), F.col("band").alias("own_band"))
+    # in the band above a class is the smaller one
+    placed = placed.filter("home or short").select("token", (F.col("own_band") + F.col("up")).alias("band"), "home", "short", "cid", "n", "label")
     # tiles of one label have no pairs left
     tiles = placed.groupBy("token", "band").agg(
-        F.count("*").alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.bool_or("home").alias("any_home")
+        F.count("*").alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.bool_or("home").alias("any_home"), F.bool_or("short").alias("any_short")
     )
-    tiles = tiles.filter("lo <> hi and any_home").select("token", "band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    tiles = tiles.filter("lo <> hi and any_home and any_short").select("token", "band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     cut = placed.join(tiles, ["token", "band"]).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "own").alias("block_1"), F.greatest(k, "own").alias("block_2")))
-    cut = cut.select("token", "band", "home", "cid", "n", "label", "own", F.inline(others))
+    cut = cut.select("token", "band", "home", "short", "cid", "n", "label", "own", F.inline(others))
     key = ["token", "band", "block_1", "block_2"]
-    seen = cut.join(known.select("cid", "bitmap"), "cid").select(*key, "home", "cid", "n", "label", "own", "bitmap")
+    seen = cut.join(known.select("cid", "bitmap"), "cid").select(*key, "home", "short", "cid", "n", "label", "own", "bitmap")
     dealt = seen.repartition(*key).sortWithinPartitions(*key)
     pairs = written(dealt.mapInArrow(_tile_pairs(percent), "a long, b long").distinct(), "jaccard-pairs")
     later = verified(pairs, class_sets(docs, classes, pairs, shingle), percent)
@@ -334,8 +375,8 @@ def _hopeful(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b")]
-            bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("bitmap_a", "bitmap_b")]
-            apart = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+            each = np.arange(batch.num_rows)
+            apart = bits_apart(folded([*batch.column("bitmap_a").to_pylist(), *batch.column("bitmap_b").to_pylist()]), each, each + batch.num_rows)
             least = required(n[0], n[1], percent)
             keep = pa.array((np.minimum(n[0], n[1]) >= least) & ((n[0] + n[1] - apart) // 2 >= least))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])

@@ -136,3 +136,62 @@ def test_bands_and_prefixes_lose_nothing(percent):
             o = int(required(np.int64(n), np.int64(m), percent))
             if o <= n:
                 assert o > n - prefix_size(n, percent) and o > m - prefix_size(m, percent)
+
+
+def test_bitmaps_are_as_wide_as_their_sets_ask(docs):
+    rows = [(n, " ".join(f"w{n}x{k}" for k in range(n + 2))) for n in (3, 486, 487, 973, 5000)]
+    found = {r.n: len(r.bitmap) * 8 for r in jaccard_tiles.prints(docs(rows), 3, 90).select("n", "bitmap").collect()}
+    assert found == {3: 256, 486: 256, 487: 512, 973: 1024, 5000: BITS}
+
+
+def test_classes_of_bitmaps_of_two_widths_are_linked(docs):
+    base = [f"u{k}" for k in range(489)]  # 487 shingles, 512 bits
+    rows = [(9, " ".join(base)), (4, " ".join(base[:-30])), (2, " ".join(base[30:] + ["x"] * 3)), (1, " ".join(base[200:] + [f"y{k}" for k in range(200)]))]
+    want = brute(rows)
+    assert collected(jaccard_components(docs(rows))) == want
+    assert {r[2] for r in want} == {1, 2}
+
+
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300), st.sets(st.integers(0, 2**64 - 1), max_size=300), st.integers(0, 300))
+@settings(max_examples=100, deadline=None)
+def test_folded_bits_bound_the_overlap_from_above(a, b, shared):
+    b = b | set(sorted(a)[:shared])
+    sets = [np.array(sorted(s), np.uint64) for s in (a, b, a | b)]
+    widths = [256, 1024, BITS]
+    both = jaccard_tiles.folded([signature(x, w) for x, w in zip(sets, widths)])
+    one, two = (np.array(x) for x in zip(*combinations(range(3), 2)))
+    apart = jaccard_tiles.bits_apart(both, one, two)
+    for x, y, found in zip(one, two, apart):
+        least = [np.frombuffer(signature(sets[k], min(widths[x], widths[y])), np.uint64) for k in (x, y)]
+        assert found == np.bitwise_count(least[0] ^ least[1]).sum()
+        assert len(np.intersect1d(sets[x], sets[y])) <= (len(sets[x]) + len(sets[y]) - found) // 2
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 95, 100])
+def test_first_shared_shingle_is_short_for_the_smaller_set(percent):
+    for n in range(1, 400):
+        for m in range(n, min(400, n * 100 // percent) + 1):
+            o = int(required(np.int64(n), np.int64(m), percent))
+            if o <= n:  # the first of o shared shingles is at n - o or before
+                assert (n - o) * (100 + percent) <= n * (100 - percent)
+                assert m - o < prefix_size(m, percent)
+
+
+def test_shingles_that_are_short_for_no_class_have_no_members(docs, monkeypatch):
+    # the three shingles with an own word are the rarest; the fourth of the prefix is shared, but too late for the overlap
+    found = []
+
+    def written(df, label):
+        out = plain(df, label)
+        if label == "jaccard-members":
+            found.append(out)
+        return out
+
+    plain = jaccard_tiles.written
+    monkeypatch.setattr(jaccard_tiles, "written", written)
+    common = [f"c{k}" for k in range(39)]
+    rows = [(d, " ".join([*common[:20], f"own{d}", *common[20:]])) for d in range(30)]
+    want = brute(rows)
+    assert collected(jaccard_components(docs(rows))) == want
+    assert {n for _, n, _ in want} == {38} and len({c for *_, c in want}) == 30
+    assert [x.count() for x in found] == [0]
